@@ -33,8 +33,13 @@ def sum_by(df: DataFrame, keys: Sequence[str], value: Column, name: str = "total
     return df.groupBy(*keys).agg(F.sum(value).alias(name))
 
 
+def mean(value: Column) -> Column:
+    """Average as a double, from a sum that is exact when `value` is a decimal."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+
+
 def avg_by(df: DataFrame, keys: Sequence[str], value: Column, name: str = "average") -> DataFrame:
-    return df.groupBy(*keys).agg(F.avg(value).alias(name))
+    return df.groupBy(*keys).agg(mean(value).alias(name))
 
 
 def multi_agg(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -49,8 +54,8 @@ def null_agg(df: DataFrame, column: str) -> DataFrame:
         F.count(c).alias("present"),
         F.count_if(c.isNull()).alias("missing"),
         F.sum(c).alias("total"),
-        F.avg(c).alias("average"),
-        (F.sum(c) / F.count("*")).alias("average_as_zero"),
+        mean(c).alias("average"),
+        F.try_divide(F.sum(c).cast("double"), F.count("*")).alias("average_as_zero"),
     )
 
 
@@ -140,6 +145,7 @@ def median_by(df: DataFrame, key: str, value: str, split: Split) -> DataFrame:
 
     key_safe = F.struct(key).alias("_key")
     joined = placed.select("*", key_safe).join(sizes.select("_n", key_safe), "_key")
+    joined = joined.where((before < high) & (F.col("_upto") >= low))
     return joined.groupBy(key).agg(((at(low) + at(high)) / 2).alias("median"))
 
 
