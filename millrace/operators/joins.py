@@ -36,11 +36,16 @@ def merge_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right.hint("merge"), on)
 
 
+def _versioned(version: Sequence[str], columns: Sequence[str]) -> Column:
+    """A whole row that compares by its version first."""
+    return F.struct(F.struct(*version).alias("_version"), *columns)
+
+
 def newest(a: DataFrame, b: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
     """Row-level merge of two batches with unique keys: per key the whole row with
     the greater version, never a mix of the two."""
     columns = a.columns
-    packed = [df.select(F.struct(*version, *columns).alias(n), key) for df, n in ((a, "x"), (b, "y"))]
+    packed = [df.select(_versioned(version, columns).alias(n), key) for df, n in ((a, "x"), (b, "y"))]
     both = packed[0].join(packed[1], key, "full_outer")
     row = F.when(F.col("y").isNull() | (F.col("x") >= F.col("y")), F.col("x")).otherwise(F.col("y"))
     picked = both.select(row.alias("row"))
@@ -91,7 +96,7 @@ def latest_row(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
     One aggregation: a map task sends one row per key, whatever the key's size.
     """
-    top = df.groupBy(key).agg(F.max(F.struct(*order, *df.columns)).alias("row"))
+    top = df.groupBy(key).agg(F.max(_versioned(order, df.columns)).alias("row"))
     return top.select(*[F.col("row")[c].alias(c) for c in df.columns])
 
 

@@ -207,28 +207,31 @@ def quantile_slot(
     return cut.withColumn(name, slot).drop("_value", "_bucket")
 
 
+def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
+    """Add `rank` and `dense_rank` over the whole table, largest value first.
+
+    Ranks come from the distinct values, where a common value is one row, and are
+    joined back.
+    """
+    values = df.groupBy(value).agg(F.count("*").alias("_same"))
+    cut = quantile_slot(values, value, slots, "_cut")
+    placed = SplitWindow(cut, [], [f"-{value}"], Split(F.col("_cut"), descending=True))
+    ranks = placed.numbers(row_number="dense_rank").running(F.col("_same"), "_before", "earlier").frame()
+    rank = F.coalesce(F.col("_before"), F.lit(0)) + 1
+    return df.join(ranks.select(value, "dense_rank", rank.alias("rank")), value)
+
+
 def global_running(
     df: DataFrame, value: str, tie: str, slots: int = 200, tie_step: int = 1 << 20
 ) -> DataFrame:
-    """Running total and rank over the whole table, largest value first.
+    """Running total and ranks over the whole table, largest value first.
 
     Adds `running`, `rank` and `dense_rank`; `tie` is a unique id that orders
     equal values. No task sees more than one slot.
     """
     cut = quantile_slot(df, value, slots, "_cut", F.floor(F.col(tie) / tie_step))
-    # Ties must share a slot for ranks, so ranks use the value's bucket alone
-    # and come from the distinct values, where a common value is one row.
     ordered = SplitWindow(cut, [], [f"-{value}", tie], Split(_slot_down(), descending=True))
-    totals = ordered.running(F.col(value), "running").frame().drop("_cut")
-    values = df.groupBy(value).agg(F.count("*").alias("_same"))
-    ranked = SplitWindow(
-        quantile_slot(values, value, slots, "_cut"), [], [f"-{value}"], Split(F.col("_cut"), descending=True)
-    )
-    ranks = (
-        ranked.numbers(row_number="dense_rank").running(F.col("_same"), "_before", "earlier").frame()
-        .select(value, "dense_rank", (F.coalesce(F.col("_before"), F.lit(0)) + 1).alias("rank"))
-    )
-    return totals.join(ranks, value)
+    return global_ranks(ordered.running(F.col(value), "running").frame().drop("_cut"), value, slots)
 
 
 def _slot_down() -> Column:

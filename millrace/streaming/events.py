@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.skew import row_salt
+from millrace.session import ship_package
 
 
 def read_events(spark: SparkSession, path: str, schema, ts: str, files_per_batch: int = 1000) -> DataFrame:
@@ -104,6 +105,7 @@ def running_state(df: DataFrame, key: str, value: str, row_id: str, shards: int
     A key's rows are spread over `shards` states, so a hot key is not one task's
     work; `combine_shards` adds them up. Run it in update mode.
     """
+    ship_package(df.sparkSession)
     sharded = df.select(key, row_salt([row_id], shards).alias("shard"), value)
     key_type = dict(sharded.dtypes)[key]
     return sharded.groupBy(key, "shard").transformWithStateInPandas(
