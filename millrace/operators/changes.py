@@ -68,12 +68,12 @@ def scd2(log: DataFrame, key: str, ts: str, seq: str, tracked: Sequence[str], sp
     same_time = log.groupBy(key, ts).agg(F.max(F.struct(seq, *tracked)).alias("_row"))
     versions = same_time.select(key, ts, *[F.col("_row")[c].alias(c) for c in (seq, *tracked)])
     state = F.struct(*tracked)
-    starts = (
-        SplitWindow(versions, [key], [ts, seq], split).neighbour(state, "_prev", -1).frame()
-        .where(F.col("_prev").isNull() | (F.col("_prev") != state)).drop("_prev")
-    )
     return (
-        SplitWindow(starts, [key], [ts, seq], split).neighbour(F.col(ts), "valid_to", 1).frame()
+        SplitWindow(versions, [key], [ts, seq], split)
+        .neighbour(state, "_prev", -1)
+        .where(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(state))
+        .neighbour(F.col(ts), "valid_to", 1)
+        .frame().drop("_prev")
         .withColumn("is_current", F.col("valid_to").isNull())
         .withColumnRenamed(ts, "valid_from")
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import shared_root
+
 # A key is hot only if it holds at least this share of all rows, so a table has
 # at most 1 / HOT_SHARE hot keys and a frame of hot keys is safe to broadcast.
 HOT_SHARE = 1e-5
@@ -20,21 +22,20 @@ def row_salt(ids: Sequence[str], n: int | Column) -> Column:
     return F.pmod(F.xxhash64(*ids), F.lit(n) if isinstance(n, int) else n)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Key groups with at least `max(hot_rows, HOT_SHARE * all rows)` rows.
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Key groups with at least `max(hot_rows, HOT_SHARE * all rows)` rows, or None.
 
-    Returns the keys packed in the struct `_group`, which compares null keys as
-    equal, and the row count `_rows`. Never more than 1 / HOT_SHARE rows.
+    Runs now, reading only the key columns, so that plans over tables without hot
+    groups need no skew handling at all. The keys come packed in the struct
+    `_group`, which compares null keys as equal: at most 1 / HOT_SHARE rows, kept
+    in the shared folder.
     """
+    shared_root(df.sparkSession)
     counts = df.groupBy(F.struct(*keys).alias("_group")).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("n")).scalar()
-    return counts.where(F.col("_rows") >= F.greatest(F.lit(float(hot_rows)), total * F.lit(HOT_SHARE)))
-
-
-def mark_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_group` and `_rows` (null unless the group is hot) without a shuffle of `df`."""
-    hot = hot_groups(df, keys, hot_rows)
-    return df.withColumn("_group", F.struct(*keys)).join(F.broadcast(hot), "_group", "left")
+    enough = F.greatest(F.lit(float(hot_rows)), total * F.lit(HOT_SHARE))
+    hot = counts.where(F.col("_rows") >= enough).select("_group").checkpoint()
+    return None if hot.isEmpty() else hot
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
@@ -110,9 +111,3 @@ def with_group_total(df: DataFrame, keys: Sequence[str], **totals: Column) -> Da
     joined back, so a hot group never sits in one window task."""
     groups = df.groupBy(F.struct(*keys).alias("_group")).agg(*[c.alias(n) for n, c in totals.items()])
     return df.withColumn("_group", F.struct(*keys)).join(groups, "_group").drop("_group")
-
-
-__all__ = [
-    "HOT_ROWS", "HOT_SHARE", "broadcast_join", "hot_groups", "hot_keys", "mark_hot",
-    "row_salt", "salted_join", "small_enough", "split_hot_join", "with_group_total",
-]

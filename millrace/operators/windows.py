@@ -3,21 +3,22 @@
 A plain `Window.partitionBy(key)` puts a whole group into one task. Here a group
 that `hot_groups` reports is cut into slots along its sort order, the window runs
 per slot, and one small row per slot carries what the next slot needs (rows so
-far, total so far, last row). Ordinary groups are one slot, so for them the plan
-is the plain window: one shuffle, one sort.
+far, total so far, last row). Without hot groups the plan is the plain window:
+one shuffle, one sort.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from copy import copy
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import HOT_ROWS, mark_hot, with_group_total
+from millrace.operators.skew import HOT_ROWS, hot_groups, with_group_total
 
 FIRST, NOW = Window.unboundedPreceding, Window.currentRow
 
@@ -50,26 +51,36 @@ class SplitWindow:
     """Window columns over `keys` in `order`; all of them share one shuffle and sort.
 
     `order` names columns, `-name` for descending. With no keys the order is
-    global and every row belongs to a slot.
+    global and every row belongs to a slot. Construction counts rows per group
+    (`hot_groups`); the window itself stays lazy.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split):
-        self._order, self._split = list(order), split
-        if keys:
-            marked = mark_hot(df, keys, split.hot_rows)
+        self._order, self._split, self._keys = list(order), split, list(keys)
+        hot = hot_groups(df, keys, split.hot_rows) if keys else None
+        self._cut = hot is not None or not keys
+        if hot is not None:
+            hot = hot.withColumn("_hot", F.lit(True))
+            marked = df.withColumn("_group", F.struct(*keys)).join(F.broadcast(hot), "_group", "left")
             # Boxed, so that a null slot of a hot group differs from no slot.
-            slot = F.when(F.col("_rows").isNotNull(), F.struct(split.slot))
-            self._df = marked.withColumn("_slot", slot).drop("_rows")
-        else:
+            slot = F.when(F.col("_hot"), F.struct(split.slot))
+            self._df = marked.withColumn("_slot", slot).drop("_hot")
+        elif not keys:
             self._df = df.withColumns({"_group": F.struct(F.lit(0)), "_slot": split.slot})
+        else:
+            self._df = df
+
+    @property
+    def _whole(self) -> Window:
+        return Window.partitionBy("_group", "_slot") if self._cut else Window.partitionBy(*self._keys)
 
     @property
     def _rows(self) -> Window:
-        return Window.partitionBy("_group", "_slot").orderBy(*sort_columns(self._order))
+        return self._whole.orderBy(*sort_columns(self._order))
 
     def _with(self, df: DataFrame) -> SplitWindow:
-        new = object.__new__(SplitWindow)
-        new._order, new._split, new._df = self._order, self._split, df
+        new = copy(self)
+        new._df = df
         return new
 
     def _slots(self, **aggs: Column) -> DataFrame:
@@ -105,6 +116,8 @@ class SplitWindow:
             if name:
                 within[name] = (fn().over(w), base)
         df = self._df.withColumns({name: c.cast("bigint") for name, (c, _) in within.items()})
+        if not self._cut:
+            return self._with(df)
         offsets = self._slots(**aggs).select("_group", "_slot", *[c.alias(n) for n, c in before.items()])
         df = self._attach(df, offsets).withColumns(
             {name: F.col(name) + F.coalesce(F.col(base), F.lit(0)) for name, (_, base) in within.items()}
@@ -119,13 +132,15 @@ class SplitWindow:
             "range": self._rows.rangeBetween(FIRST, NOW),
             "earlier": self._rows.rowsBetween(FIRST, -1),
         }[frame]
+        df = self._df.withColumn(name, F.sum(value).over(w))
+        if not self._cut:
+            return self._with(df)
         offsets = self._slots(_t=F.sum(value)).select(
             "_group", "_slot", F.sum("_t").over(self._slot_order.rowsBetween(FIRST, -1)).alias("_t")
         )
         within = F.col(name)
         both = F.when(within.isNull(), F.col("_t")).otherwise(within + F.coalesce(F.col("_t"), F.lit(0)))
-        df = self._attach(self._df.withColumn(name, F.sum(value).over(w)), offsets)
-        return self._with(df.withColumn(name, both).drop("_t"))
+        return self._with(self._attach(df, offsets).withColumn(name, both).drop("_t"))
 
     def neighbour(self, value: Column, name: str, offset: int, default: Column | None = None) -> SplitWindow:
         """The value `offset` rows after this one (before it, if negative)."""
@@ -133,17 +148,19 @@ class SplitWindow:
         boxed = F.struct(value.alias("v"))  # tells a missing row from a null value
         shift = F.lead if offset > 0 else F.lag
         w = self._rows
+        if not self._cut:
+            df = self._df.withColumn("_box", shift(boxed, n).over(w))
+            return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box"))
         # Position from the end the shift looks over.
         position = F.row_number().over(w)
         if offset > 0:
-            whole = Window.partitionBy("_group", "_slot")
-            position = F.count("*").over(whole) - position + 1
+            position = F.count("*").over(self._whole) - position + 1
         df = self._df.withColumns({"_box": shift(boxed, n).over(w), "_pos": position.cast("bigint")})
         # Only the first and last n rows of a slot see over its edge, so the
         # group-wide window below holds at most 2 n rows per slot.
         cut = self._df.where(F.col("_slot").isNotNull()).withColumns({
             "_lo": F.row_number().over(w),
-            "_hi": F.count("*").over(Window.partitionBy("_group", "_slot")) - F.row_number().over(w) + 1,
+            "_hi": F.count("*").over(self._whole) - F.row_number().over(w) + 1,
         })
         edges = cut.where((F.col("_lo") <= n) | (F.col("_hi") <= n))
         slot_order = F.col("_slot").desc() if self._split.descending else F.col("_slot").asc()
@@ -156,15 +173,16 @@ class SplitWindow:
             F.map_from_entries(F.collect_list(F.struct(F.col(here).cast("bigint"), "_far"))).alias("_map")
         )
         df = self._attach(df, far)
-        box = F.coalesce(F.col("_box"), F.try_element_at("_map", F.col("_pos")))
-        found = box["v"] if default is None else F.when(box.isNull(), default).otherwise(box["v"])
-        return self._with(df.withColumn(name, found).drop("_box", "_pos", "_map"))
+        df = df.withColumn("_box", F.coalesce(F.col("_box"), F.try_element_at("_map", F.col("_pos"))))
+        return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box", "_pos", "_map"))
 
     def last_known(self, value: Column, name: str) -> SplitWindow:
         """The nearest earlier value that is not null."""
         if any(c.startswith("-") for c in self._order):
             raise ValueError("last_known needs an ascending order")
         df = self._df.withColumn(name, F.last(value, ignorenulls=True).over(self._rows.rowsBetween(FIRST, -1)))
+        if not self._cut:
+            return self._with(df)
         rank = F.struct(*self._order)
         last = self._slots(_v=F.max_by(value, F.when(value.isNotNull(), rank))).select(
             "_group", "_slot",
@@ -177,10 +195,19 @@ class SplitWindow:
         """Add columns computed from those there already."""
         return self._with(self._df.withColumns(columns))
 
+    def where(self, condition: Column) -> SplitWindow:
+        """Drop rows; later window columns see only those that stay, without a new shuffle."""
+        return self._with(self._df.where(condition))
+
     def frame(self) -> DataFrame:
         return self._df.drop("_group", "_slot")
 
 
+def _unbox(box: str, default: Column | None) -> Column:
+    value = F.col(box)["v"]
+    return value if default is None else F.when(F.col(box).isNull(), default).otherwise(value)
+
+
 def quantile_slot(
     df: DataFrame, value: str, slots: int, name: str = "slot", tie: Column | None = None
 ) -> DataFrame:

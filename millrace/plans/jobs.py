@@ -37,11 +37,13 @@ def funnel(
 ) -> DataFrame:
     """How many sessions reached each step, a step counting only after the one before it.
 
-    All window columns share one order, so the events are shuffled once for the
-    sessions and once for the steps; no session is gathered into a list.
+    The numbered events are written aside, then all steps share one shuffle; no
+    session is gathered into a list.
     """
     numbered = sessionize(events.select(user, ts, kind, event_id), user, ts, gap, split, event_id)
-    walk = SplitWindow(numbered, [user, "session_no"], [ts, event_id], split)
+    aside = shared_path(events.sparkSession, "sessions")
+    numbered.write.parquet(aside)
+    walk = SplitWindow(events.sparkSession.read.parquet(aside), [user, "session_no"], [ts, event_id], split)
     for i, step in enumerate(steps):
         hit = F.col(kind) == step
         if i:

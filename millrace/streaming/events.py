@@ -4,6 +4,7 @@ rows in batch, except for windows a stream has not closed yet."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,6 +117,18 @@ def running_state(df: DataFrame, key: str, value: str, row_id: str, shards: int
     )
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Set the state store `running_state` needs while its query starts and runs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def combine_shards(updates: DataFrame, key: str) -> DataFrame:
     """Totals per key from the latest update of each of its shards."""
     latest = updates.groupBy(key, "shard").agg(F.max(F.struct("n", "total")).alias("s"))
