@@ -10,9 +10,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def revenue_udf(units: pa.Array, price: pa.Array) -> pa.Array:
     """Units times price over Arrow batches."""
     return pc.multiply(units.cast(pa.float64()), price)
@@ -38,7 +39,7 @@ def mean_or(df: DataFrame, keys: Sequence[str], value: Column, default: float, n
     return df.groupBy(*keys).agg(F.coalesce(average, F.lit(float(default))).alias(name))
 
 
-@F.udtf(returnType="word string, position int")
+@F.udtf(returnType=T.StructType().add("word", T.StringType()).add("position", T.IntegerType()))
 class Words:
     """Table function: the words of a text with their position."""
 
@@ -47,7 +48,7 @@ class Words:
             yield word, i
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def mean_udaf(values: pd.Series) -> float:
     """Grouped-aggregate form of the mean, for groups known to fit one worker."""
     return float(values.mean()) if values.notna().any() else -1.0

@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import ship_package
-
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
@@ -93,5 +91,4 @@ def map_batches(
         for batch in batches:
             yield transform(resource, batch)
 
-    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

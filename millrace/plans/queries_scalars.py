@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, nested, nulls, text, udfs
 from millrace.operators.aggregates import money
 from millrace.plans.registry import query
-from millrace.session import ship_package
 
 
 @query("f01_text_case", "SELECT id, trim(value) AS trimmed, upper(trim(value)) AS upper, lower(trim(value)) AS lower FROM #names")
@@ -283,13 +282,11 @@ def _by_region(df):
 
 @query("x01_revenue_udf", _REVENUE)
 def _(t):
-    ship_package(t.spark)
     return _by_region(t.sales.withColumn("revenue", udfs.revenue_udf("units", "price")))
 
 
 @query("x01_revenue_udf_sql", _REVENUE)
 def _(t):
-    ship_package(t.spark)
     udfs.register_revenue(t.spark)
     return t.spark.sql(
         "SELECT region, round(sum(revenue(units, price)), 2) AS revenue FROM {sales} GROUP BY region", sales=t.sales
@@ -310,5 +307,4 @@ def _(t):
 
 @query("x04_table_function", """SELECT emp_id, unnest(skills) AS word, unnest(range(len(skills)))::INTEGER AS position FROM #emp""")
 def _(t):
-    ship_package(t.spark)
     return t.emp.lateralJoin(udfs.Words(F.col("name").outer())).select("emp_id", "word", "position")

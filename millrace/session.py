@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -60,17 +58,3 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per session, for operators
-    that run Python inside tasks."""
-    context = spark.sparkContext
-    if getattr(context, "_millrace_shipped", False):
-        return
-    package = Path(__file__).parent
-    archive = shutil.make_archive(
-        f"{tempfile.mkdtemp(prefix='run-')}/{package.name}", "zip", package.parent, package.name
-    )
-    context.addPyFile(archive)
-    context._millrace_shipped = True

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.skew import row_salt
-from millrace.session import ship_package
 
 
 def read_events(spark: SparkSession, path: str, schema, ts: str, files_per_batch: int = 1000) -> DataFrame:
@@ -106,7 +105,6 @@ def running_state(df: DataFrame, key: str, value: str, row_id: str, shards: int
     A key's rows are spread over `shards` states, so a hot key is not one task's
     work; `combine_shards` adds them up. Run it in update mode.
     """
-    ship_package(df.sparkSession)
     sharded = df.select(key, row_salt([row_id], shards).alias("shard"), value)
     key_type = dict(sharded.dtypes)[key]
     return sharded.groupBy(key, "shard").transformWithStateInPandas(
@@ -130,6 +128,7 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
 
 
 def combine_shards(updates: DataFrame, key: str) -> DataFrame:
-    """Totals per key from the latest update of each of its shards."""
-    latest = updates.groupBy(key, "shard").agg(F.max(F.struct("n", "total")).alias("s"))
+    """Totals per key from the update each of its shards gave last; `updates` has
+    the micro-batch number in `batch`."""
+    latest = updates.groupBy(key, "shard").agg(F.max(F.struct("batch", "n", "total")).alias("s"))
     return latest.groupBy(key).agg(F.sum("s.n").alias("n"), F.sum("s.total").alias("total"))
