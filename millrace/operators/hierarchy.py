@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import shared_root
+from millrace.session import shared_path
 
 
 def _roots(edges: DataFrame, node: str, parent: str, root) -> DataFrame:
@@ -37,22 +37,25 @@ def levels_fixed(edges: DataFrame, node: str, parent: str, root, depth: int) ->
 def walk(edges: DataFrame, node: str, parent: str, root, max_depth: int = 10_000) -> DataFrame:
     """Every node reachable from the root, with level and path.
 
-    Each level is checkpointed to the shared folder, so plans stay one join long
-    and a lost executor costs at most the level in progress. Nodes seen before
-    are left out of a level, which ends cycles.
+    Each level is written to a table in the shared folder that the next one
+    reads, so plans stay one join long, a lost executor costs at most the level
+    in progress, and small levels are broadcast by their known size. Nodes seen
+    before are left out of a level, which ends cycles.
     """
-    shared_root(edges.sparkSession)
-    frontier = _roots(edges, node, parent, root).checkpoint()
-    found, since = frontier, 0
-    for _ in range(max_depth):
-        fresh = _children(frontier, edges, node, parent).join(found.select("node"), "node", "left_anti")
-        # A node with several parents arrives once per parent; one path is kept.
-        frontier = fresh.groupBy("node").agg(F.min("level").alias("level"), F.min("path").alias("path")).checkpoint()
-        if frontier.isEmpty():
+    spark = edges.sparkSession
+    table = shared_path(spark, "levels")
+    fresh = _roots(edges, node, parent, root).select("node", "path")
+    schema = f"node {dict(fresh.dtypes)['node']}, path string, level int"
+    for level in range(max_depth + 1):
+        counted = Observation()
+        fresh.observe(counted, F.count("*").alias("rows")).write.parquet(f"{table}/level={level}")
+        found = spark.read.schema(schema).parquet(table).select("node", "level", "path")
+        if counted.get["rows"] == 0:
             return found
-        found, since = found.unionByName(frontier), since + 1
-        if since == 20:
-            found, since = found.checkpoint(), 0
+        frontier = found.where(F.col("level") == level)
+        children = _children(frontier, edges, node, parent).join(found.select("node"), "node", "left_anti")
+        # A node with several parents arrives once per parent; one path is kept.
+        fresh = children.groupBy("node").agg(F.min("path").alias("path"))
     raise ValueError(f"the hierarchy is deeper than {max_depth} levels")
 
 
