@@ -135,7 +135,7 @@ def median_by(df: DataFrame, key: str, value: str, split: Split) -> DataFrame:
     present = df.where(F.col(value).isNotNull())
     weights = present.groupBy(key, value).agg(F.count("*").alias("_w"))
     placed = SplitWindow(weights, [key], [value], split).running(F.col("_w"), "_upto").frame()
-    sizes = present.groupBy(key).agg(F.count("*").alias("_n"))
+    sizes = weights.groupBy(key).agg(F.sum("_w").alias("_n"))
     # The middle ranks are (n + 1) div 2 and (n + 2) div 2, equal when n is odd.
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
     before = F.col("_upto") - F.col("_w")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import shared_root
+
 
 def repartition_by(df: DataFrame, n: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Full shuffle to `n` partitions, by `keys` if given; without `n` the number
@@ -21,6 +23,15 @@ def shrink(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The same rows, stored in the shared folder, with a plan that starts there.
+
+    For loops whose plans would grow; the copy outlives lost executors.
+    """
+    shared_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def partition_profile(df: DataFrame) -> DataFrame:
     """Rows in each partition that has any."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))

@@ -13,8 +13,9 @@ from millrace.session import shared_root
 # at most 1 / HOT_SHARE hot keys and a frame of hot keys is safe to broadcast.
 HOT_SHARE = 1e-5
 HOT_ROWS = 1_000_000
-# Most rows a side may have for `broadcast_checked` to hint it.
+# Most rows and bytes a side may have to be hinted as a broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def row_salt(ids: Sequence[str], n: int | Column) -> Column:
@@ -22,6 +23,12 @@ def row_salt(ids: Sequence[str], n: int | Column) -> Column:
     return F.pmod(F.xxhash64(*ids), F.lit(n) if isinstance(n, int) else n)
 
 
+def _kept(hot: DataFrame) -> DataFrame:
+    """A small result computed now, so that several uses of it scan the table once."""
+    shared_root(hot.sparkSession)
+    return hot.checkpoint()
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Key groups with at least `max(hot_rows, HOT_SHARE * all rows)` rows, or None.
 
@@ -30,11 +37,10 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     `_group`, which compares null keys as equal: at most 1 / HOT_SHARE rows, kept
     in the shared folder.
     """
-    shared_root(df.sparkSession)
     counts = df.groupBy(F.struct(*keys).alias("_group")).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("n")).scalar()
     enough = F.greatest(F.lit(float(hot_rows)), total * F.lit(HOT_SHARE))
-    hot = counts.where(F.col("_rows") >= enough).select("_group").checkpoint()
+    hot = _kept(counts.where(F.col("_rows") >= enough).select("_group"))
     return None if hot.isEmpty() else hot
 
 
@@ -45,13 +51,16 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     return counts.withColumn("share", F.col("rows") / total).where(F.col("share") >= share)
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `rows` rows; reads no more than it needs to tell."""
-    return df.limit(rows + 1).count() <= rows
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether `df` is within both bounds. Counts first; measures only if few rows."""
+    if df.count() > rows:
+        return False
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return df.agg(F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first()["bytes"] <= size
 
 
 def broadcast_join(big: DataFrame, small: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `small` if it is within `rows`; otherwise leave the strategy to Spark."""
+    """Broadcast `small` if it is small enough; otherwise leave the strategy to Spark."""
     return big.join(F.broadcast(small) if small_enough(small, rows) else small, on, how)
 
 
@@ -71,7 +80,7 @@ def salted_join(
     1 / share rows, so broadcasting it is bounded. `how`: inner, left, left_semi
     or left_anti (the large side is the left one).
     """
-    hot = F.broadcast(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot")))
+    hot = F.broadcast(_kept(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot"))))
     left = large.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), row_salt(row_id, salts)).otherwise(F.lit(0).cast("bigint"))
     )
@@ -95,7 +104,7 @@ def split_hot_join(
     The right side's rows for the hot keys are broadcast when there are few
     enough of them, and joined by salt when not.
     """
-    hot = F.broadcast(hot_keys(left, key, share).select(key))
+    hot = F.broadcast(_kept(hot_keys(left, key, share).select(key)))
     hot_left, hot_right = left.join(hot, key, "left_semi"), right.join(hot, key, "left_semi")
     if small_enough(hot_right, rows):
         hot_part = hot_left.join(F.broadcast(hot_right), key)

@@ -66,7 +66,7 @@ class SplitWindow:
             slot = F.when(F.col("_hot"), F.struct(split.slot))
             self._df = marked.withColumn("_slot", slot).drop("_hot")
         elif not keys:
-            self._df = df.withColumns({"_group": F.struct(F.lit(0)), "_slot": split.slot})
+            self._df = df.withColumns({"_group": F.struct(F.lit(0)), "_slot": F.struct(split.slot)})
         else:
             self._df = df
 
@@ -245,7 +245,9 @@ def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
     placed = SplitWindow(cut, [], [f"-{value}"], Split(F.col("_cut"), descending=True))
     ranks = placed.numbers(row_number="dense_rank").running(F.col("_same"), "_before", "earlier").frame()
     rank = F.coalesce(F.col("_before"), F.lit(0)) + 1
-    return df.join(ranks.select(value, "dense_rank", rank.alias("rank")), value)
+    # Joined as a struct, in which a null value equals itself.
+    by_value = ranks.select(F.struct(value).alias("_value"), "dense_rank", rank.alias("rank"))
+    return df.withColumn("_value", F.struct(value)).join(by_value, "_value").drop("_value")
 
 
 def global_running(

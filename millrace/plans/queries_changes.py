@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import changes, quality
+from millrace.operators.skew import HOT_ROWS
 from millrace.plans.registry import query
-from millrace.plans.shapes import by_hour
+from millrace.plans.shapes import HOT, by_hour
 from millrace.session import shared_path
 
 _AGAIN = "(SELECT * FROM #upd UNION ALL SELECT * FROM #upd WHERE record_id % 10 = 0)"
@@ -42,7 +43,8 @@ def _(t):
 
 @query("c05_apply_batches", f"SELECT {_SHOW} FROM #upd {_LWW}")
 def _(t):
-    batches = [t.upd.where("record_id < 6000"), t.upd.where("record_id >= 3000"), t.upd.where("record_id < 6000")]
+    early = t.upd.where("updated_at < TIMESTAMP_NTZ '2024-01-20'")
+    batches = [early, t.upd.where("updated_at >= TIMESTAMP_NTZ '2024-01-10'"), early]
     return _show(changes.apply_batches(batches, "cust_id", "updated_at", "record_id"))
 
 
@@ -68,16 +70,25 @@ _SCD2 = """starts AS (SELECT * FROM (SELECT *, lag(city) OVER (PARTITION BY cust
     lead(updated_at) OVER (PARTITION BY cust_id ORDER BY updated_at, record_id) AS valid_to FROM starts)"""
 
 
-def _history(t):
-    return changes.scd2(t.upd, "cust_id", "updated_at", "record_id", ["city"], by_hour("updated_at"))
+def _history(t, hot_rows=HOT_ROWS):
+    split = by_hour("updated_at", hot_rows)
+    return changes.scd2(t.upd, "cust_id", "updated_at", "record_id", ["city"], split)
 
 
-@query("c08_scd2", f"""WITH {_SCD2} SELECT cust_id, city, record_id, valid_from::VARCHAR AS valid_from,
-    valid_to::VARCHAR AS valid_to, valid_to IS NULL AS is_current FROM versions""")
+_VERSIONS = f"""WITH {_SCD2} SELECT cust_id, city, record_id, valid_from::VARCHAR AS valid_from,
+    valid_to::VARCHAR AS valid_to, valid_to IS NULL AS is_current FROM versions"""
+
+
+@query("c08_scd2", _VERSIONS)
 def _(t):
     return _history(t)
 
 
+@query("c08_scd2_split", _VERSIONS)
+def _(t):
+    return _history(t, HOT)
+
+
 @query("c09_as_of", f"""WITH {_SCD2} SELECT e.event_id, v.city FROM events e LEFT JOIN versions v ON v.cust_id = e.user_id
     AND v.valid_from <= e.ts + INTERVAL 1 HOUR AND (v.valid_to IS NULL OR e.ts + INTERVAL 1 HOUR < v.valid_to)""")
 def _(t):
@@ -88,13 +99,14 @@ def _(t):
     return found.select("event_id", "city")
 
 
-@query("c10_upsert", f"""WITH u AS (SELECT * FROM #upd WHERE cust_id % 2 = 0 {_LWW}),
-    target AS (SELECT * FROM #cust WHERE cust_id >= 20)
+@query("c10_upsert", f"""WITH u AS (SELECT * FROM #upd WHERE updated_at >= TIMESTAMP '2024-01-25' {_LWW}),
+    target AS (SELECT * FROM #cust WHERE city <> 'NATION_3')
     SELECT coalesce(t.cust_id, u.cust_id) AS cust_id, coalesce(u.cust_name, t.cust_name) AS cust_name,
     coalesce(u.city, t.city) AS city, t.signup_date::VARCHAR AS signup_date FROM target t FULL JOIN u ON t.cust_id = u.cust_id""")
 def _(t):
-    incoming = changes.last_write_wins(t.upd.where("cust_id % 2 = 0"), "cust_id", "updated_at", "record_id")
-    return changes.upsert(t.cust.where("cust_id >= 20"), incoming, "cust_id")
+    recent = t.upd.where("updated_at >= TIMESTAMP_NTZ '2024-01-25'")
+    incoming = changes.last_write_wins(recent, "cust_id", "updated_at", "record_id")
+    return changes.upsert(t.cust.where("city <> 'NATION_3'"), incoming, "cust_id")
 
 
 @query("c11_apply_cdc", f"""WITH u AS (SELECT * FROM #upd {_LWW})
@@ -106,12 +118,12 @@ def _(t):
     return changes.apply_cdc(target, t.upd, "cust_id", "updated_at", "record_id", "operation")
 
 
-@query("c12_late_records", """WITH applied AS (SELECT cust_id, max(updated_at) AS ts FROM #upd WHERE record_id < 5000 GROUP BY cust_id)
+@query("c12_late_records", """WITH applied AS (SELECT cust_id, max(updated_at) AS ts FROM #upd WHERE updated_at < TIMESTAMP '2024-01-15' GROUP BY cust_id)
     SELECT u.record_id, u.cust_id, applied.ts::VARCHAR AS applied_ts FROM #upd u JOIN applied USING (cust_id)
-    WHERE u.record_id % 3 = 0 AND u.updated_at < applied.ts""")
+    WHERE u.updated_at < applied.ts""")
 def _(t):
-    applied, batch = t.upd.where("record_id < 5000"), t.upd.where("record_id % 3 = 0")
-    late = changes.late_records(applied, batch, "cust_id", "updated_at")
+    applied = t.upd.where("updated_at < TIMESTAMP_NTZ '2024-01-15'")
+    late = changes.late_records(applied, t.upd, "cust_id", "updated_at")
     return late.select("record_id", "cust_id", "applied_ts")
 
 
@@ -122,12 +134,12 @@ def _(t):
 
 def _rules():
     return {
-        "user_known": F.col("user_id") % 13 != 0, "value_positive": F.col("value") >= 1,
+        "user_known": F.col("user_id") != 0, "value_positive": F.col("value") >= 1,
         "kind_allowed": F.col("event_type") != "error",
     }
 
 
-@query("c14_validate", """SELECT event_id, concat_ws(',', CASE WHEN user_id % 13 = 0 THEN 'user_known' END,
+@query("c14_validate", """SELECT event_id, concat_ws(',', CASE WHEN user_id = 0 THEN 'user_known' END,
     CASE WHEN value < 1 THEN 'value_positive' END, CASE WHEN event_type = 'error' THEN 'kind_allowed' END) AS broken
     FROM events""")
 def _(t):

@@ -55,12 +55,14 @@ def _(t):
 
 
 @query("z04_land", """SELECT 'landed' AS kind, CAST(ts AS DATE)::VARCHAR AS day, count(*) AS rows, sum(value::DECIMAL(18,2))::DOUBLE AS total
-    FROM events WHERE user_id % 13 <> 0 GROUP BY day
+    FROM events WHERE event_type <> 'error' GROUP BY day
     UNION ALL SELECT 'rejected', CAST(ts AS DATE)::VARCHAR, count(*), sum(value::DECIMAL(18,2))::DOUBLE FROM
-    (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0) WHERE user_id % 13 = 0 GROUP BY 2""")
+    (SELECT * FROM events UNION ALL SELECT * FROM events WHERE value > 30) WHERE event_type = 'error' GROUP BY 2""")
 def _(t):
-    events = t["events"].drop("props").withColumn("user_id", F.when(F.col("user_id") % 13 != 0, F.col("user_id")))
-    delivered = events.unionByName(events.where(F.col("event_id") % 10 == 0))
+    # Errors come without a user, and large values are delivered twice.
+    known = F.when(F.col("event_type") != "error", F.col("user_id"))
+    events = t["events"].drop("props").withColumn("user_id", known)
+    delivered = events.unionByName(events.where(F.col("value") > 30))
     path = shared_path(t.spark, "landing")
     rules = {"user": F.col("user_id").isNotNull(), "ts": F.col("ts").isNotNull()}
     bad = jobs.land(delivered, path, "event_id", ["ts"], "ts", rules)
@@ -74,7 +76,8 @@ def _(t):
     sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL""")
 def _(t):
     path = shared_path(t.spark, "summary")
-    late = (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")) | (F.col("event_id") % 50 == 0)
+    # The batch brings ten new days, and stragglers for the days before.
+    late = (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")) | (F.col("value") > 30)
     first = jobs.daily_totals(t["events"].where(~late), "ts", "event_type", "value")
     write_parquet(first, path, ["day"])
     batch = jobs.daily_totals(t["events"].where(late), "ts", "event_type", "value")
@@ -118,7 +121,7 @@ def _(t):
     (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1) WHERE operation <> 'DELETE'""")
 def _(t):
     history, current = jobs.change_history(
-        [t.upd, t.upd.where("record_id % 10 = 0")], "cust_id", "updated_at", "record_id", "operation", ["city"],
+        [t.upd, t.upd.where("city = 'purchase'")], "cust_id", "updated_at", "record_id", "operation", ["city"],
         by_hour("updated_at"),
     )
     rows = history.select(F.lit("history").alias("kind"), "cust_id", "city", "valid_from", "valid_to")
@@ -126,14 +129,15 @@ def _(t):
     return rows.unionByName(latest, allowMissingColumns=True)
 
 
-@query("z09_reconcile_revenue", """WITH v AS (SELECT event_id, ts, CASE WHEN event_id % 17 <> 0 THEN value::DECIMAL(18,2) END AS m,
-    CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END AS copies FROM events),
+@query("z09_reconcile_revenue", """WITH v AS (SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN value::DECIMAL(18,2) END AS m,
+    CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS copies FROM events),
     sides AS (SELECT CAST(ts AS DATE) AS day, m, copies, TRUE AS utc FROM v
     UNION ALL SELECT CAST(ts + INTERVAL 330 MINUTE AS DATE), m, copies, FALSE FROM v)
     SELECT day::VARCHAR AS day, sum(m * copies) FILTER (utc)::DOUBLE AS naive_total, sum(m) FILTER (utc)::DOUBLE AS deduped_total,
     sum(m) FILTER (NOT utc)::DOUBLE AS zone_total, coalesce(sum(copies - 1) FILTER (utc), 0)::BIGINT AS repeated_rows,
     count(*) FILTER (utc AND m IS NULL) AS missing_amounts FROM sides GROUP BY day""")
 def _(t):
-    events = t["events"].select("event_id", "ts", F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("value"))
-    raw = events.unionByName(events.where(F.col("event_id") % 10 == 0))
+    # Errors carry no amount, and purchases were delivered twice.
+    events = t["events"].withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
+    raw = events.unionByName(events.where(F.col("event_type") == "purchase")).select("event_id", "ts", "value")
     return jobs.reconcile_revenue(raw, "event_id", "ts", "value", "Asia/Kolkata")

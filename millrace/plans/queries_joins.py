@@ -24,16 +24,18 @@ def _(t):
     return joins.left_join(t.cust, big, "cust_id").select("cust_id", "cust_name", "order_id", "amount")
 
 
-@query("j03_full_outer_merge", """WITH a AS (SELECT * FROM #upd WHERE record_id % 3 <> 0
+@query("j03_full_outer_merge", """WITH a AS (SELECT * FROM #upd WHERE updated_at < TIMESTAMP '2024-01-20'
     QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1),
-    b AS (SELECT * FROM #upd WHERE record_id % 3 <> 1
+    b AS (SELECT * FROM #upd WHERE updated_at >= TIMESTAMP '2024-01-10' AND city <> 'click'
     QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1)
     SELECT cust_id, record_id, city, updated_at::VARCHAR AS updated_at FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
     QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1""")
 def _(t):
     log = t.upd.select("cust_id", "record_id", "city", "updated_at")
-    batch = [joins.latest_row(log.where(F.col("record_id") % 3 != r), "cust_id", ["updated_at", "record_id"]) for r in (0, 1)]
-    return joins.newest(batch[0], batch[1], "cust_id", ["updated_at", "record_id"])
+    at, version = F.col("updated_at"), ["updated_at", "record_id"]
+    a = joins.latest_row(log.where(at < F.lit("2024-01-20").cast("timestamp_ntz")), "cust_id", version)
+    late = log.where((at >= F.lit("2024-01-10").cast("timestamp_ntz")) & (F.col("city") != "click"))
+    return joins.newest(a, joins.latest_row(late, "cust_id", version), "cust_id", version)
 
 
 @query("j04_semi_join", "SELECT cust_id, cust_name FROM #cust WHERE cust_id IN (SELECT cust_id FROM #ord WHERE amount > 450000)")
@@ -131,16 +133,14 @@ def _(t):
     return _by_brand(skew.split_hot_join(large, small, "k", ["l_orderkey", "l_linenumber"]))
 
 
-_KEYS = """WITH l AS (SELECT order_id, nullif(cust_id % 500, 7) AS k FROM #ord),
-    r AS (SELECT cust_id, CASE WHEN cust_id <> 3 THEN cust_id END AS rk FROM #cust WHERE cust_id < 500)
+_KEYS = """WITH l AS (SELECT order_id, nullif(cust_id, 7) AS k FROM #ord),
+    r AS (SELECT cust_id, nullif(cust_id, 3) AS rk FROM #cust)
     SELECT order_id, cust_id FROM l JOIN r ON """
 
 
 def _null_keys(t, mode, sentinel=None):
-    left = t.ord.select("order_id", F.nullif(F.col("cust_id") % 500, F.lit(7)).alias("k"))
-    right = t.cust.where(F.col("cust_id") < 500).select(
-        "cust_id", F.when(F.col("cust_id") != 3, F.col("cust_id")).alias("rk")
-    )
+    left = t.ord.select("order_id", F.nullif("cust_id", F.lit(7)).alias("k"))
+    right = t.cust.select("cust_id", F.nullif("cust_id", F.lit(3)).alias("rk"))
     return joins.join_nulls(left, right, "k", "rk", mode, sentinel).select("order_id", "cust_id")
 
 

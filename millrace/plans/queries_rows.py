@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import layout, rows, sets, topk
 from millrace.operators.aggregates import money
-from millrace.operators.skew import hot_keys
+from millrace.operators.skew import hot_keys, row_salt
+from millrace.operators.subqueries import reused
 from millrace.plans.registry import query
 
 
@@ -228,18 +229,16 @@ def _(t):
     return sets.except_rows(*_two(t), keep_duplicates=True)
 
 
-@query("u07_reconcile", """WITH a AS (SELECT order_id, amount, status FROM #ord WHERE order_id % 5 <> 0),
-    b AS (SELECT order_id, CASE WHEN order_id % 9 = 0 THEN amount + 1 ELSE amount END AS amount, status
-          FROM #ord WHERE order_id % 7 <> 0)
+@query("u07_reconcile", """WITH a AS (SELECT order_id, amount, status FROM #ord WHERE status <> 'Cancelled'),
+    b AS (SELECT order_id, CASE WHEN status = 'Pending' THEN amount + 1 ELSE amount END AS amount, status
+          FROM #ord WHERE order_date < DATE '2001-01-01')
     SELECT * FROM (SELECT coalesce(a.order_id, b.order_id) AS order_id, CASE WHEN b.order_id IS NULL THEN 'only_left'
     WHEN a.order_id IS NULL THEN 'only_right' WHEN a.amount <> b.amount OR a.status <> b.status THEN 'changed' END
     AS status FROM a FULL JOIN b ON a.order_id = b.order_id) WHERE status IS NOT NULL""")
 def _(t):
-    orders = t.ord.select("order_id", "amount", "status")
-    a = orders.where(F.col("order_id") % 5 != 0)
-    b = orders.where(F.col("order_id") % 7 != 0).withColumn(
-        "amount", F.when(F.col("order_id") % 9 == 0, F.col("amount") + 1).otherwise(F.col("amount"))
-    )
+    corrected = F.when(F.col("status") == "Pending", F.col("amount") + 1).otherwise(F.col("amount"))
+    a = t.ord.where(F.col("status") != "Cancelled").select("order_id", "amount", "status")
+    b = t.ord.where(F.col("order_date") < "2001-01-01").select("order_id", corrected.alias("amount"), "status")
     return sets.reconcile(a, b, "order_id")
 
 
@@ -255,3 +254,39 @@ def _(t):
     return hot_keys(t.hot, "k", 0.01)
 
 
+
+
+@query("k01_repartition", "SELECT status, count(*) AS rows FROM #ord GROUP BY status")
+def _(t):
+    # Rows per partition after a shuffle by key, where each status sits in one partition.
+    by_key = layout.repartition_by(t.ord.select("status"), keys=["status"])
+    return by_key.groupBy("status", F.spark_partition_id()).agg(F.count("*").alias("rows")).select("status", "rows")
+
+
+@query("k02_shrink", "SELECT count(*) AS rows, TRUE AS few FROM #ord")
+def _(t):
+    profile = layout.partition_profile(layout.shrink(layout.repartition_by(t.ord, 12), 3))
+    return profile.agg(F.sum("rows").alias("rows"), (F.count("*") <= 3).alias("few"))
+
+
+@query("k04_reused", "SELECT city, cust_cnt, cust_cnt * 1.0::DOUBLE / (SELECT max(n) FROM (SELECT count(*) AS n FROM #cust GROUP BY city)) "
+       "AS share FROM (SELECT city, count(*) AS cust_cnt FROM #cust GROUP BY city)")
+def _(t):
+    counts = t.cust.groupBy("city").agg(F.count("*").alias("cust_cnt"))
+    with reused(counts) as kept:
+        most = kept.agg(F.max("cust_cnt").alias("most")).first()["most"]
+        # Stored before the cache is released, as the result is read later.
+        return layout.cut_lineage(kept.withColumn("share", F.col("cust_cnt") / F.lit(float(most))))
+
+
+@query("k05_cut_lineage", "SELECT cust_id, count(*) AS orders FROM #ord GROUP BY cust_id")
+def _(t):
+    return layout.cut_lineage(t.ord.groupBy("cust_id").agg(F.count("*").alias("orders")))
+
+
+@query("f09_row_salt", "SELECT count(*) AS rows, 16 AS salts, TRUE AS even FROM #ord")
+def _(t):
+    counts = t.ord.select(row_salt(["order_id"], 16).alias("salt")).groupBy("salt").agg(F.count("*").alias("n"))
+    return counts.agg(
+        F.sum("n").alias("rows"), F.count("*").alias("salts"), (F.max("n") <= 2 * F.avg("n")).alias("even")
+    )

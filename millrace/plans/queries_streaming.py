@@ -67,7 +67,7 @@ def _(t):
 
 @query("t05_dedup", "SELECT event_id, user_id FROM events")
 def _(t):
-    twice = _events(t).unionByName(_events(t).where(F.col("event_id") % 10 == 0))
+    twice = _events(t).unionByName(_events(t).where(F.col("event_type") == "purchase"))
     deduped = stream.stream_dedup(stream.with_lateness(twice, "ts", DELAY), ["event_id"])
     return _run(t, deduped.select("event_id", "user_id"))
 
@@ -147,3 +147,15 @@ def _(t):
         runs.run_mode(totals, "update", out, state)
     combined = stream.combine_shards(t.spark.read.parquet(out), "user_id")
     return combined.select("user_id", "n", F.round("total", 4).alias("total"))
+
+
+@query("t12_run_available", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
+def _(t):
+    return _run(t, _events(t).select("event_type")).groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+@query("t14_state_report", "SELECT count(DISTINCT user_id) AS rows FROM events")
+def _(t):
+    out, state = shared_path(t.spark, "out"), shared_path(t.spark, "state")
+    done = runs.run_mode(_per_user(t), "update", out, state)
+    return runs.state_report(done).agg(F.max("rows").alias("rows"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import calendar_fill
 from millrace.operators import windows as win
 from millrace.operators.aggregates import money
+from millrace.operators.skew import HOT_ROWS
 from millrace.operators.windows import Split, SplitWindow
 from millrace.plans.registry import query
 from millrace.plans.shapes import HOT, by_day, by_hour
@@ -19,8 +20,8 @@ def _orders(t):
     return t.ord.select("cust_id", "order_id", "order_date", "amount")
 
 
-def _by_date(t):
-    return SplitWindow(_orders(t), ["cust_id"], ["order_date", "order_id"], by_day())
+def _by_date(t, hot_rows=HOT_ROWS):
+    return SplitWindow(_orders(t), ["cust_id"], ["order_date", "order_id"], by_day("order_date", hot_rows))
 
 
 @query("w01_rank_all", """SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS rn,
@@ -28,37 +29,63 @@ def _by_date(t):
     FROM part""")
 def _(t):
     part = t["part"].select("p_brand", "p_partkey", "p_size")
-    split = Split(F.col("p_size"), hot_rows=HOT)
+    split = Split(F.col("p_size"))
     ties = SplitWindow(part, ["p_brand"], ["p_size"], split).numbers(rank="rnk", dense_rank="dense").frame()
     placed = SplitWindow(ties, ["p_brand"], ["p_size", "p_partkey"], split).numbers(row_number="rn").frame()
     return placed.drop("p_size")
 
 
-@query("w02_lag_lead", f"""SELECT cust_id, order_id, lag(amount) OVER ({_W}) AS previous, lead(amount) OVER ({_W}) AS following,
-    lag(amount, 2, 0) OVER ({_W}) AS two_back FROM #ord""")
-def _(t):
-    w = _by_date(t).neighbour(F.col("amount"), "previous", -1).neighbour(F.col("amount"), "following", 1)
+_LAG_LEAD = f"""SELECT cust_id, order_id, lag(amount) OVER ({_W}) AS previous, lead(amount) OVER ({_W}) AS following,
+    lag(amount, 2, 0) OVER ({_W}) AS two_back FROM #ord"""
+
+
+def _lag_lead(t, hot_rows):
+    w = _by_date(t, hot_rows).neighbour(F.col("amount"), "previous", -1).neighbour(F.col("amount"), "following", 1)
     return w.neighbour(F.col("amount"), "two_back", -2, F.lit(0.0)).frame().drop("order_date", "amount")
 
 
-@query("w03_lag_ignore_nulls", f"""SELECT cust_id, order_id, last_value(CASE WHEN order_id % 3 <> 0 THEN amount END IGNORE NULLS)
+@query("w02_lag_lead", _LAG_LEAD)
+def _(t):
+    return _lag_lead(t, HOT_ROWS)
+
+
+@query("w02_lag_lead_split", _LAG_LEAD)
+def _(t):
+    return _lag_lead(t, HOT)
+
+
+@query("w03_lag_ignore_nulls", f"""SELECT cust_id, order_id, last_value(CASE WHEN status <> 'Pending' THEN amount END IGNORE NULLS)
     OVER ({_W} {_ROWS} 1 PRECEDING) AS known FROM #ord""")
 def _(t):
-    present = F.when(F.col("order_id") % 3 != 0, F.col("amount"))
-    return _by_date(t).last_known(present, "known").frame().select("cust_id", "order_id", "known")
+    present = t.ord.withColumn("settled", F.when(F.col("status") != "Pending", F.col("amount")))
+    w = SplitWindow(present, ["cust_id"], ["order_date", "order_id"], by_day())
+    return w.last_known(F.col("settled"), "known").frame().select("cust_id", "order_id", "known")
 
 
-@query("w04_running_total", f"""SELECT cust_id, order_id, sum(money) OVER ({_W} {_ROWS} CURRENT ROW)::DOUBLE AS running
-    FROM #ord""")
+_RUNNING = f"""SELECT cust_id, order_id, sum(money) OVER ({_W} {_ROWS} CURRENT ROW)::DOUBLE AS running,
+    row_number() OVER ({_W}) AS nth FROM #ord"""
+
+
+def _running(t, hot_rows):
+    w = _by_date(t, hot_rows).running(money("amount"), "running").numbers(row_number="nth")
+    return w.frame().select("cust_id", "order_id", "running", "nth")
+
+
+@query("w04_running_total", _RUNNING)
+def _(t):
+    return _running(t, HOT_ROWS)
+
+
+@query("w04_running_total_split", _RUNNING)
 def _(t):
-    return _by_date(t).running(money("amount"), "running").frame().select("cust_id", "order_id", "running")
+    return _running(t, HOT)
 
 
 @query("w05_running_total_range", """SELECT p_brand, p_partkey, sum(p_retailprice::DECIMAL(18,2)) OVER
     (PARTITION BY p_brand ORDER BY p_size)::DOUBLE AS running FROM part""")
 def _(t):
     part = t["part"].select("p_brand", "p_partkey", "p_size", "p_retailprice")
-    w = SplitWindow(part, ["p_brand"], ["p_size"], Split(F.col("p_size"), hot_rows=HOT))
+    w = SplitWindow(part, ["p_brand"], ["p_size"], Split(F.col("p_size")))
     return w.running(money("p_retailprice"), "running", "range").frame().select("p_brand", "p_partkey", "running")
 
 
@@ -149,11 +176,23 @@ def _(t):
     return w.running(money("amount"), "running").frame().drop("order_date", "amount")
 
 
-@query("w16_sessionize", """SELECT event_id, user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id
+_SESSIONS = """SELECT event_id, user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS session_no FROM (SELECT *, CASE WHEN ts - lag(ts) OVER
-    (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events)""")
-def _(t):
+    (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events)"""
+
+
+def _sessions(t, hot_rows):
     events = t["events"].select("event_id", "user_id", "ts")
-    return win.sessionize(events, "user_id", "ts", "30 MINUTES", by_hour(), "event_id").drop("ts")
+    return win.sessionize(events, "user_id", "ts", "30 MINUTES", by_hour("ts", hot_rows), "event_id").drop("ts")
+
+
+@query("w16_sessionize", _SESSIONS)
+def _(t):
+    return _sessions(t, HOT_ROWS)
+
+
+@query("w16_sessionize_split", _SESSIONS)
+def _(t):
+    return _sessions(t, HOT)
 
 

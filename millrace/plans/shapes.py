@@ -8,22 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import ordered_list
+from millrace.operators.skew import HOT_ROWS
 from millrace.operators.windows import Split
 from millrace.sources.files import scan
 
-# Groups of this many rows are already split in the registered queries, so that
-# small test data goes through the split path; the share of all rows a hot key
-# must hold (`skew.HOT_SHARE`) takes over on large tables.
-HOT = 50
+# The `_split` queries treat groups of this many rows as hot, so that small test
+# data goes through the split path; on large tables the share of all rows a hot
+# key must hold (`skew.HOT_SHARE`) takes over.
+HOT = 5
 LONGEST_LIST = 10_000
 
 
-def by_day(column: str = "order_date", descending: bool = False) -> Split:
-    return Split(F.to_date(column), descending, HOT)
+def by_day(column: str = "order_date", hot_rows: int = HOT_ROWS) -> Split:
+    return Split(F.to_date(column), hot_rows=hot_rows)
 
 
-def by_hour(column: str = "ts", descending: bool = False) -> Split:
-    return Split(F.date_trunc("hour", column), descending, HOT)
+def by_hour(column: str = "ts", hot_rows: int = HOT_ROWS) -> Split:
+    return Split(F.date_trunc("hour", column), hot_rows=hot_rows)
 
 
 class Tables:
@@ -98,7 +99,7 @@ class Tables:
         slot = F.struct("l_quantity", F.floor(F.col("l_partkey") / 1024))
         lists = ordered_list(
             self["lineitem"].select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey", "l_quantity",
-            ["l_quantity", "l_partkey"], Split(slot, hot_rows=HOT), LONGEST_LIST,
+            ["l_quantity", "l_partkey"], Split(slot), LONGEST_LIST,
         )
         return lists.withColumnRenamed("l_orderkey", "id")
 
