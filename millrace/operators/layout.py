@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import shared_root
+from millrace.session import stored
 
 
 def repartition_by(df: DataFrame, n: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
@@ -24,12 +24,8 @@ def shrink(df: DataFrame, n: int) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The same rows, stored in the shared folder, with a plan that starts there.
-
-    For loops whose plans would grow; the copy outlives lost executors.
-    """
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+    """The same rows with a plan that starts at a stored copy."""
+    return stored(df)
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

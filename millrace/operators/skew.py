@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import shared_root
+from millrace.session import stored
 
 # A key is hot only if it holds at least this share of all rows, so a table has
 # at most 1 / HOT_SHARE hot keys and a frame of hot keys is safe to broadcast.
@@ -23,12 +23,6 @@ def row_salt(ids: Sequence[str], n: int | Column) -> Column:
     return F.pmod(F.xxhash64(*ids), F.lit(n) if isinstance(n, int) else n)
 
 
-def _kept(hot: DataFrame) -> DataFrame:
-    """A small result computed now, so that several uses of it scan the table once."""
-    shared_root(hot.sparkSession)
-    return hot.checkpoint()
-
-
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Key groups with at least `max(hot_rows, HOT_SHARE * all rows)` rows, or None.
 
@@ -40,7 +34,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     counts = df.groupBy(F.struct(*keys).alias("_group")).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("n")).scalar()
     enough = F.greatest(F.lit(float(hot_rows)), total * F.lit(HOT_SHARE))
-    hot = _kept(counts.where(F.col("_rows") >= enough).select("_group"))
+    hot = stored(counts.where(F.col("_rows") >= enough).select("_group"))
     return None if hot.isEmpty() else hot
 
 
@@ -80,7 +74,7 @@ def salted_join(
     1 / share rows, so broadcasting it is bounded. `how`: inner, left, left_semi
     or left_anti (the large side is the left one).
     """
-    hot = F.broadcast(_kept(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot"))))
+    hot = F.broadcast(stored(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot"))))
     left = large.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), row_salt(row_id, salts)).otherwise(F.lit(0).cast("bigint"))
     )
@@ -104,7 +98,7 @@ def split_hot_join(
     The right side's rows for the hot keys are broadcast when there are few
     enough of them, and joined by salt when not.
     """
-    hot = F.broadcast(_kept(hot_keys(left, key, share).select(key)))
+    hot = F.broadcast(stored(hot_keys(left, key, share).select(key)))
     hot_left, hot_right = left.join(hot, key, "left_semi"), right.join(hot, key, "left_semi")
     if small_enough(hot_right, rows):
         hot_part = hot_left.join(F.broadcast(hot_right), key)

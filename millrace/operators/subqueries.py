@@ -42,11 +42,11 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
     whatever its size; this form shuffles when the list is large.
     """
     members = other.select(F.col(other_key).alias(key))
-    empty = F.col("_n") == 0
-    usable = (F.col("_nulls") == 0) & F.col(key).isNotNull()
-    facts = {"_n": F.count("*"), "_nulls": F.count_if(F.col(key).isNull())}
-    known = with_global(df, members, facts).where(empty | usable)
-    return known.join(members.where(F.col(key).isNotNull()), key, "left_anti").drop("_n", "_nulls")
+    nulls = F.count_if(F.col(key).isNull())
+    facts = scalar(members, F.struct(F.count("*").alias("n"), nulls.alias("nulls")))
+    usable = (facts["nulls"] == 0) & F.col(key).isNotNull()
+    known = df.where((facts["n"] == 0) | usable)
+    return known.join(members.where(F.col(key).isNotNull()), key, "left_anti")
 
 
 def exists(df: DataFrame, other: DataFrame, condition: Column | Sequence[str] | str) -> DataFrame:

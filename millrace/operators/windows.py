@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import HOT_ROWS, hot_groups, with_group_total
+from millrace.session import stored
 
 FIRST, NOW = Window.unboundedPreceding, Window.currentRow
 
@@ -151,6 +152,13 @@ class SplitWindow:
         if not self._cut:
             df = self._df.withColumn("_box", shift(boxed, n).over(w))
             return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box"))
+        if n == 1 and not any(c.startswith("-") for c in self._order):
+            # All a slot needs from the one beside it is that one's nearest row.
+            nearest = (F.min_by if offset > 0 else F.max_by)(boxed, F.struct(*self._order))
+            far = self._slots(_b=nearest).select("_group", "_slot", shift("_b", 1).over(self._slot_order).alias("_b"))
+            df = self._attach(self._df.withColumn("_box", shift(boxed, 1).over(w)), far)
+            df = df.withColumn("_box", F.coalesce("_box", "_b")).drop("_b")
+            return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box"))
         # Position from the end the shift looks over.
         position = F.row_number().over(w)
         if offset > 0:
@@ -238,9 +246,10 @@ def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
     """Add `rank` and `dense_rank` over the whole table, largest value first.
 
     Ranks come from the distinct values, where a common value is one row, and are
-    joined back.
+    joined back. The values are stored, as finding cut points and ranking both
+    read them.
     """
-    values = df.groupBy(value).agg(F.count("*").alias("_same"))
+    values = stored(df.groupBy(value).agg(F.count("*").alias("_same")))
     cut = quantile_slot(values, value, slots, "_cut")
     placed = SplitWindow(cut, [], [f"-{value}"], Split(F.col("_cut"), descending=True))
     ranks = placed.numbers(row_number="dense_rank").running(F.col("_same"), "_before", "earlier").frame()
@@ -256,8 +265,10 @@ def global_running(
     """Running total and ranks over the whole table, largest value first.
 
     Adds `running`, `rank` and `dense_rank`; `tie` is a unique id that orders
-    equal values. No task sees more than one slot.
+    equal values. No task sees more than one slot. The rows are stored first:
+    cutting, totals and ranks each read them.
     """
+    df = stored(df)
     cut = quantile_slot(df, value, slots, "_cut", F.floor(F.col(tie) / tie_step))
     ordered = SplitWindow(cut, [], [f"-{value}", tie], Split(_slot_down(), descending=True))
     return global_ranks(ordered.running(F.col(value), "running").frame().drop("_cut"), value, slots)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import layout, rows, sets, topk
 from millrace.operators.aggregates import money
 from millrace.operators.skew import hot_keys, row_salt
-from millrace.operators.subqueries import reused
+from millrace.operators.subqueries import reused, scalar
 from millrace.plans.registry import query
 
 
@@ -274,9 +274,9 @@ def _(t):
 def _(t):
     counts = t.cust.groupBy("city").agg(F.count("*").alias("cust_cnt"))
     with reused(counts) as kept:
-        most = kept.agg(F.max("cust_cnt").alias("most")).first()["most"]
+        most = scalar(kept, F.max("cust_cnt"))
         # Stored before the cache is released, as the result is read later.
-        return layout.cut_lineage(kept.withColumn("share", F.col("cust_cnt") / F.lit(float(most))))
+        return layout.cut_lineage(kept.withColumn("share", F.col("cust_cnt") / most))
 
 
 @query("k05_cut_lineage", "SELECT cust_id, count(*) AS orders FROM #ord GROUP BY cust_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks partition counts, splits skewed join partitions and
 # turns joins into broadcasts from measured sizes; the rest of the library
@@ -58,3 +58,13 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, computed now and kept in the shared folder.
+
+    For results that several plans read, and for loops whose plans would grow.
+    The copy outlives lost executors.
+    """
+    shared_root(df.sparkSession)
+    return df.checkpoint()
