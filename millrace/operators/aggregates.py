@@ -102,7 +102,7 @@ def ordered_list(
     A key with more rows gets several lists, numbered by `part`; nothing is cut
     off, and no single row has to hold a hot key's whole history.
     """
-    placed = SplitWindow(df, [key], order, split).numbers(row_number="_rn").frame()
+    placed = SplitWindow(df, [key], order, split).number("_rn").frame()
     part = F.floor((F.col("_rn") - 1) / longest)
     lists = placed.groupBy(key, part.alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("_rn", F.col(value).alias("v")))).alias("_rows")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import row_salt
-from millrace.operators.windows import sort_columns
+from millrace.operators.windows import sort_columns, sort_names
 
 TIES = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -36,6 +36,37 @@ def top_n_per_key(
     return ranked.withColumn(name, F.col(name).cast("bigint"))
 
 
+def top_ties_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    n: int,
+    ties: str,
+    row_id: Sequence[str],
+    name: str = "position",
+    salts: int = 32,
+) -> DataFrame:
+    """`top_n_per_key` by rank or dense_rank when very many rows may tie.
+
+    The best places are found on the order columns alone, per (key, salt) first,
+    where ties collapse to a count; the rows are then matched with them. A third
+    of the table tied in first place never meets in one task.
+    """
+    names = sort_names(order)
+    salted = df.select(*keys, *names, row_salt(row_id, salts).alias("_salt"))
+    near = top_n_per_key(salted, [*keys, "_salt"], order, n, "dense_rank", "_place")
+    # Every row with one of a key's n best values is still there, so counts are exact.
+    best = near.groupBy(*keys, *names).agg(F.count("*").alias("_same"))
+    best = top_n_per_key(best, keys, order, n, name="_place")
+    if ties == "rank":
+        above = Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+        best = best.withColumn("_place", F.coalesce(F.sum("_same").over(above), F.lit(0)) + 1)
+    places = best.where(F.col("_place") <= n).select(
+        F.struct(*keys, *names).alias("_peer"), F.col("_place").alias(name)
+    )
+    return df.withColumn("_peer", F.struct(*keys, *names)).join(places, "_peer").drop("_peer")
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first in `order`; make `order` unique within a key."""
     return top_n_per_key(df, keys, order, 1, name="_place").drop("_place")

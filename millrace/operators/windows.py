@@ -37,10 +37,10 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
 class Split:
     """How to cut a hot group.
 
-    `slot` must move in one direction along the sort order and be equal for rows
-    that tie on its leading column: a day or hour of the sort timestamp, an id
-    divided by a step, or the column `quantile_slot` adds. `descending` says the
-    order runs from high slots to low ones.
+    `slot` must move in one direction along the sort order: a day or hour of the
+    leading timestamp, an id divided by a step, the column `quantile_slot` adds,
+    or a struct of the leading column and a slot of the next. `descending` says
+    the order runs from high slots to low ones.
     """
 
     slot: Column
@@ -98,42 +98,20 @@ class SplitWindow:
     def _attach(self, df: DataFrame, per_slot: DataFrame) -> DataFrame:
         return df.join(per_slot, ["_group", "_slot"], "left")
 
-    def numbers(
-        self, row_number: str | None = None, rank: str | None = None, dense_rank: str | None = None
-    ) -> SplitWindow:
-        """Add any of row_number, rank and dense_rank under the given names."""
-        w = self._rows
-        within, before, aggs = {}, {}, {}
-        earlier = self._slot_order.rowsBetween(FIRST, -1)
-        if row_number or rank:
-            aggs["_n"] = F.count("*")
-            before["_n"] = F.sum("_n").over(earlier)
-        if dense_rank:
-            aggs["_d"] = F.count_distinct(F.struct(*sort_names(self._order)))
-            before["_d"] = F.sum("_d").over(earlier)
-        for name, fn, base in (
-            (row_number, F.row_number, "_n"), (rank, F.rank, "_n"), (dense_rank, F.dense_rank, "_d")
-        ):
-            if name:
-                within[name] = (fn().over(w), base)
-        df = self._df.withColumns({name: c.cast("bigint") for name, (c, _) in within.items()})
+    def number(self, name: str) -> SplitWindow:
+        """Row numbers from 1."""
+        df = self._df.withColumn(name, F.row_number().over(self._rows).cast("bigint"))
         if not self._cut:
             return self._with(df)
-        offsets = self._slots(**aggs).select("_group", "_slot", *[c.alias(n) for n, c in before.items()])
-        df = self._attach(df, offsets).withColumns(
-            {name: F.col(name) + F.coalesce(F.col(base), F.lit(0)) for name, (_, base) in within.items()}
-        )
-        return self._with(df.drop(*before))
-
-    def running(self, value: Column, name: str, frame: str = "rows") -> SplitWindow:
-        """Running sum. `frame`: "rows" up to this row, "range" with its ties, or
-        "earlier" for the rows before it (null on the first)."""
-        w = {
-            "rows": self._rows.rowsBetween(FIRST, NOW),
-            "range": self._rows.rangeBetween(FIRST, NOW),
-            "earlier": self._rows.rowsBetween(FIRST, -1),
-        }[frame]
-        df = self._df.withColumn(name, F.sum(value).over(w))
+        before = F.sum("_n").over(self._slot_order.rowsBetween(FIRST, -1))
+        offsets = self._slots(_n=F.count("*")).select("_group", "_slot", before.alias("_n"))
+        total = F.col(name) + F.coalesce(F.col("_n"), F.lit(0))
+        return self._with(self._attach(df, offsets).withColumn(name, total).drop("_n"))
+
+    def running(self, value: Column, name: str, inclusive: bool = True) -> SplitWindow:
+        """Running sum up to this row, or over the rows before it (null on the first)."""
+        frame = self._rows.rowsBetween(FIRST, NOW if inclusive else -1)
+        df = self._df.withColumn(name, F.sum(value).over(frame))
         if not self._cut:
             return self._with(df)
         offsets = self._slots(_t=F.sum(value)).select(
@@ -242,6 +220,47 @@ def quantile_slot(
     return cut.withColumn(name, slot).drop("_value", "_bucket")
 
 
+def _peer_columns(placed: SplitWindow, rank: str | None, dense_rank: str | None, total: str | None) -> SplitWindow:
+    """Ranks and running total over one row per set of ties, with its size in
+    `_same` and its sum in `_sum`."""
+    if dense_rank:
+        placed = placed.number(dense_rank)
+    if rank:
+        placed = placed.running(F.col("_same"), rank, inclusive=False)
+        placed = placed.derive(**{rank: F.coalesce(F.col(rank), F.lit(0)) + 1})
+    return placed.running(F.col("_sum"), total) if total else placed
+
+
+def with_peers(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    split: Split,
+    rank: str | None = None,
+    dense_rank: str | None = None,
+    total: str | None = None,
+    value: Column | None = None,
+) -> DataFrame:
+    """Rank, dense rank and the running total of `value` whose frame includes ties.
+
+    Ties get equal answers, so with hot groups the work is done on one row per
+    set of ties and joined back: neither a hot key nor a common value in it meets
+    in one task. `split.slot` is an expression of the order columns.
+    """
+    if hot_groups(df, keys, split.hot_rows) is None:
+        w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+        wanted = {rank: F.rank, dense_rank: F.dense_rank}
+        columns = {name: fn().over(w).cast("bigint") for name, fn in wanted.items() if name}
+        return df.withColumns(columns | ({total: F.sum(value).over(w)} if total else {}))
+    names = sort_names(order)
+    summed = F.sum(F.lit(0) if value is None else value).alias("_sum")
+    peers = df.groupBy(*keys, *names).agg(F.count("*").alias("_same"), summed)
+    placed = _peer_columns(SplitWindow(peers, keys, order, split), rank, dense_rank, total).frame()
+    added = [c for c in (rank, dense_rank, total) if c]
+    by_peer = placed.select(F.struct(*keys, *names).alias("_peer"), *added)
+    return df.withColumn("_peer", F.struct(*keys, *names)).join(by_peer, "_peer").drop("_peer")
+
+
 def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
     """Add `rank` and `dense_rank` over the whole table, largest value first.
 
@@ -252,10 +271,9 @@ def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
     values = stored(df.groupBy(value).agg(F.count("*").alias("_same")))
     cut = quantile_slot(values, value, slots, "_cut")
     placed = SplitWindow(cut, [], [f"-{value}"], Split(F.col("_cut"), descending=True))
-    ranks = placed.numbers(row_number="dense_rank").running(F.col("_same"), "_before", "earlier").frame()
-    rank = F.coalesce(F.col("_before"), F.lit(0)) + 1
+    ranks = _peer_columns(placed, "rank", "dense_rank", None).frame()
     # Joined as a struct, in which a null value equals itself.
-    by_value = ranks.select(F.struct(value).alias("_value"), "dense_rank", rank.alias("rank"))
+    by_value = ranks.select(F.struct(value).alias("_value"), "dense_rank", "rank")
     return df.withColumn("_value", F.struct(value)).join(by_value, "_value").drop("_value")
 
 

@@ -49,7 +49,7 @@ def funnel(
         if i:
             hit &= F.coalesce(F.col(f"_seen{i - 1}"), F.lit(0)) > 0
         walk = walk.derive(**{f"_hit{i}": F.when(hit, 1).otherwise(0)})
-        walk = walk.running(F.col(f"_hit{i}"), f"_seen{i}", "earlier")
+        walk = walk.running(F.col(f"_hit{i}"), f"_seen{i}", inclusive=False)
     reached = walk.frame().groupBy(user, "session_no").agg(
         *[F.max(f"_hit{i}").alias(f"_hit{i}") for i in range(len(steps))]
     )

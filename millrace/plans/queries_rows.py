@@ -149,6 +149,16 @@ def _(t):
     return topk.top_n_per_key(_part_sales(t), ["l_suppkey"], ["-l_quantity"], 3, "rank")
 
 
+@query("o04_top_n_rank_ties", _ranked("rank"))
+def _(t):
+    return topk.top_ties_per_key(_part_sales(t), ["l_suppkey"], ["-l_quantity"], 3, "rank", ["l_partkey"])
+
+
+@query("o04_top_n_dense_ties", _ranked("dense_rank"))
+def _(t):
+    return topk.top_ties_per_key(_part_sales(t), ["l_suppkey"], ["-l_quantity"], 3, "dense_rank", ["l_partkey"])
+
+
 @query("o04_top_n_dense", _ranked("dense_rank"))
 def _(t):
     return topk.top_n_per_key(_part_sales(t), ["l_suppkey"], ["-l_quantity"], 3, "dense_rank")

@@ -24,15 +24,27 @@ def _by_date(t, hot_rows=HOT_ROWS):
     return SplitWindow(_orders(t), ["cust_id"], ["order_date", "order_id"], by_day("order_date", hot_rows))
 
 
-@query("w01_rank_all", """SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS rn,
+_RANKS = """SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS rn,
     rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS rnk, dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS dense
-    FROM part""")
-def _(t):
+    FROM part"""
+
+
+def _rank_all(t, hot_rows):
     part = t["part"].select("p_brand", "p_partkey", "p_size")
-    split = Split(F.col("p_size"))
-    ties = SplitWindow(part, ["p_brand"], ["p_size"], split).numbers(rank="rnk", dense_rank="dense").frame()
-    placed = SplitWindow(ties, ["p_brand"], ["p_size", "p_partkey"], split).numbers(row_number="rn").frame()
-    return placed.drop("p_size")
+    size = F.col("p_size")
+    ranked = win.with_peers(part, ["p_brand"], ["p_size"], Split(size, hot_rows=hot_rows), "rnk", "dense")
+    within_size = Split(F.struct(size, F.floor(F.col("p_partkey") / 4096)), hot_rows=hot_rows)
+    return SplitWindow(ranked, ["p_brand"], ["p_size", "p_partkey"], within_size).number("rn").frame().drop("p_size")
+
+
+@query("w01_rank_all", _RANKS)
+def _(t):
+    return _rank_all(t, HOT_ROWS)
+
+
+@query("w01_rank_all_split", _RANKS)
+def _(t):
+    return _rank_all(t, HOT)
 
 
 _LAG_LEAD = f"""SELECT cust_id, order_id, lag(amount) OVER ({_W}) AS previous, lead(amount) OVER ({_W}) AS following,
@@ -67,7 +79,7 @@ _RUNNING = f"""SELECT cust_id, order_id, sum(money) OVER ({_W} {_ROWS} CURRENT R
 
 
 def _running(t, hot_rows):
-    w = _by_date(t, hot_rows).running(money("amount"), "running").numbers(row_number="nth")
+    w = _by_date(t, hot_rows).running(money("amount"), "running").number("nth")
     return w.frame().select("cust_id", "order_id", "running", "nth")
 
 
@@ -85,14 +97,16 @@ def _(t):
     (PARTITION BY p_brand ORDER BY p_size)::DOUBLE AS running FROM part""")
 def _(t):
     part = t["part"].select("p_brand", "p_partkey", "p_size", "p_retailprice")
-    w = SplitWindow(part, ["p_brand"], ["p_size"], Split(F.col("p_size")))
-    return w.running(money("p_retailprice"), "running", "range").frame().select("p_brand", "p_partkey", "running")
+    totals = win.with_peers(
+        part, ["p_brand"], ["p_size"], Split(F.col("p_size"), hot_rows=HOT), total="running", value=money("p_retailprice")
+    )
+    return totals.select("p_brand", "p_partkey", "running")
 
 
 @query("w06_prior_total", f"""SELECT cust_id, order_id, sum(money) OVER ({_W} {_ROWS} 1 PRECEDING)::DOUBLE AS prior
     FROM #ord""")
 def _(t):
-    return _by_date(t).running(money("amount"), "prior", "earlier").frame().select("cust_id", "order_id", "prior")
+    return _by_date(t).running(money("amount"), "prior", inclusive=False).frame().select("cust_id", "order_id", "prior")
 
 
 @query("w07_rolling_avg", """SELECT day::VARCHAR AS day, avg(orders) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
@@ -172,7 +186,7 @@ def _(t):
 @query("w15_named_window", f"""SELECT cust_id, order_id, row_number() OVER w AS nth, lag(order_date) OVER w::VARCHAR AS before,
     (sum(money) OVER (w {_ROWS} CURRENT ROW))::DOUBLE AS running FROM #ord WINDOW w AS ({_W})""")
 def _(t):
-    w = _by_date(t).numbers(row_number="nth").neighbour(F.col("order_date"), "before", -1)
+    w = _by_date(t).number("nth").neighbour(F.col("order_date"), "before", -1)
     return w.running(money("amount"), "running").frame().drop("order_date", "amount")
 
 

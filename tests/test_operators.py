@@ -123,3 +123,13 @@ def test_incremental_equals_recompute(tables):
         merged = agg.merge_aggregate(merged, totals(tables.ord.where(f"order_id % 5 = {r}")), ["cust_id"], ["n", "t"])
     assert same(merged.select("cust_id", "n", F.col("t").cast("double").alias("t")),
                 totals(tables.ord).withColumn("t", F.col("t").cast("double")))
+
+
+@pytest.mark.parametrize("ties", ["rank", "dense_rank"])
+def test_top_ties(tables, ties):
+    # Coarse sizes, so that most rows tie, and a null key.
+    df = tables["part"].select(
+        "p_partkey", F.when(F.col("p_partkey") % 5 != 0, F.col("p_brand")).alias("k"), F.floor(F.col("p_size") / 10).alias("s")
+    )
+    one = topk.top_n_per_key(df, ["k"], ["-s"], 4, ties)
+    assert same(one, topk.top_ties_per_key(df, ["k"], ["-s"], 4, ties, ["p_partkey"], salts=3))

@@ -29,14 +29,13 @@ def test_rows_and_neighbours(facts, hot):
     split = Split(F.trunc("d", "quarter"), hot_rows=hot)
     got = (
         SplitWindow(facts, ["k"], ["d", "id"], split)
-        .numbers("rn", "rk", "dr").running(F.col("a"), "upto").running(F.col("a"), "before", "earlier")
+        .number("rn").running(F.col("a"), "upto").running(F.col("a"), "before", inclusive=False)
         .neighbour(F.col("a"), "back", -1).neighbour(F.col("holes"), "back3", -3, F.lit(-1.0))
         .neighbour(F.col("holes"), "ahead2", 2).last_known(F.col("holes"), "known").frame()
     )
     w = Window.partitionBy("k").orderBy("d", "id")
     want = facts.withColumns({
-        "rn": F.row_number().over(w).cast("long"), "rk": F.rank().over(w).cast("long"),
-        "dr": F.dense_rank().over(w).cast("long"), "upto": F.sum("a").over(w.rowsBetween(FIRST, 0)),
+        "rn": F.row_number().over(w).cast("long"), "upto": F.sum("a").over(w.rowsBetween(FIRST, 0)),
         "before": F.sum("a").over(w.rowsBetween(FIRST, -1)), "back": F.lag("a").over(w),
         "back3": F.lag("holes", 3, -1.0).over(w), "ahead2": F.lead("holes", 2).over(w),
         "known": F.last("holes", True).over(w.rowsBetween(FIRST, -1)),
@@ -48,7 +47,7 @@ def test_rows_and_neighbours(facts, hot):
 @pytest.mark.parametrize("hot", [2, 10**9])
 def test_ties_descending(facts, hot):
     split = Split(F.trunc("d", "year"), descending=True, hot_rows=hot)
-    got = SplitWindow(facts, ["k"], ["-d"], split).numbers(rank="rk", dense_rank="dr").running(F.col("a"), "s", "range").frame()
+    got = windows.with_peers(facts, ["k"], ["-d"], split, "rk", "dr", "s", F.col("a"))
     w = Window.partitionBy("k").orderBy(F.col("d").desc())
     want = facts.withColumns({
         "rk": F.rank().over(w).cast("long"), "dr": F.dense_rank().over(w).cast("long"), "s": F.sum("a").over(w),
@@ -65,7 +64,7 @@ def test_where_keeps_the_order(facts):
 
 
 def test_plain_plan_without_hot_groups(facts):
-    df = SplitWindow(facts, ["k"], ["d", "id"], Split(F.col("d"))).numbers("rn").running(F.col("a"), "s").frame()
+    df = SplitWindow(facts, ["k"], ["d", "id"], Split(F.col("d"))).number("rn").running(F.col("a"), "s").frame()
     plan = plan_of(df)
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
