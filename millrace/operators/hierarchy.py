@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import shared_path
@@ -47,12 +47,11 @@ def walk(edges: DataFrame, node: str, parent: str, root, max_depth: int = 10_000
     fresh = _roots(edges, node, parent, root).select("node", "path")
     schema = f"node {dict(fresh.dtypes)['node']}, path string, level int"
     for level in range(max_depth + 1):
-        counted = Observation()
-        fresh.observe(counted, F.count("*").alias("rows")).write.parquet(f"{table}/level={level}")
+        fresh.write.parquet(f"{table}/level={level}")
         found = spark.read.schema(schema).parquet(table).select("node", "level", "path")
-        if counted.get["rows"] == 0:
-            return found
         frontier = found.where(F.col("level") == level)
+        if frontier.isEmpty():
+            return found
         children = _children(frontier, edges, node, parent).join(found.select("node"), "node", "left_anti")
         # A node with several parents arrives once per parent; one path is kept.
         fresh = children.groupBy("node").agg(F.min("path").alias("path"))

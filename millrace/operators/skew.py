@@ -23,14 +23,18 @@ def row_salt(ids: Sequence[str], n: int | Column) -> Column:
     return F.pmod(F.xxhash64(*ids), F.lit(n) if isinstance(n, int) else n)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
     """Key groups with at least `max(hot_rows, HOT_SHARE * all rows)` rows, or None.
 
+    With `hot_rows=None` the caller vouches that no group is hot and nothing runs.
+
     Runs now, reading only the key columns, so that plans over tables without hot
     groups need no skew handling at all. The keys come packed in the struct
     `_group`, which compares null keys as equal: at most 1 / HOT_SHARE rows, kept
     in the shared folder.
     """
+    if hot_rows is None:
+        return None
     counts = df.groupBy(F.struct(*keys).alias("_group")).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("n")).scalar()
     enough = F.greatest(F.lit(float(hot_rows)), total * F.lit(HOT_SHARE))
@@ -74,7 +78,10 @@ def salted_join(
     1 / share rows, so broadcasting it is bounded. `how`: inner, left, left_semi
     or left_anti (the large side is the left one).
     """
-    hot = F.broadcast(stored(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot"))))
+    found = stored(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot")))
+    if found.isEmpty():
+        return large.join(small, key, how)
+    hot = F.broadcast(found)
     left = large.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), row_salt(row_id, salts)).otherwise(F.lit(0).cast("bigint"))
     )
@@ -98,7 +105,10 @@ def split_hot_join(
     The right side's rows for the hot keys are broadcast when there are few
     enough of them, and joined by salt when not.
     """
-    hot = F.broadcast(stored(hot_keys(left, key, share).select(key)))
+    found = stored(hot_keys(left, key, share).select(key))
+    if found.isEmpty():
+        return left.join(right, key)
+    hot = F.broadcast(found)
     hot_left, hot_right = left.join(hot, key, "left_semi"), right.join(hot, key, "left_semi")
     if small_enough(hot_right, rows):
         hot_part = hot_left.join(F.broadcast(hot_right), key)

@@ -45,7 +45,7 @@ class Split:
 
     slot: Column
     descending: bool = False
-    hot_rows: int = HOT_ROWS
+    hot_rows: int | None = HOT_ROWS
 
 
 class SplitWindow:

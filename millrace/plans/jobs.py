@@ -18,10 +18,15 @@ from millrace.sources.files import overwrite_partitions, write_parquet
 
 
 def active_users(events: DataFrame, user: str, ts: str, grain: str, rsd: float = 0.05) -> DataFrame:
-    """Distinct users per period, exactly and by sketch."""
+    """Distinct users per period, exactly and by sketch.
+
+    Both come from the distinct pairs: next to an exact distinct count in one
+    aggregation, Spark would keep and shuffle a sketch per pair.
+    """
     period = F.date_trunc(grain, ts).cast("date").alias("period")
-    return events.groupBy(period).agg(
-        F.count_distinct(user).alias("users"), F.approx_count_distinct(user, rsd).alias("users_approx")
+    pairs = events.select(period, user).distinct()
+    return pairs.groupBy("period").agg(
+        F.count(user).alias("users"), F.approx_count_distinct(user, rsd).alias("users_approx")
     )
 
 

@@ -14,9 +14,9 @@ def _(t):
     return text.text_case(t.names, "value").drop("value")
 
 
-@query("f02_text_prefix", "SELECT doc_id, substr(text, 1, 5) AS prefix FROM documents")
+@query("f02_text_prefix", "SELECT p_partkey, substr(p_name, 1, 3) AS prefix FROM part")
 def _(t):
-    return text.text_prefix(t["documents"].select("doc_id", "text"), "text", 5).drop("text")
+    return text.text_prefix(t["part"].select("p_partkey", "p_name"), "p_name", 3).drop("p_name")
 
 
 @query("f03_split_words", """SELECT id, len(w) AS words, w[1] AS head FROM

@@ -74,3 +74,12 @@ def test_group_total_with_null_keys(sides):
     got = skew.with_group_total(sides[0], ["k"], n=F.count("*"))
     assert got.count() == sides[0].count()
     assert rows(got.where("k IS NULL").select("n").distinct())[0][0] == sides[0].where("k IS NULL").count()
+
+
+def test_joins_without_hot_keys_are_plain(sides):
+    large, small = sides
+    even = large.where("k <> 0")
+    salted = skew.salted_join(even, small, "k", ["l_orderkey"], share=0.2)
+    assert "_salt" not in plan_of(salted) and same(salted, even.join(small, "k"))
+    split = skew.split_hot_join(even, small, "k", ["l_orderkey"], share=0.2)
+    assert "Union" not in plan_of(split) and same(split, even.join(small, "k"))

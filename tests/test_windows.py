@@ -71,8 +71,9 @@ def test_plain_plan_without_hot_groups(facts):
 
 
 def test_global_order_with_a_common_value(spark, facts):
-    """A third of the rows share one value, which is cut by id."""
-    df = facts.select("id", F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.floor(F.col("a") / 1000)).cast("decimal(18,2)").alias("a"))
+    """A third of the rows share one value, which is cut by id, and some have none."""
+    value = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 11 != 0, F.floor(F.col("a") / 1000))
+    df = facts.select("id", value.cast("decimal(18,2)").alias("a"))
     got = windows.global_running(df, "a", "id", slots=16, tie_step=64)
     by_id, by_value = Window.orderBy(F.col("a").desc(), "id"), Window.orderBy(F.col("a").desc())
     want = df.withColumns({
