@@ -9,6 +9,7 @@ from millrace.operators.skew import HOT_ROWS
 from millrace.plans.registry import query
 from millrace.plans.shapes import HOT, by_hour
 from millrace.session import shared_path
+from millrace.sources import keyed
 
 _AGAIN = "(SELECT * FROM #upd UNION ALL SELECT * FROM #upd WHERE record_id % 10 = 0)"
 _LWW = "QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1"
@@ -99,14 +100,30 @@ def _(t):
     return found.select("event_id", "city")
 
 
-@query("c10_upsert", f"""WITH u AS (SELECT * FROM #upd WHERE updated_at >= TIMESTAMP '2024-01-25' {_LWW}),
+_UPSERT = f"""WITH u AS (SELECT * FROM #upd WHERE updated_at >= TIMESTAMP '2024-01-25' {_LWW}),
     target AS (SELECT * FROM #cust WHERE city <> 'NATION_3')
     SELECT coalesce(t.cust_id, u.cust_id) AS cust_id, coalesce(u.cust_name, t.cust_name) AS cust_name,
-    coalesce(u.city, t.city) AS city, t.signup_date::VARCHAR AS signup_date FROM target t FULL JOIN u ON t.cust_id = u.cust_id""")
-def _(t):
+    coalesce(u.city, t.city) AS city, t.signup_date::VARCHAR AS signup_date FROM target t FULL JOIN u ON t.cust_id = u.cust_id"""
+
+
+def _upsert_sides(t):
     recent = t.upd.where("updated_at >= TIMESTAMP_NTZ '2024-01-25'")
     incoming = changes.last_write_wins(recent, "cust_id", "updated_at", "record_id")
-    return changes.upsert(t.cust.where("city <> 'NATION_3'"), incoming, "cust_id")
+    return t.cust.where("city <> 'NATION_3'"), incoming
+
+
+@query("c10_upsert", _UPSERT)
+def _(t):
+    return changes.upsert(*_upsert_sides(t), "cust_id")
+
+
+@query("c10_upsert_table", _UPSERT)
+def _(t):
+    target, incoming = _upsert_sides(t)
+    path = shared_path(t.spark, "customers")
+    keyed.write_keyed(target, path, "cust_id", 16)
+    keyed.upsert_keyed(path, incoming, "cust_id", 16)
+    return keyed.read_keyed(t.spark, path)
 
 
 @query("c11_apply_cdc", f"""WITH u AS (SELECT * FROM #upd {_LWW})

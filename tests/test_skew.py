@@ -82,4 +82,4 @@ def test_joins_without_hot_keys_are_plain(sides):
     salted = skew.salted_join(even, small, "k", ["l_orderkey"], share=0.2)
     assert "_salt" not in plan_of(salted) and same(salted, even.join(small, "k"))
     split = skew.split_hot_join(even, small, "k", ["l_orderkey"], share=0.2)
-    assert "Union" not in plan_of(split) and same(split, even.join(small, "k"))
+    assert "LeftAnti" not in plan_of(split) and same(split, even.join(small, "k"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, same
 from millrace.session import shared_path
-from millrace.sources import files, tables as catalog
+from millrace.sources import files, keyed
+from millrace.sources import tables as catalog
 
 
 def parts(path, kind="parquet"):
@@ -108,3 +109,22 @@ def test_save_modes(spark, tables, new_path):
 
 def test_shared_paths_are_new(spark):
     assert shared_path(spark, "a") != shared_path(spark, "a")
+
+
+def test_upsert_rewrites_only_touched_parts(spark, tables, new_path):
+    path = new_path()
+    target = tables.cust.select("cust_id", "cust_name", "city")
+    keyed.write_keyed(target, path, "cust_id", 8)
+    before = set(parts(path))
+    incoming = spark.createDataFrame([(5, "new name"), (-1, "inserted")], "cust_id long, cust_name string")
+    keyed.upsert_keyed(path, incoming, "cust_id", 8)
+    assert len(before - set(parts(path))) in (1, 2)
+    rows = {r["cust_id"]: r for r in keyed.read_keyed(spark, path).collect()}
+    old = {r["cust_id"]: r for r in target.collect()}
+    assert len(rows) == len(old) + 1
+    assert rows[5]["cust_name"] == "new name" and rows[5]["city"] == old[5]["city"]
+    assert rows[-1]["city"] is None
+    assert all(rows[k] == v for k, v in old.items() if k != 5)
+    # A second delivery of the same batch changes nothing.
+    keyed.upsert_keyed(path, incoming, "cust_id", 8)
+    assert {r["cust_id"]: r for r in keyed.read_keyed(spark, path).collect()} == rows

@@ -147,3 +147,21 @@ def test_same_as_batch(spark, feed, new_path):
     runs.run_to_files(stream.enrich(events(), dim, "user_id"), out, new_path())
     batch = stream.enrich(spark.read.parquet(folder), dim, "user_id")
     assert same(spark.read.parquet(out), batch)
+
+
+def test_join_state_is_dropped(spark, feed, new_path):
+    _, add, events = feed
+    out, state = new_path(), new_path()
+
+    def pairs():
+        a = stream.with_lateness(events(), "ts", "10 minutes").select("user_id", F.col("event_id").alias("x"), F.col("ts").alias("a_ts"))
+        b = stream.with_lateness(events(), "ts", "10 minutes").select("user_id", F.col("event_id").alias("y"), F.col("ts").alias("b_ts"))
+        return stream.stream_interval_join(a, b, "user_id", "a_ts", "b_ts", 1800).select("x", "y")
+
+    add(*[(i, i % 3, f"0{i % 4}:{i % 60:02d}", 1) for i in range(100)])
+    runs.run_to_files(pairs(), out, state)
+    add((200, 1, "20:00", 1))
+    query = runs.run_to_files(pairs(), out, state)
+    # Of 100 old rows a side (b in two slots) only the new one's are left.
+    left = runs.state_report(query).groupBy("batch").agg(F.sum("rows").alias("n")).orderBy(F.desc("batch"))
+    assert left.first()["n"] <= 3
