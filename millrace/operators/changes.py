@@ -63,17 +63,19 @@ def scd2(log: DataFrame, key: str, ts: str, seq: str, tracked: Sequence[str], sp
     """History rows `[valid_from, valid_to)` with `is_current`.
 
     Consecutive log rows that change none of `tracked` form one version. Of
-    several changes at one instant the last by `seq` holds.
+    several rows at one instant the last by `seq` holds, so redelivered rows
+    change nothing. All steps share one shuffle and sort of the log.
     """
-    same_time = log.groupBy(key, ts).agg(F.max(F.struct(seq, *tracked)).alias("_row"))
-    versions = same_time.select(key, ts, *[F.col("_row")[c].alias(c) for c in (seq, *tracked)])
     state = F.struct(*tracked)
+    rows = log.select(key, ts, seq, *[c for c in tracked if c not in (key, ts, seq)])
     return (
-        SplitWindow(versions, [key], [ts, seq], split)
+        SplitWindow(rows, [key], [ts, seq, *tracked], split)
+        .neighbour(F.col(ts), "_next", 1)
+        .where(F.col("_next").isNull() | (F.col("_next") != F.col(ts)))
         .neighbour(state, "_prev", -1)
         .where(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(state))
         .neighbour(F.col(ts), "valid_to", 1)
-        .frame().drop("_prev")
+        .frame().drop("_next", "_prev")
         .withColumn("is_current", F.col("valid_to").isNull())
         .withColumnRenamed(ts, "valid_from")
     )

@@ -131,8 +131,7 @@ def change_history(
     log = deliveries[0]
     for more in deliveries[1:]:
         log = log.unionByName(more)
-    once = dedup_latest(log, seq, [ts])
-    history = scd2(once, key, ts, seq, [*tracked, op], split)
+    history = scd2(log, key, ts, seq, [*tracked, op], split)
     current = apply_batches(deliveries, key, ts, seq).where(F.col(op) != "DELETE")
     return history.where(F.col(op) != "DELETE"), current
 

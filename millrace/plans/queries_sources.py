@@ -13,9 +13,9 @@ _ORDERS = "order_id long, cust_id long, order_date date, amount double, status s
 _ALL_ORDERS = "SELECT order_id, cust_id, order_date::VARCHAR AS order_date, amount, status FROM #ord"
 
 
-@query("s01_scan", "SELECT * FROM nation")
+@query("s01_scan", "SELECT * REPLACE (o_orderdate::VARCHAR AS o_orderdate) FROM orders")
 def _(t):
-    return files.scan(t.spark, t.folder, "nation")
+    return files.scan(t.spark, t.folder, "orders")
 
 
 @query("s02_number_range", """SELECT i AS id FROM range(0, (SELECT max(order_id) + 1 FROM #ord)) r(i)
@@ -171,7 +171,7 @@ def _(t):
     return tables.ctas(t.spark, name, t.cust.groupBy("city").agg(F.count("*").alias("customers")))
 
 
-@query("s21_save_mode", "SELECT order_id, status FROM #ord WHERE status = 'Pending' UNION ALL SELECT order_id, status FROM #ord WHERE status = 'Cancelled'")
+@query("s21_save_mode", "SELECT order_id, status FROM #ord WHERE status IN ('Pending', 'Cancelled')")
 def _(t):
     path = shared_path(t.spark, "modes")
     orders = t.ord.select("order_id", "status")

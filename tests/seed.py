@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-# The practice tables whose answers the tests pin.
+# The seed tables whose answers the tests pin.
 CUSTOMERS = [(1, "vikram", "hyd", "2024-01-10"), (2, "Rahul", "Bangalore", "2024-02-15"), (3, "Priya", "Chennai", "2024-03-20")]
 CITIES = ["hyd", "Bangalore", "Chennai", "Mumbai", "Delhi"]
 ORDERS = [

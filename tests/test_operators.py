@@ -11,6 +11,7 @@ from millrace.functions import nested, udfs
 from millrace.operators import aggregates as agg
 from millrace.operators import hierarchy, joins, layout, quality, sets, subqueries, topk
 from millrace.operators import rows as row_ops
+from millrace.session import sizing
 
 
 def test_walk(spark):
@@ -133,3 +134,10 @@ def test_top_ties(tables, ties):
     )
     one = topk.top_n_per_key(df, ["k"], ["-s"], 4, ties)
     assert same(one, topk.top_ties_per_key(df, ["k"], ["-s"], 4, ties, ["p_partkey"], salts=3))
+
+
+def test_sizing():
+    small, large = sizing(1 << 30), sizing(100 << 40)
+    assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
+    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 << 20
