@@ -210,7 +210,7 @@ def quantile_slot(
     )
     common = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     edges = sorted(set(cuts) | {math.nextafter(v, math.inf) for v in common})
-    infinite = [-math.inf, *edges, math.inf]
+    infinite = [-math.inf, *(edges or [0.0]), math.inf]  # no edges if there are no values
     number = df.withColumn("_value", F.col(value).cast("double"))
     slot = F.col("_bucket")
     cut = Bucketizer(splits=infinite, inputCol="_value", outputCol="_bucket", handleInvalid="keep").transform(number)

@@ -3,7 +3,7 @@ rows in batch, except for windows a stream has not closed yet."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
@@ -26,17 +26,17 @@ def with_lateness(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withWatermark(ts, delay)
 
 
-def _windowed(df: DataFrame, window: Column, keys: list[str], aggs: Mapping[str, Column]) -> DataFrame:
+def _windowed(df: DataFrame, window: Column, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     counted = df.groupBy(window.alias("w"), *keys).agg(*[c.alias(n) for n, c in aggs.items()])
     return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, *aggs)
 
 
-def tumbling(df: DataFrame, ts: str, size: str, aggs: Mapping[str, Column], keys: list[str] = []) -> DataFrame:
+def tumbling(df: DataFrame, ts: str, size: str, aggs: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
     return _windowed(df, F.window(ts, size), keys, aggs)
 
 
 def sliding(
-    df: DataFrame, ts: str, size: str, slide: str, aggs: Mapping[str, Column], keys: list[str] = []
+    df: DataFrame, ts: str, size: str, slide: str, aggs: Mapping[str, Column], keys: Sequence[str] = ()
 ) -> DataFrame:
     return _windowed(df, F.window(ts, size, slide), keys, aggs)
 
@@ -117,14 +117,24 @@ def running_state(df: DataFrame, key: str, value: str, row_id: str, shards: int
 
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Set the state store `running_state` needs while its query starts and runs."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Set what `running_state` needs while its query starts and runs.
+
+    Batches without data are off: state that expires by the clock asks for one
+    after another, and a run over the available files would never end.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def combine_shards(updates: DataFrame, key: str) -> DataFrame:

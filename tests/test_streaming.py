@@ -95,13 +95,14 @@ def test_update_and_complete_modes(spark, feed, new_path):
     assert rows(runs.latest_complete(spark, out["complete"][0])) == [(1, 2), (2, 1)]
 
 
-def test_running_state_carries_over(spark, feed, new_path):
+@pytest.mark.parametrize("ttl", [None, 3_600_000])
+def test_running_state_carries_over(spark, feed, new_path, ttl):
     _, add, events = feed
     out, state = new_path(), new_path()
     with stream.rocksdb_state(spark):
         for batch in ([(1, 1, "00:10", 1), (2, 2, "00:20", 5)], [(3, 1, "00:30", 2), (4, 1, "00:40", 4)]):
             add(*batch)
-            runs.run_mode(stream.running_state(events(), "user_id", "value", "event_id", shards=3), "update", out, state)
+            runs.run_mode(stream.running_state(events(), "user_id", "value", "event_id", 3, ttl), "update", out, state)
     got = stream.combine_shards(spark.read.parquet(out), "user_id")
     assert rows(got) == [(1, 3, 7.0), (2, 1, 5.0)]
 

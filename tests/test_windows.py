@@ -115,3 +115,17 @@ def test_sessions(spark, tables):
     sizes = got.groupBy("user_id", "session_no").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     whole = tables["events"].groupBy("user_id", F.session_window(F.col("ts").cast("timestamp"), "6 hours").alias("w")).count()
     assert sizes.count() == whole.count()
+
+
+@pytest.mark.parametrize("value", [None, 4])
+def test_global_order_of_few_values(spark, value):
+    df = spark.range(5).select("id", F.lit(value).cast("decimal(18,2)").alias("a"))
+    got = windows.global_running(df, "a", "id", slots=4)
+    assert got.count() == 5 and {r["rank"] for r in got.collect()} == {1}
+    assert windows.global_running(df.where("id < 0"), "a", "id").count() == 0
+
+
+def test_no_count_when_the_caller_vouches(facts):
+    split = Split(F.trunc("d", "quarter"), hot_rows=None)
+    got = SplitWindow(facts, ["k"], ["d", "id"], split).number("n").frame()
+    assert same(got, SplitWindow(facts, ["k"], ["d", "id"], Split(F.trunc("d", "quarter"), hot_rows=2)).number("n").frame())
