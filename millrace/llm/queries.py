@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.ngram_join import NgramJaccardJoin
+from millrace.llm.packing import PackedCorpus
 from millrace.llm.quality_cascade import QualityCascade
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +56,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return QualityCascade(docs).judged(docs, "doc_id")
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return PackedCorpus(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")).placed()
+
+
+@query("op9_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return NgramJaccardJoin(table(spark, folder, "documents"), size=3, percent=90).documents()
