@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.multi_index import VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin
 from millrace.llm.packing import PackedCorpus
 from millrace.llm.quality_cascade import QualityCascade
@@ -66,3 +67,8 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return NgramJaccardJoin(table(spark, folder, "documents"), size=3, percent=90).documents()
+
+
+@query("op2_multi_index")
+def multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return VectorLinks(table(spark, folder, "embeddings")).vectors()
