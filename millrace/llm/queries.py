@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.multi_index import VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin
 from millrace.llm.packing import PackedCorpus
 from millrace.llm.quality_cascade import QualityCascade
+from millrace.llm.secret_scan import SecretScan, digest
+from millrace.llm.toxicity import ToxicityModel, fold_of
+from millrace.llm.warc import archive_folder, read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +76,28 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_multi_index")
 def multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return VectorLinks(table(spark, folder, "embeddings")).vectors()
+
+
+@query("op4_secret_novelty")
+def secret_novelty(spark: SparkSession, folder: str) -> DataFrame:
+    return digest(SecretScan().spans(table(spark, folder, "documents")))
+
+
+@query("op7_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = ToxicityModel(docs, table(spark, folder, "labels"), fold_of(F.col("doc_id")) != 0)
+    scored = docs.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op8_warc", """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN first <> page_id THEN first END AS refers_to
+    FROM p LEFT JOIN f USING (payload_digest)""")
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = write_archives(table(spark, folder, "pages"), archive_folder(spark))
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
