@@ -28,7 +28,7 @@ LABELLED_ROWS = 12_000
 MOST_TERMS = 2_000
 # A term occurs in at least so many toxic texts (also as a share of them), and at least so many
 # times as often in toxic texts as in others.
-LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.004, 12.0
+LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.01, 12.0
 STEM_CHARS = (4, 8)
 STEM_WORDS = 4
 # Words shorter than this match exactly only; others within one edit.
@@ -55,31 +55,32 @@ class Trie:
             for letter in word:
                 node = node.setdefault(letter, {})
             node[""] = word
-        # One edit leaves a word's first or its second half as it is: only words
-        # with such a half are walked.
-        self.heads = {w[:len(w) // 2] for w in fuzzy}
-        self.tails = {w[len(w) // 2:] for w in fuzzy}
-        self.head_lengths = sorted({len(h) for h in self.heads})
-        self.tail_lengths = sorted({len(t) for t in self.tails})
+        # One edit leaves a word's first or its second half as it is, so only
+        # words with a term's first or last two letters are walked.
+        self.heads, self.tails = {w[:2] for w in fuzzy}, {w[-2:] for w in fuzzy}
 
     def near(self, word: str) -> str | None:
-        """The term of greatest weight within one edit of `word`, by trie and automaton in step."""
+        """The term of greatest weight within one edit of `word`.
+
+        Walks the trie and the word's Levenshtein automaton in step; a state is
+        the place in the word and whether the edit has been used.
+        """
         best = None
-        first = tuple(range(len(word) + 1))
-        waiting = [(self.root, first)]
+        waiting = [(self.root, 0, False)]
         while waiting:
-            node, row = waiting.pop()
-            for letter, child in node.items():
-                if letter == "":
-                    if row[-1] <= 1 and (best is None or self.words[child] > self.words[best]):
-                        best = child
-                    continue
-                # The automaton's next state: edits needed to turn each prefix of the word into the path.
-                state = [row[0] + 1]
-                for k, own in enumerate(word):
-                    state.append(min(row[k] + (own != letter), row[k + 1] + 1, state[k] + 1))
-                if min(state) <= 1:
-                    waiting.append((child, tuple(state)))
+            node, k, used = waiting.pop()
+            if k == len(word) and (term := node.get("")) is not None and (best is None or self.words[term] > self.words[best]):
+                best = term
+            if k < len(word) and (child := node.get(word[k])) is not None:
+                waiting.append((child, k + 1, used))
+            if not used:
+                if k < len(word):
+                    waiting.append((node, k + 1, True))
+                for letter, child in node.items():
+                    if letter:
+                        waiting.append((child, k, True))
+                        if k < len(word) and letter != word[k]:
+                            waiting.append((child, k + 1, True))
         return best
 
     def match(self, word: str) -> tuple[float, bool] | None:
@@ -90,7 +91,7 @@ class Trie:
         for n in self.stem_lengths:
             if n < len(word) and (weight := self.stems.get(word[:n])) is not None:
                 return weight, True
-        if len(word) >= FUZZY_CHARS and (any(word[:n] in self.heads for n in self.head_lengths) or any(word[-n:] in self.tails for n in self.tail_lengths)):
+        if len(word) >= FUZZY_CHARS and (word[:2] in self.heads or word[-2:] in self.tails):
             term = self.near(word)
             if term is not None:
                 return self.words[term], False
