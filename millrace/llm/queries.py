@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.lattice import decoded, sample_ids
 from millrace.llm.multi_index import VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin
 from millrace.llm.packing import PackedCorpus
 from millrace.llm.quality_cascade import QualityCascade
 from millrace.llm.secret_scan import SecretScan, digest
+from millrace.llm.token_archive import read_token_archives, write_token_archives
 from millrace.llm.toxicity import ToxicityModel, fold_of
 from millrace.llm.warc import archive_folder, read_archives, write_archives
 
@@ -101,3 +103,20 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = write_archives(table(spark, folder, "pages"), archive_folder(spark))
     return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_token_archive")
+def token_archive(spark: SparkSession, folder: str) -> DataFrame:
+    files = write_token_archives(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_token_archives(files)
+
+
+@query("op10_sampled_pieces")
+def sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    sampled = sample_ids(table(spark, folder, "documents"), model, seed=1)
+    back = sampled.select("doc_id", "text", "ids", decoded(F.col("ids"), model).alias("back"))
+    return back.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2("back", 256).alias("decoded_sha256"), (F.col("back") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
