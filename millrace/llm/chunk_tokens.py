@@ -1,126 +1,125 @@
-"""Token ids of whole texts, encoding each distinct chunk of a batch once.
+"""Token ids of whole texts, running the merges once per distinct piece.
 
-Both tokenizers split text before their merges, and no piece of that split
-crosses the places where this module cuts. So the library encodes each distinct
-chunk once, and a text's ids are its chunks' ids in order. Texts for which a cut
-could matter (white space other than single blanks and line feeds, letters
-beyond Latin) go to the library whole.
+Both tokenizers split a text into pieces before they merge, and merges never
+cross pieces. So a text is split here by the tokenizer's own rule, the library
+merges each distinct piece once, and a text's ids are its pieces' ids in order.
+Texts with characters beyond Latin, other white space than blanks and line
+feeds, or marks of special tokens go to the library whole.
 """
 
 from __future__ import annotations
 
+import array
 import os
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import regex
 
 # Characters on which every version of Unicode agrees, and whose lower case and
-# composed form depend on nothing around them.
-UNSURE = re.compile("[^\n\x20-\x7e\xa1-ɏ]")
-# Where a run of white space is split differently as a whole than after a cut at its blank.
-RUNS = re.compile("  |\n \n| \\Z")
-# How the tokenizers split text before their merges (with and
-# without blanks kept), and the letters that stand for bytes in their vocabularies.
+# composed form depend on nothing around them; no mark of a special token.
+UNSURE = re.compile("[^\n\x20-\x7e\xa1-ɏ]|<\\|")
+# Letters and digits among those characters, how the tokenizers
+# split (with and without blanks kept), and the letters that stand for bytes in
+# their vocabularies.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+DIGITS = "0-9²³¹¼½¾"
 PIECES = {
-    True: r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-    False: r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    True: rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+|\s+(?!\S)|\s+",
+    False: rf"[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+",
 }
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-LETTERS = {b: chr(b) for b in PRINTED} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(PRINTED))}
+BYTES = {b: chr(b) for b in PRINTED} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(PRINTED))}
 # What each character of the texts handled here is written as: one letter per byte.
-BYTE_LETTERS = {c: "".join(LETTERS[b] for b in chr(c).encode()) for c in [*range(0x400)]}
-SEGMENT_CHARS = 1_000_000
-CACHED_CHUNKS = 400_000
+BYTE_LETTERS = {c: "".join(BYTES[b] for b in chr(c).encode()) for c in range(0x400)}
+# A place where a text can be cut: no piece crosses it.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+SEGMENT_CHARS = 500_000
+CACHED_PIECES = 400_000
 
 
 def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
     """The text in parts of about `size` characters, each later one starting with a blank."""
     begin = 0
-    while len(text) - begin > size:
-        cut = text.find(" ", begin + size)
-        if cut < 0:
-            break
-        yield text[begin:cut]
-        begin = cut
+    while len(text) - begin > size and (cut := CUT.search(text, begin + size)):
+        yield text[begin:cut.start()]
+        begin = cut.start()
     yield text[begin:]
 
 
+class Pieces(dict):
+    """Number of each known piece; an unknown one is merged by the library when first looked up."""
+
+    def __init__(self, merges):
+        super().__init__()
+        self.merges = merges
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.starts, self.lengths, self.ids = array.array("q"), array.array("q"), array.array("I")
+
+    def __missing__(self, piece: str) -> int:
+        ids = [t.id for t in self.merges.tokenize(piece.translate(BYTE_LETTERS))]
+        number = self[piece] = len(self.starts)
+        self.starts.append(len(self.ids))
+        self.lengths.append(len(ids))
+        self.ids.extend(ids)
+        return number
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, count of ids of each piece) of pieces by number."""
+        lengths = np.frombuffer(self.lengths, np.int64)[numbers]
+        before = np.cumsum(lengths) - lengths
+        at = np.repeat(np.frombuffer(self.starts, np.int64)[numbers] - before, lengths) + np.arange(int(lengths.sum()))
+        return np.frombuffer(self.ids, np.uint32)[at], lengths
+
+
 class ChunkEncoder:
-    """`keeps_blanks`: the tokenizer encodes a word together with the blank before it."""
+    """`keeps_blanks`: the tokenizer encodes a word together with the blank before it; else it drops
+    white space and lower-cases."""
 
     def __init__(self, path: str, keeps_blanks: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.keeps_blanks = Tokenizer.from_file(path), keeps_blanks
-        self.merges, self.split = self.library.model, regex.compile(PIECES[keeps_blanks])
-        self._clear()
-
-    def _clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.ids, self.n_ids = np.zeros(1 << 14, np.uint32), 0
-
-    def _ids_of(self, chunk: str) -> list[int]:
-        """A chunk's ids: the library's merges on each piece of its split."""
-        if "<|" in chunk:
-            return self.library.encode(chunk, add_special_tokens=False).ids
-        if not self.keeps_blanks:
-            chunk = chunk.lower()
-        ids: list[int] = []
-        for piece in self.split.findall(chunk):
-            known = self.pieces.get(piece)
-            if known is None:
-                known = self.pieces[piece] = [t.id for t in self.merges.tokenize(piece.translate(BYTE_LETTERS))]
-            ids += known
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
-        lists = [self._ids_of(c) for c in chunks]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.array([i for ids in lists for i in ids], np.uint32)
-        known, total = len(self.places), self.n_ids + len(flat)
-        while known + len(chunks) > len(self.starts):
-            self.starts, self.lengths = np.concatenate([self.starts] * 2), np.concatenate([self.lengths] * 2)
-        while total > len(self.ids):
-            self.ids = np.concatenate([self.ids, self.ids])
-        self.ids[self.n_ids:total] = flat
-        self.lengths[known:known + len(chunks)] = lengths
-        self.starts[known:known + len(chunks)] = self.n_ids + np.cumsum(lengths) - lengths
-        self.places.update(zip(chunks, range(known, known + len(chunks)), strict=True))
-        self.n_ids = total
-
-    def _segment(self, text: str) -> np.ndarray:
-        if self.keeps_blanks:
-            first, *rest = text.split(" ")
-            chunks = [first] if first else []
-            chunks += [f" {c}" for c in rest]
-        else:
-            chunks = text.split()
-        if not chunks:
-            return np.zeros(0, np.uint32)
-        distinct = set(chunks)
-        new = [c for c in distinct if c not in self.places]
-        if new:
-            if len(self.places) + len(new) > CACHED_CHUNKS:
-                self._clear()
-                new = list(distinct)
-            self._learn(new)
-        at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
-        lengths = self.lengths[at]
-        before = np.cumsum(lengths) - lengths
-        return self.ids[np.repeat(self.starts[at] - before, lengths) + np.arange(int(lengths.sum()))]
+        self.split, self.known = re.compile(PIECES[keeps_blanks]).findall, Pieces(self.library.model)
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that the library need not see whole."""
+        if len(self.known) > CACHED_PIECES:
+            self.known.forget()
+        pieces = [self.split(t if self.keeps_blanks else t.lower()) for t in texts]
+        ends = np.cumsum([len(p) for p in pieces])
+        if not ends[-1]:
+            return [np.zeros(0, np.uint32) for _ in texts]
+        numbers = np.fromiter((n for p in pieces for n in map(self.known.__getitem__, p)), np.int64, int(ends[-1]))
+        ids, lengths = self.known.gathered(numbers)
+        return np.split(ids, np.concatenate([[0], np.cumsum(lengths)])[ends[:-1]])
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text as the library gives them, without added special tokens."""
-        if UNSURE.search(text) or (self.keeps_blanks and RUNS.search(text)):
+        if UNSURE.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.concatenate([self._segment(part) for part in segments(text)])
+        return np.concatenate([self._group([part])[0] for part in segments(text)])
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text; a null text counts as empty."""
+        """Ids of each text in order; a null text counts as empty."""
+        group: list[str] = []
+        held = 0
         for text in texts:
-            yield self.encode(text or "")
+            text = text or ""
+            if len(text) > SEGMENT_CHARS or UNSURE.search(text):
+                if group:
+                    yield from self._group(group)
+                    group, held = [], 0
+                yield self.encode(text)
+                continue
+            group.append(text)
+            held += len(text)
+            if held > SEGMENT_CHARS:
+                yield from self._group(group)
+                group, held = [], 0
+        if group:
+            yield from self._group(group)

@@ -28,7 +28,7 @@ from millrace.llm.common import written
 CAPACITY = 2048
 # Pieces of one length that are ranked together in one window group.
 RANKED_TOGETHER = 10_000
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 500_000
 
 
 def token_pieces(df: DataFrame, id_column: str, text_column: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
@@ -41,8 +41,9 @@ def token_pieces(df: DataFrame, id_column: str, text_column: str, tokenizer: str
         rows: list[tuple] = []
         held = 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
+            texts = (t.as_py() for t in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((doc, k, start, len(part), part.tobytes()))
