@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.lattice import decoded, sample_ids
+from millrace.llm.licences import LicenceScan
 from millrace.llm.multi_index import VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin
 from millrace.llm.packing import PackedCorpus
@@ -120,3 +121,12 @@ def sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
         F.sha2("back", 256).alias("decoded_sha256"), (F.col("back") == F.coalesce("text", F.lit(""))).alias("lossless"),
     )
+
+
+@query("op1_licence_scan")
+def licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of a tree: a folder per source, thousand and hundred of ids, whose first documents are its licence files."""
+    number = F.col("doc_id")
+    name = F.when(number % 100 == 0, "LICENSE").otherwise(F.concat(number.cast("string"), F.lit(".txt")))
+    place = F.concat_ws("/", F.col("source"), F.floor(number / 1000).cast("string"), F.when(number % 1000 != 0, F.floor(number / 100).cast("string")), name)
+    return LicenceScan().scan(table(spark, folder, "documents").withColumn("path", place))
