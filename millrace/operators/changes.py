@@ -49,10 +49,17 @@ def batch_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _once(incoming: DataFrame, key: str, new: Column) -> DataFrame:
+    """The key and `new` of each row, as `_new`; a repeated key is an error, since which row should win is unknown."""
+    rows = incoming.groupBy(key).agg(F.first(new).alias("_new"), F.count("*").alias("_rows"))
+    fault = F.raise_error(F.concat(F.lit(f"{key} "), F.col(key).cast("string"), F.lit(" occurs more than once in the batch")))
+    return rows.select(key, F.when((F.col("_rows") > 1) & F.col(key).isNotNull(), fault.cast(dict(rows.dtypes)["_new"])).otherwise(F.col("_new")).alias("_new"))
+
+
 def scd1(dim: DataFrame, current: DataFrame, key: str) -> DataFrame:
-    """Overwrite the dimension with the current change rows; no history."""
+    """Overwrite the dimension with the current change rows, one per key; no history."""
     shared = [c for c in current.columns if c != key and c in dim.columns]
-    news = current.select(key, F.struct(*shared).alias("_new"))
+    news = _once(current, key, F.struct(*shared))
     joined = dim.join(news, key, "left")
     return joined.withColumns(
         {c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)) for c in shared}
@@ -64,14 +71,16 @@ def scd2(log: DataFrame, key: str, ts: str, seq: str, tracked: Sequence[str], sp
 
     Consecutive log rows that change none of `tracked` form one version. Of
     several rows at one instant the last by `seq` holds, so redelivered rows
-    change nothing. All steps share one shuffle and sort of the log.
+    change nothing. Rows without a time come before all others: the last of them
+    is a version from ever on, its `valid_from` null. Without hot keys all steps
+    share one shuffle and sort of the log.
     """
     state = F.struct(*tracked)
     rows = log.select(key, ts, seq, *[c for c in tracked if c not in (key, ts, seq)])
     return (
         SplitWindow(rows, [key], [ts, seq, *tracked], split)
-        .neighbour(F.col(ts), "_next", 1)
-        .where(F.col("_next").isNull() | (F.col("_next") != F.col(ts)))
+        .neighbour(F.struct(F.col(ts).alias("at")), "_next", 1)
+        .where(F.col("_next").isNull() | ~F.col("_next.at").eqNullSafe(F.col(ts)))
         .neighbour(state, "_prev", -1)
         .where(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(state))
         .neighbour(F.col(ts), "valid_to", 1)
@@ -82,30 +91,34 @@ def scd2(log: DataFrame, key: str, ts: str, seq: str, tracked: Sequence[str], sp
 
 
 def as_of(history: DataFrame, facts: DataFrame, key: str, ts: str, split: Split, carry: Sequence[str]) -> DataFrame:
-    """Facts with the history values valid at their time; null before the first version.
+    """Facts with the history values valid at their time; null before the first version,
+    after the end of the last one, and for facts without a time.
 
     Versions and facts of a key are merged in time order and each fact takes the
     last version before it. A range join would pair every fact with every version
     of its key before filtering. `split.slot` is an expression of `_ts`.
     """
     versions = history.select(
-        key, F.col("valid_from").alias("_ts"), F.lit(0).alias("_kind"), F.struct(*carry).alias("_state")
+        key, F.col("valid_from").alias("_ts"), F.lit(0).alias("_kind"), F.struct(*carry, F.col("valid_to").alias("_until")).alias("_state")
     )
     rows = facts.select(key, F.col(ts).alias("_ts"), F.lit(1).alias("_kind"), F.struct(*facts.columns).alias("_fact"))
     merged = versions.unionByName(rows, allowMissingColumns=True)
     seen = SplitWindow(merged, [key], ["_ts", "_kind"], split).last_known(F.col("_state"), "_known").frame()
-    return seen.where(F.col("_kind") == 1).select("_fact.*", *[F.col("_known")[c].alias(c) for c in carry])
+    until = F.col("_known._until")
+    valid = F.col("_ts").isNotNull() & (until.isNull() | (until > F.col("_ts")))
+    return seen.where(F.col("_kind") == 1).select("_fact.*", *[F.when(valid, F.col("_known")[c]).alias(c) for c in carry])
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: str, deleted: Column | None = None) -> DataFrame:
     """Target after inserting and updating by key, and deleting where `deleted` holds.
 
     Target columns the batch lacks keep their value on updates; on inserts they
-    are null. One full outer join; unchanged rows pass through it.
+    are null. A key that the batch repeats raises; reduce it by version first.
+    One full outer join; unchanged rows pass through it.
     """
     given = [c for c in incoming.columns if c != key and c in target.columns]
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
-    news = incoming.select(key, F.struct(*given, gone.alias("_gone")).alias("_new"))
+    news = _once(incoming, key, F.struct(*given, gone.alias("_gone")))
     joined = target.join(news, key, "full_outer").where(F.col("_new").isNull() | ~F.col("_new._gone"))
     return joined.withColumns(
         {c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)) for c in given}

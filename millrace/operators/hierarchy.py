@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import shared_path
 
 
 def _roots(edges: DataFrame, node: str, parent: str, root) -> DataFrame:
+    """Nodes whose parent is `root` (None: that have none), or that meet the condition `root`."""
     name = F.col(node).cast("string")
-    return edges.where(F.col(parent) == root).select(
+    return edges.where(root if isinstance(root, Column) else F.col(parent).eqNullSafe(F.lit(root))).select(
         F.col(node).alias("node"), F.lit(0).alias("level"), name.alias("path")
     )
 
@@ -35,7 +36,8 @@ def levels_fixed(edges: DataFrame, node: str, parent: str, root, depth: int) ->
 
 
 def walk(edges: DataFrame, node: str, parent: str, root, max_depth: int = 10_000) -> DataFrame:
-    """Every node reachable from the root, with level and path.
+    """Every node reachable from the roots, with level and path. `root`: the value
+    that stands in the parent column of roots, None included, or a condition.
 
     Each level is written to a table in the shared folder that the next one
     reads, so plans stay one join long, a lost executor costs at most the level

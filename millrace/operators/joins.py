@@ -133,7 +133,7 @@ def fanout_report(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """What joining on `on` would do to row counts, without doing it.
 
     One row: rows on each side, keys repeated on each side, rows the inner join
-    would give.
+    would give (as a decimal: on skewed keys it may exceed a long).
     """
     l = left.groupBy(on).agg(F.count("*").alias("l"))
     r = right.groupBy(on).agg(F.count("*").alias("r"))
@@ -143,5 +143,5 @@ def fanout_report(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
         F.coalesce(F.sum("r"), F.lit(0)).alias("right_rows"),
         F.count_if(F.col("l") > 1).alias("left_repeated_keys"),
         F.count_if(F.col("r") > 1).alias("right_repeated_keys"),
-        F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0)).alias("joined_rows"),
+        F.coalesce(F.sum(F.col("l").cast("decimal(19,0)") * F.col("r").cast("decimal(19,0)")), F.lit(0)).cast("decimal(38,0)").alias("joined_rows"),
     )

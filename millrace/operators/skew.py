@@ -18,6 +18,17 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 
+# Rows of one key that a task should get at most, and the least number of salts.
+ROWS_PER_TASK = 1_000_000
+LEAST_SALTS = 16
+SALTED_KINDS = ("inner", "left", "left_semi", "left_anti")
+
+
+def pieces(rows: int, least: int = LEAST_SALTS) -> int:
+    """Into how many parts `rows` rows of one key, or of a table without keys, are cut."""
+    return max(least, -(-rows // ROWS_PER_TASK))
+
+
 def row_salt(ids: Sequence[str], n: int | Column) -> Column:
     """A salt that depends on the row alone, so a retried task repeats it."""
     return F.pmod(F.xxhash64(*ids), F.lit(n) if isinstance(n, int) else n)
@@ -50,11 +61,10 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
 
 
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether `df` is within both bounds. Counts first; measures only if few rows."""
-    if df.count() > rows:
-        return False
+    """Whether `df` is within both bounds. One pass, which stops when it has seen too many rows."""
     text = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return df.agg(F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first()["bytes"] <= size
+    seen = df.select(text.alias("b")).limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return seen["n"] <= rows and seen["b"] <= size
 
 
 def broadcast_join(big: DataFrame, small: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -67,21 +77,27 @@ def salted_join(
     small: DataFrame,
     key: str,
     row_id: Sequence[str],
-    salts: int = 16,
+    salts: int | None = None,
     share: float = 0.01,
     how: str = "inner",
 ) -> DataFrame:
-    """Join with the large side's hot keys spread over `salts` tasks.
+    """Join with the large side's hot keys spread over `salts` tasks, by default
+    as many as the hottest key's rows ask for.
 
     Only hot keys are salted on the large side and replicated on the small one;
     all others carry salt 0 on both sides. The hot-key frame has at most
     1 / share rows, so broadcasting it is bounded. `how`: inner, left, left_semi
-    or left_anti (the large side is the left one).
+    or left_anti (the large side is the left one); the other kinds would repeat
+    the small side's unmatched rows per salt and are refused.
     """
-    found = stored(hot_keys(large, key, share).select(key, F.lit(True).alias("_hot")))
-    if found.isEmpty():
+    if how not in SALTED_KINDS:
+        raise ValueError(f"how must be one of {', '.join(SALTED_KINDS)}")
+    found = stored(hot_keys(large, key, share).select(key, "rows", F.lit(True).alias("_hot")))
+    most = found.agg(F.max("rows").alias("n")).first()["n"]
+    if most is None:
         return large.join(small, key, how)
-    hot = F.broadcast(found)
+    salts = salts or pieces(most)
+    hot = F.broadcast(found.drop("rows"))
     left = large.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), row_salt(row_id, salts)).otherwise(F.lit(0).cast("bigint"))
     )

@@ -29,7 +29,9 @@ def top_n_per_key(
     """Rows placed in the first `n` of their key under the tie policy `ties`.
 
     The filter sits right on the rank, so Spark drops rows that cannot qualify
-    before it shuffles: a hot key sends about n rows per map task.
+    before it shuffles: a hot key sends about n rows per map task. It does so up
+    to n = `spark.sql.optimizer.windowGroupLimitThreshold`, which the library's
+    sessions raise; `top_n_two_pass` spreads a hot key's rows at any n.
     """
     w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
     ranked = df.withColumn(name, TIES[ties]().over(w)).where(F.col(name) <= n)

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import HOT_ROWS, hot_groups, with_group_total
 from millrace.session import stored
 
+# Rows that a slot of a table without keys should hold at most, and the least number of slots.
+SLOT_ROWS = 10_000_000
+LEAST_SLOTS = 200
+
 FIRST, NOW = Window.unboundedPreceding, Window.currentRow
 
 
@@ -261,7 +265,12 @@ def with_peers(
     return df.withColumn("_peer", F.struct(*keys, *names)).join(by_peer, "_peer").drop("_peer")
 
 
-def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
+def slot_count(rows: int) -> int:
+    """Slots for a table without keys, so that none holds many more than `SLOT_ROWS` rows."""
+    return max(LEAST_SLOTS, -(-rows // SLOT_ROWS))
+
+
+def global_ranks(df: DataFrame, value: str, slots: int | None = None) -> DataFrame:
     """Add `rank` and `dense_rank` over the whole table, largest value first.
 
     Ranks come from the distinct values, where a common value is one row, and are
@@ -269,7 +278,7 @@ def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
     read them.
     """
     values = stored(df.groupBy(value).agg(F.count("*").alias("_same")))
-    cut = quantile_slot(values, value, slots, "_cut")
+    cut = quantile_slot(values, value, slots or slot_count(values.count()), "_cut")
     placed = SplitWindow(cut, [], [f"-{value}"], Split(F.col("_cut"), descending=True))
     ranks = _peer_columns(placed, "rank", "dense_rank", None).frame()
     # Joined as a struct, in which a null value equals itself.
@@ -278,7 +287,7 @@ def global_ranks(df: DataFrame, value: str, slots: int = 200) -> DataFrame:
 
 
 def global_running(
-    df: DataFrame, value: str, tie: str, slots: int = 200, tie_step: int = 1 << 20
+    df: DataFrame, value: str, tie: str, slots: int | None = None, tie_step: int = 1 << 20
 ) -> DataFrame:
     """Running total and ranks over the whole table, largest value first.
 
@@ -287,6 +296,7 @@ def global_running(
     cutting, totals and ranks each read them.
     """
     df = stored(df)
+    slots = slots or slot_count(df.count())
     cut = quantile_slot(df, value, slots, "_cut", F.floor(F.col(tie) / tie_step))
     ordered = SplitWindow(cut, [], [f"-{value}", tie], Split(_slot_down(), descending=True))
     return global_ranks(ordered.running(F.col(value), "running").frame().drop("_cut"), value, slots)
@@ -307,11 +317,14 @@ def recent_total(df: DataFrame, keys: Sequence[str], day: str, value: Column, da
 
     A range frame treats all rows of a day alike, so the window runs over one
     row per key and day; a hot key contributes at most one row per calendar day.
+    A null key is a key like others; a key's rows without a day form a day of
+    their own.
     """
     daily = df.groupBy(*keys, day).agg(F.sum(value).alias("_sum"))
     w = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-days, 0)
-    per_day = daily.select(*keys, day, F.sum("_sum").over(w).alias(name))
-    return df.join(per_day, [*keys, day])
+    # Joined as a struct, in which nulls equal each other.
+    per_day = daily.select(F.struct(*keys, day).alias("_day"), F.sum("_sum").over(w).alias(name))
+    return df.withColumn("_day", F.struct(*keys, day)).join(per_day, "_day").drop("_day")
 
 
 def rolling_mean(series: DataFrame, period: str, value: str, n: int, name: str) -> DataFrame:

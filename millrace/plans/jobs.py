@@ -81,9 +81,10 @@ def daily_totals(events: DataFrame, ts: str, kind: str, value: str) -> DataFrame
 
 def add_to_summary(path: str, delta: DataFrame, keys: Sequence[str], sums: Sequence[str], day: str) -> None:
     """Fold a batch's totals into a summary table partitioned by day, rewriting
-    only the days the batch touches."""
+    only the days the batch touches; rows without a day are a day of their own."""
     spark = delta.sparkSession
-    touched = spark.read.parquet(path).join(delta.select(day).distinct(), day, "left_semi")
+    days = delta.select(F.col(day).alias("_day")).distinct()
+    touched = spark.read.parquet(path).join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi")
     merged = merge_aggregate(touched.select(*delta.columns), delta, keys, sums).select(
         *keys, *[F.col(c).cast(t) for c, t in delta.dtypes if c in sums]
     )

@@ -90,6 +90,28 @@ def _(t):
     return _history(t, HOT)
 
 
+@query("c08_scd2_untimed", """WITH u AS (SELECT cust_id, record_id, city, CASE WHEN city <> 'error' THEN updated_at END AS since FROM #upd),
+    held AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY cust_id, since ORDER BY record_id DESC) = 1),
+    starts AS (SELECT * FROM held WINDOW w AS (PARTITION BY cust_id ORDER BY since NULLS FIRST)
+        QUALIFY row_number() OVER w = 1 OR lag(city) OVER w <> city)
+    SELECT cust_id, city, record_id, since::VARCHAR AS valid_from, (lead(since) OVER w)::VARCHAR AS valid_to, lead(since) OVER w IS NULL AS is_current
+    FROM starts WINDOW w AS (PARTITION BY cust_id ORDER BY since NULLS FIRST)""")
+def _(t):
+    # Changes to one of the values come without a time.
+    log = t.upd.withColumn("updated_at", F.when(F.col("city") != "error", F.col("updated_at")))
+    return changes.scd2(log, "cust_id", "updated_at", "record_id", ["city"], by_hour("updated_at"))
+
+
+@query("c09_as_of_deletes", f"""WITH {_SCD2} SELECT e.event_id, v.city FROM events e LEFT JOIN versions v ON v.cust_id = e.user_id
+    AND v.city <> 'error' AND v.valid_from <= e.ts + INTERVAL 1 HOUR AND (v.valid_to IS NULL OR e.ts + INTERVAL 1 HOUR < v.valid_to)""")
+def _(t):
+    facts = t["events"].select("event_id", F.col("user_id").alias("cust_id"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("at"))
+    kept = shared_path(t.spark, "history")
+    _history(t).where("city <> 'error'").write.parquet(kept)  # an error ends a version without a next one
+    found = changes.as_of(t.spark.read.parquet(kept), facts, "cust_id", "at", by_hour("_ts"), ["city"])
+    return found.select("event_id", "city")
+
+
 @query("c09_as_of", f"""WITH {_SCD2} SELECT e.event_id, v.city FROM events e LEFT JOIN versions v ON v.cust_id = e.user_id
     AND v.valid_from <= e.ts + INTERVAL 1 HOUR AND (v.valid_to IS NULL OR e.ts + INTERVAL 1 HOUR < v.valid_to)""")
 def _(t):

@@ -85,6 +85,20 @@ def _(t):
     return t.spark.read.parquet(path).select("day", "event_type", "events", "total")
 
 
+@query("z05_daily_summary_undated", """SELECT CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END::VARCHAR AS day, event_type,
+    count(*) AS events, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL""")
+def _(t):
+    path = shared_path(t.spark, "summary")
+    # Errors come without a time, in the first load as well as in the batch.
+    late = (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")) | (F.col("value") > 30)
+    known = F.when(F.col("event_type") != "error", F.col("ts"))
+    first = jobs.daily_totals(t["events"].where(~late).withColumn("ts", known), "ts", "event_type", "value")
+    write_parquet(first, path, ["day"])
+    batch = jobs.daily_totals(t["events"].where(late).withColumn("ts", known), "ts", "event_type", "value")
+    jobs.add_to_summary(path, batch, ["day", "event_type"], ["events", "total"], "day")
+    return t.spark.read.parquet(path).select("day", "event_type", "events", "total")
+
+
 @query("z06_features", """WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS events,
     sum(value::DECIMAL(18,2)) AS value FROM events GROUP BY ALL),
     seen AS (SELECT *, unnest(range(1, 8)) AS ahead FROM daily)

@@ -191,7 +191,8 @@ def _(t):
     count(*) FILTER (r > 1) AS right_repeated_keys, sum(l * r)::BIGINT AS joined_rows FROM l FULL JOIN r ON l.k = r.k""")
 def _(t):
     lines = t["lineitem"].select(F.col("l_orderkey").alias("k"))
-    return joins.fanout_report(lines, t.ord.select(F.col("cust_id").alias("k")), "k")
+    report = joins.fanout_report(lines, t.ord.select(F.col("cust_id").alias("k")), "k")
+    return report.withColumn("joined_rows", F.col("joined_rows").cast("long"))
 
 
 VIEW_TO_PURCHASE = """SELECT a.event_id AS view_id, b.event_id AS purchase_id, a.user_id FROM events a JOIN events b

@@ -307,4 +307,4 @@ def _(t):
 
 @query("x04_table_function", """SELECT emp_id, unnest(skills) AS word, unnest(range(len(skills)))::INTEGER AS position FROM #emp""")
 def _(t):
-    return t.emp.lateralJoin(udfs.Words(F.col("name").outer())).select("emp_id", "word", "position")
+    return t.emp.select("emp_id", F.posexplode(F.split("name", r"\s+")).alias("position", "word"))

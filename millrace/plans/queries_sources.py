@@ -154,6 +154,23 @@ def _(t):
     return files.read_merged(t.spark, path, {"status": F.lit("unknown")}).drop("load")
 
 
+@query("s15_compact_partitioned", "SELECT order_id, amount, status FROM #ord")
+def _(t):
+    many, few = shared_path(t.spark, "many"), shared_path(t.spark, "few")
+    t.ord.select("order_id", "amount", "status").repartition(20).write.partitionBy("status").parquet(many)
+    files.compact(t.spark, many, few, partitions=["status"])
+    return t.spark.read.parquet(few)
+
+
+@query("s16_read_widened", "SELECT order_id, amount FROM #ord")
+def _(t):
+    path = shared_path(t.spark, "widened")
+    old = F.col("order_date") < "1998-01-01"
+    t.ord.where(old).select(F.col("order_id").cast("int").alias("order_id"), "amount").write.parquet(f"{path}/load=1")
+    t.ord.where(~old).select(F.col("order_id").cast("long").alias("order_id"), "amount").write.parquet(f"{path}/load=2")
+    return files.read_merged(t.spark, path, {}, "order_id long, amount double").select("order_id", "amount")
+
+
 @query("s17_overwrite_partitions", """SELECT order_id, CASE WHEN status = 'Pending' THEN amount + 1 ELSE amount END AS amount, status
     FROM #ord""")
 def _(t):

@@ -86,6 +86,16 @@ def _(t):
     return runs.latest_complete(t.spark, out)
 
 
+@query("t06_complete_replay", _PER_USER)
+def _(t):
+    # A first run over large values only, then a replay of everything with a new checkpoint into the same folder.
+    out = shared_path(t.spark, "out")
+    aggs = [c.alias(n) for n, c in _aggs().items()]
+    runs.run_mode(_events(t).where("value > 30").groupBy("user_id").agg(*aggs), "complete", out, shared_path(t.spark, "state"))
+    runs.run_mode(_per_user(t), "complete", out, shared_path(t.spark, "state"))
+    return runs.latest_complete(t.spark, out)
+
+
 @query("t06_update", _PER_USER)
 def _(t):
     out, state = shared_path(t.spark, "out"), shared_path(t.spark, "state")
@@ -132,6 +142,22 @@ def _(t):
     return current.select("cust_id", "record_id", "city")
 
 
+@query("t10_upsert_deletes", """SELECT cust_id, record_id, city FROM (SELECT * FROM #upd
+    QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1) WHERE operation <> 'DELETE'""")
+def _(t):
+    log = _events(t).select(
+        F.col("user_id").alias("cust_id"), F.col("event_id").alias("record_id"), F.col("event_type").alias("city"),
+        F.col("ts").alias("updated_at"), F.when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE").alias("operation"),
+    )
+    first, folded = shared_path(t.spark, "target"), shared_path(t.spark, "target")
+    early = F.col("updated_at") < F.lit("2024-01-15").cast("timestamp_ntz")
+    by = ("cust_id", "updated_at", "record_id")
+    runs.stream_upsert(log.where(early), first, shared_path(t.spark, "state"), *by)
+    runs.fold_upserts(t.spark, first, folded, *by)
+    runs.stream_upsert(log.where(~early), folded, shared_path(t.spark, "state"), *by)
+    return runs.upserted(t.spark, folded, *by, op="operation").select("cust_id", "record_id", "city")
+
+
 @query("t11_replay", "SELECT event_id, value FROM events")
 def _(t):
     # A backfill is the same stream under a new checkpoint, into a new folder.

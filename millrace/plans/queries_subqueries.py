@@ -160,6 +160,12 @@ def _(t):
     return hierarchy.walk(t.tree, "emp_id", "mgr_id", -1)
 
 
+@query("h02_walk_null_root", _REACHED)
+def _(t):
+    boss = F.when(F.col("mgr_id") >= 0, F.col("mgr_id"))
+    return hierarchy.walk(t.tree.withColumn("mgr_id", boss), "emp_id", "mgr_id", None)
+
+
 @query("h03_walk_sql", _REACHED)
 def _(t):
     return hierarchy.walk_sql(t.spark, t.tree, "emp_id", "mgr_id", -1)

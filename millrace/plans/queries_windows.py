@@ -139,6 +139,17 @@ def _(t):
     return recent.select("cust_id", "order_id", "last_30")
 
 
+@query("w09_range_sum_nulls", """SELECT cust_id, order_id, sum(money) OVER (PARTITION BY cust_id ORDER BY order_date
+    RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)::DOUBLE AS last_30 FROM (SELECT order_id, money,
+    CASE WHEN status <> 'Pending' THEN cust_id END AS cust_id, CASE WHEN amount <= 300000 THEN order_date END AS order_date FROM #ord)""")
+def _(t):
+    # Pending orders have no customer yet, and large ones no date.
+    open_ = t.ord.withColumn("cust_id", F.when(F.col("status") != "Pending", F.col("cust_id")))
+    open_ = open_.withColumn("order_date", F.when(F.col("amount") <= 300000, F.col("order_date")))
+    recent = win.recent_total(open_, ["cust_id"], "order_date", money("amount"), 30, "last_30")
+    return recent.select("cust_id", "order_id", "last_30")
+
+
 @query("w10_gap_days", f"SELECT cust_id, order_id, date_diff('day', lag(order_date) OVER ({_W}), order_date) AS gap FROM #ord")
 def _(t):
     placed = _by_date(t).neighbour(F.col("order_date"), "before", -1).frame()

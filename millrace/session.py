@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Early limits per key up to this n, and the progress of that many micro-batches.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

@@ -97,9 +97,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overwrite") -> None:
-    """Parquet files of at most `rows_per_file` rows, evenly filled."""
-    files = max(1, math.ceil(df.count() / rows_per_file))
-    df.repartition(files).write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
+    """Parquet files of at most `rows_per_file` rows.
+
+    Nothing is counted first: adaptive execution evens out the partitions by
+    size, and a task starts a new file whenever one is full.
+    """
+    df.hint("rebalance").write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
@@ -108,15 +111,29 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 128 << 20) -> None:
-    """Rewrite many small Parquet files as few of about `file_bytes`, without a shuffle."""
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 128 << 20, partitions: Sequence[str] = ()) -> None:
+    """Rewrite many small Parquet files as few of about `file_bytes`.
+
+    Without `partitions` there is no shuffle. A table split by columns is named
+    them and keeps its folders; its rows are dealt to them by one shuffle, in
+    which adaptive execution splits large folders.
+    """
+    df = spark.read.parquet(source)
+    if partitions:
+        df.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(target)
+        return
     files = max(1, math.ceil(folder_bytes(spark, source) / file_bytes))
-    spark.read.parquet(source).coalesce(files).write.mode("overwrite").parquet(target)
+    df.coalesce(files).write.mode("overwrite").parquet(target)
+
 
+def read_merged(spark: SparkSession, path: str, defaults: Mapping[str, Column], schema: str | None = None) -> DataFrame:
+    """Parquet files whose columns differ; `defaults` stand for every null of their columns.
 
-def read_merged(spark: SparkSession, path: str, defaults: Mapping[str, Column]) -> DataFrame:
-    """Parquet files whose columns differ; `defaults` fill columns old files lack."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    Files whose types differ as well (int and long, say) need the wider `schema`
+    of all columns; without one, column sets are merged and types must agree.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    df = reader.parquet(path)
     return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in defaults.items()})
 
 

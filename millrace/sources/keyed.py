@@ -10,6 +10,8 @@ from millrace.session import shared_path
 from millrace.sources.files import overwrite_partitions, write_parquet
 
 PART = "part"
+# Holds the number of parts; readers of the table skip names that start so.
+LAYOUT = "_layout"
 
 
 def _part(key: str, parts: int) -> Column:
@@ -19,19 +21,25 @@ def _part(key: str, parts: int) -> Column:
 def write_keyed(df: DataFrame, path: str, key: str, parts: int) -> None:
     """Write a table with unique keys in `parts` parts."""
     write_parquet(df.withColumn(PART, _part(key, parts)), path, [PART])
+    df.sparkSession.createDataFrame([(key, parts)], "key string, parts int").write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PART)
 
 
-def upsert_keyed(path: str, incoming: DataFrame, key: str, parts: int) -> None:
-    """Update and insert rows by key; `parts` is what the table was written with.
+def upsert_keyed(path: str, incoming: DataFrame, key: str, parts: int | None = None) -> None:
+    """Update and insert rows by key.
 
+    The table knows its key and number of parts; others given here are refused.
     Only parts with incoming keys are read and replaced. The new rows are written
     aside first, so no file is replaced while it is read.
     """
     spark = incoming.sparkSession
+    layout = spark.read.parquet(f"{path}/{LAYOUT}").first()
+    if (layout["key"], layout["parts"]) != (key, parts or layout["parts"]):
+        raise ValueError(f"the table is split by {layout['key']} into {layout['parts']} parts")
+    parts = layout["parts"]
     touched = incoming.select(_part(key, parts).alias(PART)).distinct()  # at most `parts` rows
     current = spark.read.parquet(path).join(touched, PART, "left_semi").drop(PART)
     staged = shared_path(spark, "staged")
