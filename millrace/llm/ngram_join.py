@@ -30,6 +30,14 @@ from millrace.llm.components import components
 # Counters of the frequency sketch: its size is fixed, so broadcasting it is bounded (one byte each).
 SKETCH_BITS = 22
 BLOCK = 1 << 16
+# Bits of the filter that says whose sets are needed: 4 MB, whatever the table's size.
+FILTER_BITS = 25
+# Representatives of a token in a round: groups up to about this size are compared whole at once.
+REPRESENTATIVES = 16
+# Another round follows if at least this share of the pairs compared were links.
+WORTH_A_ROUND = 0.1
+PARITY = ("b0", "b1", "b2", "b3")
+SHARED = ("token", "node", "n", "place", *PARITY)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -61,12 +69,18 @@ def set_hash(tokens: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64)))
 
 
+def parity(tokens: np.ndarray) -> list[int]:
+    """256 bits as four numbers: whether an odd number of the tokens fall on each."""
+    at = (mixed(tokens, 5) >> np.uint64(56)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=256) & 1).view(">i8").tolist()
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
 def _signatures(df: DataFrame, size: int) -> DataFrame:
-    """Per document its set's size and hash; per task also blocks of the frequency sketch."""
+    """Per document its set's size, hash and parities; per task also blocks of the frequency sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, waiting, held = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
 
@@ -78,7 +92,7 @@ def _signatures(df: DataFrame, size: int) -> DataFrame:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = shingle_set(text.as_py(), size)
-                rows.append((doc, len(tokens), set_hash(tokens), None, None))
+                rows.append((doc, len(tokens), set_hash(tokens), *parity(tokens), None, None))
                 waiting.append(tokens)
                 held += len(tokens)
                 if held > 1 << 21:
@@ -89,14 +103,14 @@ def _signatures(df: DataFrame, size: int) -> DataFrame:
             count()
         pack = zstandard.ZstdCompressor(level=1).compress
         blocks = [(k, counts[k * BLOCK:(k + 1) * BLOCK]) for k in range(len(counts) // BLOCK)]
-        if rows := [(None, None, None, k, pack(c.astype("<u4").tobytes())) for k, c in blocks if c.any()]:
+        if rows := [(*[None] * 7, k, pack(c.astype("<u4").tobytes())) for k, c in blocks if c.any()]:
             yield _rows(rows)
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n", "h", "block", "counts"])
+        kinds = (*[pa.int64()] * 7, pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n", "h", *PARITY, "block", "counts"])
 
-    return df.mapInArrow(run, "doc_id long, n long, h long, block int, counts binary")
+    return df.mapInArrow(run, f"doc_id long, n long, h long, {', '.join(f'{c} long' for c in PARITY)}, block int, counts binary")
 
 
 def _levels(signatures: DataFrame) -> bytes:
@@ -145,17 +159,53 @@ def _prefixes(df: DataFrame, size: int, percent: int, levels) -> DataFrame:
     return df.select("text").mapInArrow(run, "token long, h long, n long, place long")
 
 
-def _sets(df: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per document: size and hash of its set, its prefixes under two further orders, and the set."""
+def _places(ids: np.ndarray) -> np.ndarray:
+    """The filter's bits of each id, one row per hash."""
+    return np.stack([mixed(ids.astype(np.uint64), k) >> np.uint64(64 - FILTER_BITS) for k in (11, 12, 13)]).astype(np.int64)
+
+
+def _membership(nodes: DataFrame) -> bytes:
+    """A Bloom filter of fixed size over the ids: none is missing, and the more there are, the more others pass."""
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, np.bool_)
+        for batch in batches:
+            bits[_places(batch.column(0).to_numpy()).ravel()] = True
+        packed = np.packbits(bits)
+        parts = [(k, packed[k:k + BLOCK]) for k in range(0, len(packed), BLOCK)]
+        if rows := [(k, p.tobytes()) for k, p in parts if p.any()]:
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())], names=["block", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(part.as_py(), np.uint8)
+                out[k] = out[k] | part if k in out else part
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([p.tobytes() for p in out.values()], pa.binary())], names=["block", "bits"])
+
+    bits = bytearray((1 << FILTER_BITS) // 8)
+    for row in nodes.mapInArrow(fill, "block int, bits binary").repartition(16, "block").mapInArrow(merge, "block int, bits binary").collect():
+        bits[row["block"]:row["block"] + len(row["bits"])] = row["bits"]
+    return bytes(bits)
+
+
+def _sets(df: DataFrame, size: int, percent: int, member) -> DataFrame:
+    """Of the documents that pass the filter: id (as node), prefixes under two further orders, and the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(member.value, np.uint8)
         for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            ids = batch.column(0).to_numpy()
+            at = _places(ids)
+            passed = np.flatnonzero((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(0)) if len(ids) else []
             rows, held = [], 0
-            for text in batch.column(0):
-                tokens = shingle_set(text.as_py(), size)
+            for k in passed:
+                tokens = shingle_set(batch.column(1)[int(k)].as_py(), size)
                 if n := len(tokens):
                     p = prefix_length(n, percent)
-                    ends = [tokens[np.argsort(mixed(tokens, k))[:p]].view(np.int64) for k in (2, 3)]
-                    rows.append((n, set_hash(tokens), *ends, tokens.view(np.int64)))
+                    ends = [tokens[np.argsort(mixed(tokens, o))[:p]].view(np.int64) for o in (2, 3)]
+                    rows.append((int(ids[k]), *ends, tokens.view(np.int64)))
                     held += n
                 if held > 500_000:
                     yield _batch(rows)
@@ -164,10 +214,10 @@ def _sets(df: DataFrame, size: int, percent: int) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["n", "h", "second", "third", "tokens"])
+        kinds = (pa.int64(), *[pa.list_(pa.int64())] * 3)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["node", "second", "third", "tokens"])
 
-    return df.select("text").mapInArrow(run, "n long, h long, second array<long>, third array<long>, tokens array<long>")
+    return df.mapInArrow(run, "node long, second array<long>, third array<long>, tokens array<long>")
 
 
 class NgramJaccardJoin:
@@ -184,33 +234,45 @@ class NgramJaccardJoin:
         self.size, self.percent = size, percent
         self.docs = df.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
         signatures = written(_signatures(self.docs, size), "signatures")
-        self.rows = signatures.where(F.col("block").isNull()).select("doc_id", "n", "h")
+        self.rows = signatures.where(F.col("block").isNull()).select("doc_id", "n", "h", *PARITY)
         self.classes = written(
-            self.rows.where(F.col("n") > 0).groupBy("n", "h").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")).where(F.col("node").isNotNull()),
+            self.rows.where(F.col("n") > 0).groupBy("n", "h").agg(F.min("doc_id").alias("node"), *[F.first(b).alias(b) for b in PARITY]).where(F.col("node").isNotNull()),
             "classes",
         )
         self.levels = df.sparkSession.sparkContext.broadcast(_levels(signatures))
         self.shared = self._shared_tokens()
-        self.sets = self._candidate_sets()
+        self.sets: DataFrame | None = None
         self.links = self._links()
 
     def _shared_tokens(self) -> DataFrame:
         """Prefix tokens that several classes hold: token, node, n, place."""
         prefixes = written(_prefixes(self.docs.where(F.col("doc_id").isNotNull()), self.size, self.percent, self.levels), "prefixes")
         several = prefixes.groupBy("token").agg(F.min("h").alias("low"), F.max("h").alias("high")).where(F.col("low") != F.col("high")).select("token")
-        found = prefixes.join(several, "token", "left_semi").distinct()
-        return written(found.join(self.classes, ["n", "h"]).select("token", "node", "n", "place"), "shared")
+        found = prefixes.join(several, "token", "left_semi").distinct()  # copies of a text
+        return written(found.join(self.classes, ["n", "h"]).select(*SHARED), "shared")
 
-    def _candidate_sets(self) -> DataFrame:
-        nodes = self.shared.select(F.col("node").alias("doc_id")).distinct()
-        sets = _sets(self.docs.join(nodes, "doc_id", "left_semi"), self.size, self.percent)
-        known = self.classes.join(nodes, F.col("node") == F.col("doc_id"), "left_semi").select("n", "h", "node")
-        return written(sets.dropDuplicates(["n", "h"]).join(known, ["n", "h"]).drop("h"), "sets")
+    def _possible(self) -> Column:
+        """Whether sizes, the places of the shared token and the parities leave room for enough common tokens.
 
-    def _possible(self, n1: Column, place1: Column, n2: Column, place2: Column) -> Column:
-        """Whether sizes and the places of a shared token leave room for enough common tokens."""
+        Bits in which the parities differ are tokens that only one of the sets has.
+        """
+        n1, n2 = F.col("l.n"), F.col("r.n")
         sizes = (100 * F.least(n1, n2)) >= (self.percent * F.greatest(n1, n2))
-        return sizes & ((100 + self.percent) * F.least(n1 - place1, n2 - place2) >= self.percent * (n1 + n2))
+        places = (100 + self.percent) * F.least(n1 - F.col("l.place"), n2 - F.col("r.place")) >= self.percent * (n1 + n2)
+        differing = sum((F.bit_count(F.col(f"l.{b}").bitwiseXOR(F.col(f"r.{b}"))) for b in PARITY[1:]), F.bit_count(F.col("l.b0").bitwiseXOR(F.col("r.b0"))))
+        return sizes & places & ((100 + self.percent) * differing <= (100 - self.percent) * (n1 + n2))
+
+    def _fetch(self, pairs: DataFrame) -> None:
+        """Have the sets of all documents in the pairs at hand."""
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if self.sets is not None:
+            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
+        nodes = written(nodes, "nodes")
+        if self.sets is not None and nodes.isEmpty():
+            return
+        member = self.docs.sparkSession.sparkContext.broadcast(_membership(nodes))
+        more = written(_sets(self.docs, self.size, self.percent, member).join(nodes, "node", "left_semi"), "sets")
+        self.sets = more if self.sets is None else self.sets.unionByName(more)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that share prefix tokens under the further orders and are similar enough."""
@@ -224,36 +286,45 @@ class NgramJaccardJoin:
         union = F.size("tokens_a") + F.size("tokens_b") - common
         return near.join(full.toDF("a", "tokens_a"), "a").join(full.toDF("b", "tokens_b"), "b").where(100 * common >= self.percent * union).select("a", "b")
 
-    def _pairs(self, left: DataFrame, right: DataFrame) -> DataFrame:
-        """Distinct pairs of different labels that share a token and may be similar."""
-        l, r = left.alias("l"), right.alias("r")
-        fits = self._possible(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place"))
-        met = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.label") != F.col("r.label")) & fits)
-        return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+    def _pairs(self, left: DataFrame, right: DataFrame, labels: Column) -> DataFrame:
+        """Distinct pairs that share a token, may be similar, and whose labels fulfil the condition."""
+        met = left.alias("l").join(right.alias("r"), (F.col("l.token") == F.col("r.token")) & labels & self._possible())
+        return written(met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct(), "pairs")
+
+    def _open(self, labelled: DataFrame) -> tuple[DataFrame, int]:
+        """The rows of tokens that documents of different labels hold, and how many such pairs they form."""
+        parts = labelled.groupBy("token", "label").agg(F.count("*").cast("double").alias("c"))
+        tokens = parts.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels")).where(F.col("labels") > 1)
+        rest = written(labelled.join(tokens.select("token", ((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")), "token"), "open")
+        totals = rest.groupBy("token").agg(F.max("pairs").alias("pairs")).agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("n")).first()
+        return rest.drop("pairs"), int(totals["n"])
 
     def _links(self) -> DataFrame:
-        """Links enough to connect every component (a, b)."""
-        labelled = self.shared.withColumn("label", F.col("node"))
-        links = None
-        for pick in (F.min, F.max):
-            groups = labelled.groupBy("token").agg(pick(F.struct("n", "node", "place", "label")).alias("r"), F.min("label").alias("low"), F.max("label").alias("high"))
-            chosen = groups.where(F.col("low") != F.col("high")).select("token", "r.*")
-            links, labelled = self._joined(links, self._pairs(labelled, chosen))
-        open_tokens = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high")).select("token")
-        rest = written(labelled.join(open_tokens, "token", "left_semi"), "rest")
-        ordered = F.col("l.label") < F.col("r.label")
-        met = rest.alias("l").join(rest.alias("r"), (F.col("l.token") == F.col("r.token")) & ordered & self._possible(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place")))
-        pairs = met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
-        return self._joined(links, pairs, last=True)[0]
-
-    def _joined(self, links: DataFrame | None, pairs: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
-        found = written(self._verified(written(pairs, "pairs")), "links")
-        links = links.unionByName(found) if links else found
-        if last:
-            return links, None
-        labels = components(links)
-        labelled = self.shared.join(labels, "node", "left").select("token", "node", "n", "place", F.coalesce("component", "node").alias("label"))
-        return links, labelled
+        """Links enough to connect every component (a, b).
+
+        Rounds with a few representatives per token, others each round, go on as
+        long as a good part of their pairs are links; all pairs of different
+        components then left are compared.
+        """
+        links = self.docs.sparkSession.createDataFrame([], "a long, b long")
+        rest, left = self._open(self.shared.withColumn("label", F.col("node")))
+        rows, seed = rest.count(), 0
+        while left > rows:
+            drawn = rest.withColumn("draw", F.xxhash64("node", F.lit(seed)))
+            first = F.min(F.struct("draw", *SHARED[1:], "label")).alias("r")
+            chosen = drawn.groupBy("token", F.pmod("draw", F.lit(REPRESENTATIVES)).alias("k")).agg(first).select("token", "r.*")
+            pairs = self._pairs(rest, chosen, F.col("l.label") != F.col("r.label"))
+            found = self._compared(pairs)
+            links, seed = links.unionByName(found), seed + 1
+            labelled = rest.drop("label").join(components(links), "node", "left").select(*SHARED, F.coalesce("component", "node").alias("label"))
+            rest, left = self._open(labelled)
+            if found.count() <= WORTH_A_ROUND * pairs.count():
+                break
+        return links.unionByName(self._compared(self._pairs(rest, rest, F.col("l.label") < F.col("r.label"))))
+
+    def _compared(self, pairs: DataFrame) -> DataFrame:
+        self._fetch(pairs)
+        return written(self._verified(pairs), "links")
 
     def documents(self) -> DataFrame:
         """One row per input row: doc_id, n_shingles, component_id (its smallest doc_id; its own without links)."""
