@@ -29,16 +29,24 @@ STEP, MOST_TOTAL = 24, 4000
 
 # Magnitude classes: two to an octave.
 _starts = [0, 1, 2, 3] + [s for b in range(2, 16) for s in (1 << b, 3 << (b - 1))]
-STARTS = np.array(sorted(set(_starts)), np.int64)
+STARTS = np.array(sorted(set(_starts)), np.int32)
 WIDTHS = np.diff(np.append(STARTS, MOST_IDS))
-CLASS_BITS = np.ceil(np.log2(WIDTHS)).astype(np.int64)
+CLASS_BITS = np.ceil(np.log2(WIDTHS)).astype(np.uint64)
 CLASSES = len(STARTS)
+CLASS_OF = (np.searchsorted(STARTS, np.arange(MOST_IDS), side="right") - 1).astype(np.int32)
 
 # Logistic mixing in whole numbers: probabilities have 12 bits, their logits 8 fractional bits.
 _p = (np.arange(4096) + 0.5) / 4096
 STRETCH = np.round(np.log(_p / (1 - _p)) * 256).astype(np.int32)
 LOGITS = 2047
-SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-LOGITS, LOGITS + 1) / 256))), 64, 4032).astype(np.int64)
+SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-LOGITS, LOGITS + 1) / 256))), 64, 4032).astype(np.int32)
+
+
+def _narrow(low: np.ndarray, whole: np.ndarray, lanes: np.ndarray, bit: np.ndarray, p: np.ndarray) -> None:
+    """Take a yes's or a no's part of the range, in place, where `lanes` holds."""
+    bound = (whole >> U(12)) * p.astype(U)
+    low += bound * (lanes & ~bit)
+    np.copyto(whole, np.where(bit, bound, whole - bound), where=lanes)
 
 
 class Encoder:
@@ -48,28 +56,23 @@ class Encoder:
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, ~U(0))
         self.out, self.done = np.zeros((lanes, most_bytes), np.uint8), np.zeros(lanes, np.int64)
 
-    def _take(self, lanes: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        n = len(lanes)
-        self.low[:n] += np.where(lanes, start, U(0))
-        self.range[:n] = np.where(lanes, width, self.range[:n])
-
     def binary(self, lanes: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        whole = self.range[:len(lanes)]
-        bound = (whole >> U(12)) * p.astype(U)
-        self._take(lanes, np.where(bit, U(0), bound), np.where(bit, bound, whole - bound))
+        _narrow(self.low[:len(lanes)], self.range[:len(lanes)], lanes, bit, p)
         return bit
 
     def class_of(self, lanes: np.ndarray, upto: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Here and in `bits`, `lanes` are the numbers of the lanes meant."""
         rows = np.arange(len(lanes))
-        part = self.range[:len(lanes)] // upto[:, -1].astype(U)
-        high = upto[rows, k]
-        start = np.where(k > 0, upto[rows, k - 1], 0)
-        self._take(lanes, part * start.astype(U), part * (high - start).astype(U))
+        high, start = upto[rows, k], np.where(k > 0, upto[rows, k - 1], 0)
+        part = self.range[lanes] // upto[:, -1].astype(U)
+        self.low[lanes] += part * start.astype(U)
+        self.range[lanes] = part * (high - start).astype(U)
         return k
 
     def bits(self, lanes: np.ndarray, n: np.ndarray, value: np.ndarray) -> np.ndarray:
-        part = self.range[:len(lanes)] >> n.astype(U)
-        self._take(lanes, part * value.astype(U), part)
+        part = self.range[lanes] >> n
+        self.low[lanes] += part * value.astype(U)
+        self.range[lanes] = part
         return value
 
     def settle(self, active: int) -> None:
@@ -108,35 +111,28 @@ class Decoder:
         for k in range(8):
             self.code = (self.code << U(8)) | self.data[:, k].astype(U)
 
-    def _take(self, lanes: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        n = len(lanes)
-        self.low[:n] += np.where(lanes, start, U(0))
-        self.range[:n] = np.where(lanes, width, self.range[:n])
-
     def binary(self, lanes: np.ndarray, p: np.ndarray, _bit: None) -> np.ndarray:
         n = len(lanes)
-        whole = self.range[:n]
-        bound = (whole >> U(12)) * p.astype(U)
-        bit = (self.code[:n] - self.low[:n]) < bound
-        self._take(lanes, np.where(bit, U(0), bound), np.where(bit, bound, whole - bound))
+        bit = (self.code[:n] - self.low[:n]) < (self.range[:n] >> U(12)) * p.astype(U)
+        _narrow(self.low[:n], self.range[:n], lanes, bit, p)
         return bit
 
     def class_of(self, lanes: np.ndarray, upto: np.ndarray, _k: None) -> np.ndarray:
-        n = len(lanes)
-        rows = np.arange(n)
-        part = np.maximum(self.range[:n] // upto[:, -1].astype(U), U(1))
-        value = np.minimum((self.code[:n] - self.low[:n]) // part, (upto[:, -1] - 1).astype(U)).astype(np.int64)
+        rows = np.arange(len(lanes))
+        part = np.maximum(self.range[lanes] // upto[:, -1].astype(U), U(1))
+        value = np.minimum((self.code[lanes] - self.low[lanes]) // part, (upto[:, -1] - 1).astype(U)).astype(np.int32)
         k = (upto <= value[:, None]).sum(1)
         start = np.where(k > 0, upto[rows, k - 1], 0)
-        self._take(lanes, part * start.astype(U), part * (upto[rows, k] - start).astype(U))
+        self.low[lanes] += part * start.astype(U)
+        self.range[lanes] = part * (upto[rows, k] - start).astype(U)
         return k
 
     def bits(self, lanes: np.ndarray, n: np.ndarray, _value: None) -> np.ndarray:
-        m = len(lanes)
-        part = np.maximum(self.range[:m] >> n.astype(U), U(1))
-        value = np.minimum((self.code[:m] - self.low[:m]) // part, (U(1) << n.astype(U)) - U(1))
-        self._take(lanes, part * value, part)
-        return value.astype(np.int64)
+        part = np.maximum(self.range[lanes] >> n, U(1))
+        value = np.minimum((self.code[lanes] - self.low[lanes]) // part, (U(1) << n) - U(1))
+        self.low[lanes] += part * value
+        self.range[lanes] = part
+        return value.astype(np.int32)
 
     def settle(self, active: int) -> None:
         low, whole = self.low[:active], self.range[:active]
@@ -163,57 +159,62 @@ class Mixer:
         self.sure = {o: np.zeros(lanes << SLOT_BITS[o], np.uint8) for o in ORDERS}
         self.chance = {o: np.tile((np.arange(CONFIDENCES) * 3600 + 4000).astype(np.int32), lanes) for o in ORDERS}
         self.weight = {(o, q): np.full(lanes, 40_000 if o == q else 12_000, np.int32) for o in ORDERS for q in ORDERS}
-        self.counts = np.full((lanes, CLASSES), 12, np.int64)
-        self.lane = np.arange(lanes)
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.counts = np.full((lanes, CLASSES), 12, np.int16)
+        self.lane = np.arange(lanes, dtype=np.int32)
+        self.first = {o: self.lane << SLOT_BITS[o] for o in ORDERS}
+        self.one, self.two = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
 
     def _slots(self, n: int) -> dict[int, np.ndarray]:
-        one, two, lane = self.one[:n], self.two[:n], self.lane[:n]
-        first = (one * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - SLOT_BITS[1])
-        second = ((one * 0x85EBCA6B + two * 0xC2B2AE35) & 0xFFFFFFFF) >> (32 - SLOT_BITS[2])
-        return {0: lane, 1: (lane << SLOT_BITS[1]) + first, 2: (lane << SLOT_BITS[2]) + second}
+        one, two = self.one[:n], self.two[:n]
+        first = (one * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS[1])
+        second = (one * np.uint32(0x85EBCA6B) + two * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOT_BITS[2])
+        return {0: self.first[0][:n], 1: self.first[1][:n] + first.astype(np.int32), 2: self.first[2][:n] + second.astype(np.int32)}
 
     def next(self, coder: Encoder | Decoder, n: int, ids: np.ndarray | None) -> np.ndarray:
         """Code one id of the first `n` lanes (given to an encoder, returned by a decoder)."""
         slot = self._slots(n)
         guess = {o: self.guess[o][slot[o]] for o in ORDERS}
         sure = {o: self.sure[o][slot[o]] for o in ORDERS}
-        cell = {o: self.lane[:n] * CONFIDENCES + sure[o] for o in ORDERS}
+        cell = {o: (self.lane[:n] << 4) + sure[o] for o in ORDERS}
         chance = {o: self.chance[o][cell[o]] for o in ORDERS}
         logit = {o: STRETCH[chance[o] >> 4] for o in ORDERS}
-        open_, token = np.ones(n, bool), np.zeros(n, np.int64)
-        for place, o in enumerate(ORDERS):
-            asked = open_ & (guess[o] >= 0)
-            for earlier in ORDERS[:place]:
-                asked &= guess[earlier] != guess[o]
-            inputs = {q: logit[o] if q == o else np.where(guess[q] == guess[o], logit[q], 0) for q in ORDERS}
-            total = sum(self.weight[o, q][:n].astype(np.int64) * x for q, x in inputs.items()) >> 16
+        # Which orders predict the same id.
+        same = {(2, 1): guess[2] == guess[1], (2, 0): guess[2] == guess[0], (1, 0): guess[1] == guess[0]}
+        same |= {(q, o): m for (o, q), m in same.items()}
+        known = {o: guess[o] >= 0 for o in ORDERS}
+        asked_of = {2: known[2], 1: known[1] & ~same[2, 1], 0: known[0] & ~same[2, 0] & ~same[1, 0]}
+        open_, token = np.ones(n, bool), np.zeros(n, np.int32)
+        for o in ORDERS:
+            asked = open_ & asked_of[o]
+            inputs = {q: logit[o] if q == o else logit[q] * same[o, q] for q in ORDERS}
+            total = sum((self.weight[o, q][:n] >> 4) * x for q, x in inputs.items()) >> 12
             p = SQUASH[np.clip(total, -LOGITS, LOGITS) + LOGITS]
             bit = coder.binary(asked, p, None if ids is None else ids == guess[o])
-            error = np.where(asked, (bit.astype(np.int64) << 12) - p, 0)
+            error = (bit.astype(np.int32) * 4096 - p) * asked
             for q, x in inputs.items():
-                self.weight[o, q][:n] += (x * error >> 10).astype(np.int32)
+                self.weight[o, q][:n] += (x * error) >> 10
             right = asked & bit
             token = np.where(right, guess[o], token)
             open_ &= ~right
-        counts = self.counts[:n]
-        upto = np.cumsum(counts, axis=1)
-        k = coder.class_of(open_, upto, None if ids is None else np.searchsorted(STARTS, ids, side="right") - 1)
-        k = np.where(open_, k, 0)
-        rest = coder.bits(open_, CLASS_BITS[k], None if ids is None else ids - STARTS[k])
-        token = np.where(open_, STARTS[k] + rest, token)
+        lanes = np.flatnonzero(open_)
+        if len(lanes):
+            upto = np.cumsum(self.counts[lanes], axis=1, dtype=np.int32)
+            k = coder.class_of(lanes, upto, None if ids is None else CLASS_OF[ids[lanes]])
+            start = STARTS[k]
+            value = start + coder.bits(lanes, CLASS_BITS[k], None if ids is None else ids[lanes] - start)
+            token[lanes] = value
+            self.counts[lanes, k] += STEP
+            full = lanes[upto[:, -1] + STEP > MOST_TOTAL]
+            if len(full):
+                self.counts[full] = (self.counts[full] + 1) >> 1
         coder.settle(n)
-        coded = np.flatnonzero(open_)
-        counts[coded, k[coded]] += STEP
-        full = coded[upto[coded, -1] + STEP > MOST_TOTAL]
-        counts[full] = (counts[full] + 1) >> 1
         for o in ORDERS:
-            hit, known = guess[o] == token, guess[o] >= 0
-            self.chance[o][cell[o]] += np.where(known, (np.where(hit, 65535, 0) - chance[o]) >> 5, 0).astype(np.int32)
-            replaced = ~hit & (sure[o] == 0)
-            self.guess[o][slot[o]] = np.where(replaced, token, guess[o])
+            hit = guess[o] == token
+            self.chance[o][cell[o]] = chance[o] + ((hit.astype(np.int32) * 65535 - chance[o]) >> 5) * known[o]
+            self.guess[o][slot[o]] = np.where(~hit & (sure[o] == 0), token, guess[o])
             self.sure[o][slot[o]] = np.where(hit, np.minimum(sure[o] + 1, CONFIDENCES - 1), sure[o] >> 1)
-        self.two[:n], self.one[:n] = self.one[:n], token + 1
+        self.two[:n] = self.one[:n]
+        self.one[:n] = token + 1
         return token
 
 
@@ -224,7 +225,7 @@ def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     lengths = np.array([len(blocks[k]) for k in order], np.int64)
     longest = int(lengths[0]) if len(lengths) else 0
-    grid = np.zeros((longest, len(blocks)), np.int64)
+    grid = np.zeros((longest, len(blocks)), np.int32)
     for lane, k in enumerate(order):
         grid[:lengths[lane], lane] = blocks[k]
     coder, mixer = Encoder(len(blocks), 4 * longest + 64), Mixer(len(blocks))
