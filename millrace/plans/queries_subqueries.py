@@ -137,12 +137,14 @@ def _(t):
     return subqueries.above(totals, F.col("total").cast("double"), mean(F.col("total")))
 
 
-@query("q14_lateral_top", """SELECT c.cust_id, o.order_id, o.amount, o.place FROM #cust c LEFT JOIN (SELECT *, row_number() OVER
-    (PARTITION BY cust_id ORDER BY amount DESC, order_id) AS place FROM #ord WHERE amount > 450000) o
+@query("q14_lateral_top", """SELECT c.cust_id, o.order_id, o.amount, o.place FROM
+    (SELECT cust_id FROM #cust UNION ALL SELECT s_suppkey + 1000000000 FROM supplier) c LEFT JOIN (SELECT *, row_number() OVER
+    (PARTITION BY cust_id ORDER BY amount DESC, order_id) AS place FROM #ord) o
     ON o.cust_id = c.cust_id AND place <= 2""")
 def _(t):
-    orders = t.ord.where("amount > 450000").select("cust_id", "order_id", "amount")
-    return subqueries.lateral_top(t.cust.select("cust_id"), orders, "cust_id", ["-amount", "order_id"], 2)
+    # Suppliers, numbered beyond the customers, have no orders.
+    people = t.cust.select("cust_id").unionByName(t["supplier"].select((F.col("s_suppkey") + 1_000_000_000).alias("cust_id")))
+    return subqueries.lateral_top(people, t.ord.select("cust_id", "order_id", "amount"), "cust_id", ["-amount", "order_id"], 2)
 
 
 _REACHED = """WITH RECURSIVE reached AS (SELECT emp_id AS node, 0 AS level, emp_id::VARCHAR AS path FROM #tree
