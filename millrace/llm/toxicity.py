@@ -1,7 +1,8 @@
 """Toxicity scores from a lexicon, its misspellings, and the words around each hit.
 
-The lexicon is learned from labelled texts: words, and stems that many words
-share, which occur in toxic texts far more often than in others. A trie holds
+The lexicon starts from a few common terms and grows by labelled texts: words,
+and stems that many words share, which occur in toxic texts far more often than
+in others. A trie holds
 it; a word of a text is matched by walking the trie and a Levenshtein automaton
 of the word side by side, so near misses of a term are found without listing
 them. Every hit is weighed by its context window: quotation marks and reporting
@@ -28,7 +29,15 @@ LABELLED_ROWS = 12_000
 MOST_TERMS = 2_000
 # A term occurs in at least so many toxic texts (also as a share of them), and at least so many
 # times as often in toxic texts as in others.
-LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.01, 12.0
+LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 6, 0.01, 12.0
+# A regression is fitted to at least so many toxic texts; with fewer, the model's defaults stay.
+LEAST_FITTED = 15
+# Terms known without labels, and their weight. One that the labels speak against is dropped.
+TERMS = frozenset(
+    "idiot idiots moron morons imbecile stupid dumbass scum scumbag trash loser losers pathetic worthless disgusting clown "
+    "retard retarded bastard bitch asshole whore slut jerk degenerate vermin subhuman filth".split()
+)
+TERM_WEIGHT = 5.0
 STEM_CHARS = (4, 8)
 STEM_WORDS = 4
 # Words shorter than this match exactly only; others within one edit.
@@ -102,7 +111,7 @@ class Trie:
 class Model:
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
-    coefficients: tuple[float, ...] = (-3.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+    coefficients: tuple[float, ...] = (-3.0, 0.8, 0.3, 0.1, 0.4, 0.0)
 
 
 class Scorer:
@@ -167,13 +176,14 @@ def odds(toxic: Column, other: Column, n_toxic: int, n_other: int) -> Column:
 
 
 def lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems with the log of their odds, from rows (text, toxic). Equal texts count once."""
+    """Words and stems with their weights, the log of their odds, from rows (text, toxic). Equal texts count once."""
     distinct = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     words = distinct.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)")))).alias("word"))
     totals = distinct.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")).first()
     n_toxic, n_other = totals["toxic"], totals["other"]
+    known = dict.fromkeys(TERMS, TERM_WEIGHT)
     if not n_toxic or not n_other:
-        return {}, {}
+        return known, {}
     counts = written(words.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")), "word-counts")
     least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * n_toxic))
 
@@ -188,7 +198,10 @@ def lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.count_if(F.col("toxic") > 0).alias("words"))
         .where(F.col("words") >= STEM_WORDS)
     )
-    return best(counts), best(stems.where(F.col("other") * 50 <= F.col("toxic")))
+    seen = counts.where(F.col("word").isin(*TERMS)).withColumn("odds", odds(F.col("toxic"), F.col("other"), n_toxic, n_other))
+    for r in seen.where((F.col("odds") < LEAST_ODDS) & (F.col("toxic") + F.col("other") >= LEAST_TEXTS)).collect():
+        known.pop(r["word"])
+    return known | best(counts), best(stems.where(F.col("other") * 50 <= F.col("toxic")))
 
 
 def regression(features: np.ndarray, labels: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> tuple[float, ...]:
@@ -218,7 +231,7 @@ class ToxicityModel:
     used, at most `most_rows` of them; four folds give the lexicon and another
     sets the regression, so that terms are weighed on texts they were not taken
     from. Null and empty texts have no hit and get the base score; repeated rows
-    score alike; without usable labels every text gets the same low score.
+    score alike; without usable labels the terms known beforehand count alone.
     """
 
     def __init__(self, docs: DataFrame, labels: DataFrame, learn: Column, most_rows: int = LABELLED_ROWS):
@@ -231,11 +244,10 @@ class ToxicityModel:
         rows = written(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
         fold = F.pmod(F.xxhash64("text"), F.lit(4))
         self.model = Model(*lexicon(rows.where(fold != 0).select("text", "toxic")))
-        if self.model.words or self.model.stems:
-            held = self._features(rows.where(fold == 0)).collect()
-            x, y = np.array([r["f"] for r in held], float), np.array([r["toxic"] for r in held], float)
-            if len(set(y)) == 2:
-                self.model.coefficients = regression(x, y)
+        held = self._features(rows.where(fold == 0)).collect()
+        x, y = np.array([r["f"] for r in held], float), np.array([r["toxic"] for r in held], float)
+        if min(y.sum(), len(y) - y.sum()) >= LEAST_FITTED:
+            self.model.coefficients = regression(x, y)
         self.shared = spark.sparkContext.broadcast(self.model)
 
     def _features(self, rows: DataFrame) -> DataFrame:
