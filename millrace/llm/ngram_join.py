@@ -30,8 +30,8 @@ from millrace.llm.components import components
 # Counters of the frequency sketch: its size is fixed, so broadcasting it is bounded (one byte each).
 SKETCH_BITS = 22
 BLOCK = 1 << 16
-# Bits of the filter that says whose sets are needed: 4 MB, whatever the table's size.
-FILTER_BITS = 25
+# Bits of the filter that says whose sets are needed: 2 MB, whatever the table's size.
+FILTER_BITS = 24
 # Representatives of a token in a round: groups up to about this size are compared whole at once.
 REPRESENTATIVES = 16
 # Another round follows if at least this share of the pairs compared were links.
@@ -85,8 +85,7 @@ def _signatures(df: DataFrame, size: int) -> DataFrame:
         counts, waiting, held = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
 
         def count() -> None:
-            at = (np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-            np.add(counts, np.bincount(at, minlength=len(counts)).astype(np.uint32), out=counts)
+            np.add.at(counts, (np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
 
         for batch in batches:
             rows = []
@@ -95,7 +94,7 @@ def _signatures(df: DataFrame, size: int) -> DataFrame:
                 rows.append((doc, len(tokens), set_hash(tokens), *parity(tokens), None, None))
                 waiting.append(tokens)
                 held += len(tokens)
-                if held > 1 << 21:
+                if held > 1 << 18:
                     count()
                     waiting, held = [], 0
             yield _rows(rows)
