@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import written
 
+# Links that one task writes: most tables of links are small, and a round over few files is quick.
+LINKS_PER_TASK = 500_000
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -25,13 +28,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges")
     state = _state(edges)
     while state[0]:
+        tasks = 1 + state[0] // LINKS_PER_TASK
         both = edges.unionByName(edges.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where(b > a).join(least, "a").select(b.alias("a"), F.col("m").alias("b")).where(a != b).distinct()
-        large = written(large, "large-star")
+        large = written(large.coalesce(tasks), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(b.alias("a"), F.col("m").alias("b")), F.struct(a, F.col("m").alias("b")))).alias("e"))
-        edges = written(small.select("e.a", "e.b").where(a != b).distinct(), "small-star")
+        edges = written(small.select("e.a", "e.b").where(a != b).distinct().coalesce(tasks), "small-star")
         before, state = state, _state(edges)
         if state == before:
             break
