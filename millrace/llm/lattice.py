@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 BLANK = 0x2581  # the character that stands for a blank in pieces
 UNKNOWN = 0x110000  # no character: stands for one that pieces can't hold
 CHUNK = re.compile(" *[^ ]+| +")
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 1_000_000
 U = np.uint64
 
 
@@ -51,6 +51,12 @@ def row_key(key: int | None, seed: int) -> int:
     return int(mixed(np.array([low ^ (seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)], U))[0])
 
 
+def piece_bytes(model) -> list[bytes]:
+    """What each piece of a SentencePiece model stands for."""
+    pieces = [model.id_to_piece(k) for k in range(model.get_piece_size())]
+    return [bytes([int(p[3:5], 16)]) if model.is_byte(k) else p.replace(chr(BLANK), " ").encode() for k, p in enumerate(pieces)]
+
+
 class Vocabulary:
     """Pieces of a SentencePiece model with their log weights.
 
@@ -75,26 +81,25 @@ class Vocabulary:
         least = min((weights[k] for k in usable), default=0.0)
         self.byte_ids = np.array([byte[b] for b in range(256)], np.int64)
         self.byte_weight = float(least) - 1.0
-        self.bytes = [p.replace(chr(BLANK), " ").encode() for p in pieces]
-        for b, k in byte.items():
-            self.bytes[k] = bytes([b])
+        self.bytes = piece_bytes(model)
         self.longest = max((len(pieces[k]) for k in usable), default=0)
-        # By length: hashes of all pieces of that length, and of all beginnings of longer ones.
+        # By length: hashes of all pieces of that length and of all beginnings of longer
+        # ones, in order; the piece of each (-1: none), and whether longer ones begin so.
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.begins: dict[int, np.ndarray] = {}
+        self.weights = weights
         own = np.array(usable, np.int64)
         lengths = np.array([len(pieces[k]) for k in usable], np.int64)
         symbols = np.array([[ord(c) for c in pieces[k].ljust(self.longest, "\0")] for k in usable], np.int64).reshape(len(usable), self.longest)
         h = np.zeros(len(usable), U)
         for n in range(1, self.longest + 1):
             h = extended(h, symbols[:, n - 1])
-            ends = np.flatnonzero(lengths == n)
-            ends = ends[np.argsort(h[ends])]
-            self.by_length[n] = h[ends], own[ends], weights[own[ends]]
-            self.begins[n] = np.unique(h[lengths > n])
-        every = np.concatenate([hashes for hashes, _, _ in self.by_length.values()])
-        if len(np.unique(every)) != len(every):
-            raise ValueError("two pieces share a hash")
+            known, number = np.unique(h[lengths >= n], return_inverse=True)
+            piece, longer = np.full(len(known), -1, np.int64), np.zeros(len(known), bool)
+            piece[number[lengths[lengths >= n] == n]] = own[lengths == n]
+            longer[number[lengths[lengths >= n] > n]] = True
+            if (piece >= 0).sum() != (lengths == n).sum():
+                raise ValueError("two pieces share a hash")
+            self.by_length[n] = known, piece, longer
 
     def decode(self, ids: Sequence[int]) -> str:
         return b"".join([self.bytes[k] for k in ids]).decode("utf-8", "replace")
@@ -136,26 +141,28 @@ class Lattice:
             if not len(alive):
                 break
             h = extended(h, symbols[alive + n - 1])
-            hashes, own, weight = vocabulary.by_length[n]
-            hit, at = found(hashes, h)
+            known, piece, longer = vocabulary.by_length[n]
+            there, at = found(known, h)
+            alive, h, at = alive[there], h[there], at[there]
+            own = piece[at]
+            hit = own >= 0
             sources.append(alive[hit])
             widths.append(np.full(int(hit.sum()), n))
-            weights.append(weight[at[hit]])
-            ids.append(own[at[hit]])
+            weights.append(vocabulary.weights[own[hit]])
+            ids.append(own[hit])
             if n == 1:
                 covered[alive[hit]] = True
-            more, _ = found(vocabulary.begins[n], h)
-            alive, h = alive[more], h[more]
+            alive, h = alive[longer[at]], h[longer[at]]
         # Characters without a piece: one edge of byte pieces, numbered below 0.
         bare = np.flatnonzero(~covered)
         self.runs: list[list[int]] = []
-        known: dict[int, int] = {}
+        listed: dict[int, int] = {}
         numbers = np.zeros(len(bare), np.int64)
         for k, code in enumerate(codes[bare].tolist()):
-            if code not in known:
-                known[code] = len(self.runs)
+            if code not in listed:
+                listed[code] = len(self.runs)
                 self.runs.append(vocabulary.byte_ids[np.frombuffer(chr(code).encode("utf-8", "surrogatepass"), np.uint8)].tolist())
-            numbers[k] = known[code]
+            numbers[k] = listed[code]
         run_lengths = np.array([len(r) for r in self.runs] or [0], np.int64)
         sources.append(bare)
         widths.append(np.ones(len(bare), np.int64))
@@ -164,7 +171,7 @@ class Lattice:
         source, width = np.concatenate(sources), np.concatenate(widths)
         start, weight, self.ids = node[source], np.concatenate(weights), np.concatenate(ids)
         goal, local = start + width, place[source] + width
-        order = np.lexsort((goal, local))
+        order = np.argsort(local * (len(codes) + len(chunks) + 1) + goal, kind="stable")
         start, goal, weight, self.ids, local = start[order], goal[order], weight[order], self.ids[order], local[order]
         total = np.zeros(len(codes) + len(chunks))
         share = np.zeros(len(start))
@@ -221,8 +228,8 @@ class SampledEncoder:
 
     def encode(self, keys: Sequence[int | None], texts: Sequence[str | None]) -> list[np.ndarray]:
         chunks = [CHUNK.findall(t or "") for t in texts]
-        number: dict[str, int] = {}
-        numbers = np.array([number.setdefault(c, len(number)) for own in chunks for c in own], np.int64)
+        number = {c: k for k, c in enumerate(dict.fromkeys(c for own in chunks for c in own))}
+        numbers = np.fromiter((n for own in chunks for n in map(number.__getitem__, own)), np.int64)
         if not len(numbers):
             return [np.zeros(0, np.int64) for _ in texts]
         lattice = Lattice(self.vocabulary, list(number))
@@ -274,7 +281,9 @@ def decoded(ids: Column, model_path: str) -> Column:
 
     def run(batch: pa.Array) -> pa.Array:
         if not pieces:
-            pieces.append(Vocabulary(model_path).bytes)
+            import sentencepiece
+
+            pieces.append(piece_bytes(sentencepiece.SentencePieceProcessor(model_file=model_path)))
         own = pieces[0]
         texts = [None if i is None else b"".join([own[k] for k in np.frombuffer(i, "<u4").tolist()]).decode("utf-8", "replace") for i in batch.to_pylist()]
         return pa.array(texts, pa.string())
