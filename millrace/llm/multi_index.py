@@ -30,6 +30,7 @@ from millrace.llm.components import components
 # Most vectors, and most bytes of them, of the sample that codebooks and margin are fitted on.
 SAMPLE_ROWS = 20_000
 SAMPLE_BYTES = 32 << 20
+LEAST_PARTNERS = 4_000
 CELL_ROWS = 256
 MOST_CODES = 256
 # Residents of a cell that one task holds at a time, and visitors compared at once.
@@ -86,6 +87,8 @@ class Grid:
         self.half = sample.shape[1] // 2
         self.books = [codebook(part, codes, seed + k) for k, part in enumerate(self.split(sample))]
         rng = np.random.default_rng(seed)
+        # Several partners of each vector where the sample is small.
+        sample = np.tile(sample, (-(-LEAST_PARTNERS // len(sample)), 1))
         noise = rng.normal(size=sample.shape)
         noise -= (noise * sample).sum(1, keepdims=True) * sample
         noise /= np.maximum(np.sqrt((noise * noise).sum(1, keepdims=True)), 1e-300)
