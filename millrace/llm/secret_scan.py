@@ -52,7 +52,6 @@ class Novelty:
     """When a string is reported: characters, reach of a sensitive word, marginal bytes per character."""
 
     least_chars: int = 16
-    most_chars: int = 512
     reach: int = 40
     around: int = 256
     least_cost: float = 0.6
@@ -86,7 +85,6 @@ class Scanner:
 
     def cost(self, text: str, start: int, end: int) -> float:
         """Marginal compressed bytes per character of text[start:end] within its surroundings."""
-        end = min(end, start + self.novelty.most_chars)
         before, after = text[max(0, start - self.novelty.around):start], text[end:end + self.novelty.around]
         size = lambda s: len(self.packer.compress(s.encode("utf-8", "replace")))
         return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
@@ -98,7 +96,7 @@ class Scanner:
         spans = sorted((s, e) for s, e, _ in taken)
         seen = -1
         for word in self.near.finditer(text):
-            for m in self.string.finditer(text, max(word.end(), seen), word.end() + self.novelty.reach + self.novelty.most_chars):
+            for m in self.string.finditer(text, max(word.end(), seen)):
                 if m.start() > word.end() + self.novelty.reach:
                     break
                 seen = m.end()

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 
 from conftest import plan_of
@@ -134,6 +136,18 @@ def test_new_strings_near_sensitive_words():
     assert scanner.cost(f"{seen} credential {seen}", 32, 52) < 0.4 < 0.6 < scanner.cost(f"credential {seen}", 11, 31)
 
 
+def random_string(letters, n, seed):
+    return "".join(random.Random(seed).choices(letters, k=n))
+
+
+def test_long_secrets_are_found_to_their_end():
+    scanner = Scanner(Novelty())
+    for n in (500, 600, 1000, 20_000):
+        key = random_string(string.ascii_letters + string.digits, n, n)
+        assert scanner.spans(f"use the Bearer {key} there") == [("novel", 15, 15 + n)]
+        assert scanner.redacted(f"use the Bearer {key} there", "[SECRET]") == "use the Bearer [SECRET] there"
+
+
 def test_secret_rows(spark):
     got = digest(SecretScan().spans(edge_docs(spark))).collect()
     assert len(got) == len(edge_rows())
