@@ -10,7 +10,8 @@ as many bytes as they have characters, and are reported.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -59,6 +60,29 @@ class Novelty:
     identifiers: tuple[str, ...] = field(default=tuple(IDENTIFIERS), repr=False)
 
 
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places as disjoint spans in order."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
+class Places:
+    """Disjoint spans in order, found by place."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.spans = list(spans)
+        self.starts, self.ends = [s for s, _ in self.spans], [e for _, e in self.spans]
+
+    def touching(self, start: int, end: int) -> list[tuple[int, int]]:
+        """Spans that overlap [start, end) or end or begin at its edges."""
+        return self.spans[bisect_left(self.ends, start):bisect_right(self.starts, end)]
+
+
 class Scanner:
     """Finds spans (kind, start, end) in one text; places are code points, ends exclusive."""
 
@@ -90,21 +114,31 @@ class Scanner:
         return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
 
     def novel(self, text: str, lower: bytes, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+        """Long strings within reach of a sensitive word, before, after or around it, that cost enough.
+
+        A string that base spans cover needs no second report; one that is longer is
+        reported as well. Of a string that costs too little as a whole, for it holds
+        sensitive words or base spans, the parts between these are measured.
+        """
         if not any(w in lower for w in self.words):
             return []
+        reach, least = self.novelty.reach, self.novelty.least_cost
+        words, base = Places(m.span() for m in self.near.finditer(text)), Places(merged((s, e) for s, e, _ in taken))
         found: list[tuple[int, int, str]] = []
-        spans = sorted((s, e) for s, e, _ in taken)
-        seen = -1
-        for word in self.near.finditer(text):
-            for m in self.string.finditer(text, max(word.end(), seen)):
-                if m.start() > word.end() + self.novelty.reach:
-                    break
-                seen = m.end()
-                mixed = any(c.isdigit() for c in m[0]) or (m[0] != m[0].lower() and m[0][1:] != m[0][1:].lower() and m[0] != m[0].upper())
-                if not mixed or any(s < m.end() and m.start() < e for s, e in spans):
-                    continue
-                if self.cost(text, m.start(), m.end()) >= self.novelty.least_cost:
-                    found.append((m.start(), m.end(), "novel"))
+        for m in self.string.finditer(text):
+            start, end = m.span()
+            if not words.touching(start - reach, end + reach) or any(s <= start and end <= e for s, e in base.touching(start, end)):
+                continue
+            if self.cost(text, start, end) >= least:
+                found.append((start, end, "novel"))
+                continue
+            inner = [(s, e) for s, e in (*words.touching(start, end), *base.touching(start, end)) if s < end and start < e]
+            if not inner:
+                continue
+            cuts = merged(inner)
+            for s, e in zip([start, *[e for _, e in cuts]], [*[s for s, _ in cuts], end], strict=True):
+                if e - s >= self.novelty.least_chars and words.touching(s - reach, e + reach) and self.cost(text, s, e) >= least:
+                    found.append((s, e, "novel"))
         return found
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:

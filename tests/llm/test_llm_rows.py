@@ -148,6 +148,22 @@ def test_long_secrets_are_found_to_their_end():
         assert scanner.redacted(f"use the Bearer {key} there", "[SECRET]") == "use the Bearer [SECRET] there"
 
 
+def test_the_cost_alone_decides_on_strings_near_sensitive_words():
+    scanner = Scanner(Novelty())
+    find = lambda t: [t[s:e] for k, s, e in scanner.spans(t) if k == "novel"]
+    lower, upper = random_string(string.ascii_lowercase, 24, 1), random_string(string.ascii_uppercase, 32, 2)
+    mixed, hexes = random_string(string.ascii_letters + string.digits, 24, 3), random_string("0123456789abcdef", 40, 4)
+    for key in (lower, lower.capitalize(), upper, mixed):
+        for text in ("the credential is {}", "{} # auth by hand", "{}" + " " * 39 + "auth", "auth" + " " * 40 + "{}"):
+            assert find(text.format(key)) == [key], text
+        assert find(f"{key} {'far ' * 10} auth") == []
+    assert find(f"signature {mixed}!{hexes}") == [f"{mixed}!{hexes}"] and "hex:35:75" in [f"{k}:{s}:{e}" for k, s, e in scanner.spans(f"signature {mixed}!{hexes}")]
+    assert scanner.redacted(f"password={mixed}!{mixed[::-1]} it is", "[SECRET]") == "[SECRET] it is"
+    assert find(f"password: {mixed}") == []
+    label = "authentication_authorization_configuration_credential="
+    assert find(f"{label}{mixed} it is") in ([f"{label}{mixed}"], [f"={mixed}"])
+
+
 def test_secret_rows(spark):
     got = digest(SecretScan().spans(edge_docs(spark))).collect()
     assert len(got) == len(edge_rows())
