@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,11 +40,27 @@ TERMS = frozenset(
 TERM_WEIGHT = 5.0
 STEM_CHARS = (4, 8)
 STEM_WORDS = 4
-# Words shorter than this match exactly only; others within one edit.
+# Words shorter than this match a plain `Trie` exactly only; others within one edit.
 FUZZY_CHARS = 5
 WINDOW_WORDS = 6
 CACHED_WORDS = 400_000
 WORD = re.compile(r"\w+")
+# Characters that stand for letters inside a word, and words that have some.
+MASKS = frozenset("*!@$#")
+MASKED = re.compile(r"(?<!\w)\w++(?:[*!@$#]++\w++)++")
+# A term of at least so many letters may be misspelt by so many edits.
+EDITS = ((9, 2), (4, 1))
+# The share of its weight that a near miss keeps, by letters that agree; with a word of address around, the next higher one.
+AGREEING = ((5, 0.9), (4, 0.75), (3, 0.5))
+# Near misses by chance: a text has about one in so many words.
+CHANCE_WORDS = 500
+# Common words within an edit or two of a known term.
+PLAIN = frozenset(
+    "idiom idioms moon verein macron boron maroon baron trashy crash thrash tras rash brash lose loose loser's lower closer poser losers' posers lowers closers "
+    "clow crown clowns crowns clone close blown flown scam scums sum cum slum scud swum stupidly stupor apathetic empathetic sympathetic "
+    "slot slit slat salut slug smut shut glut whole where shore chore while jerky perk jerks berk witch pitch ditch batch bit botch "
+    "bitchy fifth filthy filch worthies mortal custard mustard bastards retarded retards regarded rewarded retarder".split()
+)
 
 REPORTING = frozenset("said says wrote writes called calls quoted quote quotes quotation term word phrase slur example reportedly dijo palabra cita dit mot citation sagte wort zitat".split())
 ADDRESS = frozenset("you your youre u ur yourself du dich dein sie ihr tu te toi vous votre usted vosotros".split())
@@ -107,22 +123,111 @@ class Trie:
         return None
 
 
+def edits_of(term: str) -> int:
+    """How many edits a misspelling of the term may have."""
+    return next((k for n, k in EDITS if len(term) >= n), 0)
+
+
+def shortened(word: str, most: int) -> set[str]:
+    """The word without any `most` or fewer of its letters."""
+    out = edge = {word}
+    for _ in range(most):
+        edge = {w[:k] + w[k + 1:] for w in edge for k in range(len(w))}
+        out = out | edge
+    return out
+
+
+class Misspellings(Trie):
+    """A trie whose automaton knows swapped letters, an edit bound that grows with the term, and masked letters."""
+
+    def __init__(self, words: dict[str, float], stems: dict[str, float], plain: frozenset[str] = PLAIN, strict: frozenset[str] = frozenset()):
+        super().__init__(words, stems)
+        self.plain = plain
+        self.bound = {w: 0 if w in strict else k for w in words if (k := edits_of(w))}
+        self.lengths = {k: (min(n), max(n)) for k in {k for _, k in EDITS} if (n := [len(w) for w, b in self.bound.items() if b >= k])}
+        self.root = {}
+        for word in self.bound:
+            node = self.root
+            for letter in word:
+                node = node.setdefault(letter, {})
+            node[""] = word
+        # A word within k edits of a term equals it after up to k letters of each are left out; other words are not walked.
+        self.variants = {v for w, k in self.bound.items() if k for v in shortened(w, k)}
+
+    def walked(self, word: str, most: int, masked: bool) -> Iterator[tuple[int, str]]:
+        """(edits, term) for terms within `most` edits of the word. A state is the place in the word and the edits used."""
+        waiting, seen = [(self.root, 0, 0)], set()
+        while waiting:
+            node, k, used = waiting.pop()
+            if (key := (id(node), k, used)) in seen:
+                continue
+            seen.add(key)
+            if k == len(word) and (term := node.get("")) is not None and used <= self.bound[term]:
+                yield used, term
+            mask = masked and k < len(word) and word[k] in MASKS
+            if mask:
+                waiting.append((node, k + 1, used))
+            elif k < len(word) and (child := node.get(word[k])) is not None:
+                waiting.append((child, k + 1, used))
+            for letter, child in node.items():
+                if not letter:
+                    continue
+                if mask:
+                    waiting.append((child, k + 1, used))
+                elif used < most:
+                    waiting.append((child, k, used + 1))
+                    if k < len(word) and letter != word[k]:
+                        waiting.append((child, k + 1, used + 1))
+            if used < most and k < len(word) and not mask:
+                waiting.append((node, k + 1, used + 1))
+                if k + 1 < len(word) and (child := node.get(word[k + 1])) is not None and (child := child.get(word[k])) is not None:
+                    waiting.append((child, k + 2, used + 1))
+
+    def unmasked(self, word: str) -> str | None:
+        """The term that a word with masked letters stands for, if it shows at least half of the term's letters."""
+        shown = sum(c not in MASKS for c in word)
+        terms = [t for _, t in self.walked(word, 0, True) if 2 * shown >= len(t)]
+        return min(terms, key=lambda t: (abs(len(t) - len(word)), -self.words[t], t), default=None)
+
+    def miss(self, word: str) -> tuple[int, str] | None:
+        """(edits, term) of the closest term that the word may misspell; of equally close ones the weightiest."""
+        most = max((k for k, (low, high) in self.lengths.items() if low - k <= len(word) <= high + k), default=0)
+        if not most or word in self.plain or self.variants.isdisjoint(shortened(word, most)):
+            return None
+        return min(((n, t) for n, t in self.walked(word, most, False)), key=lambda f: (f[0], -self.words[f[1]], f[1]), default=None)
+
+    def match(self, word: str) -> tuple[float, int] | None:
+        """(weight, letters that agree, 0 if exact) of a lower-case word, or None."""
+        weight = self.words.get(word)
+        if weight is not None:
+            return weight, 0
+        for n in self.stem_lengths:
+            if n < len(word) and (weight := self.stems.get(word[:n])) is not None:
+                return weight, 0
+        found = self.miss(word)
+        return found and (self.words[found[1]], len(found[1]) - found[0])
+
+
 @dataclass
 class Model:
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
-    coefficients: tuple[float, ...] = (-3.0, 0.8, 0.3, 0.1, 0.4, 0.0)
+    coefficients: tuple[float, ...] = (-3.0, 0.8, 0.3, 0.1, 0.0, 0.0)
+    # Words that are no misspellings, and terms that have none.
+    plain: frozenset[str] = frozenset()
+    strict: frozenset[str] = frozenset()
 
 
 class Scorer:
     """Features and scores of texts. `features` has one row per text: strongest abusive hit, log of
-    abusive hits' sum, strongest quoted hit, strongest near miss, hits per hundred words."""
+    abusive hits' sum, strongest quoted hit, strongest near miss, hits per hundred words. A near miss
+    counts among the abusive or quoted hits with a share of its weight."""
 
     def __init__(self, model: Model):
-        self.model, self.trie = model, Trie(model.words, model.stems)
-        self.known: dict[str, tuple[float, bool] | None] = {}
+        self.model, self.trie = model, Misspellings(model.words, model.stems, PLAIN | model.plain, model.strict)
+        self.known: dict[str, tuple[float, int] | None] = {}
 
-    def _matches(self, words: Sequence[str]) -> dict[str, tuple[float, bool]]:
+    def _matches(self, words: Sequence[str]) -> dict[str, tuple[float, int]]:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         known, found = self.known, {}
@@ -143,25 +248,25 @@ class Scorer:
         return score - 0.6 * any(w in ADDRESS for w in around)
 
     def features(self, text: str | None) -> tuple[float, ...]:
-        lower = (text or "").lower()
+        lower = MASKED.sub(lambda m: self.trie.unmasked(m[0]) or m[0], (text or "").lower())
         words = WORD.findall(lower)
         hits = self._matches(words)
         if not hits:
             return 0.0, 0.0, 0.0, 0.0, 0.0
         places = list(WORD.finditer(lower))
+        found = [(k, *hits[m[0]]) for k, m in enumerate(places) if m[0] in hits]
+        chance = min(1.0, CHANCE_WORDS * sum(agreeing > 0 for _, _, agreeing in found) / len(places))
         abusive = quoted = near = total = 0.0
-        count = 0
-        for k, m in enumerate(places):
-            if m[0] in hits:
-                weight, exact = hits[m[0]]
-                is_quoted = self.quoted(lower, places, k) > 0.9
-                count += 1
-                if not exact:
-                    near = max(near, weight)
-                elif is_quoted:
-                    quoted = max(quoted, weight)
-                else:
-                    abusive, total = max(abusive, weight), total + weight
+        for k, weight, agreeing in found:
+            window = self.quoted(lower, places, k)
+            if agreeing:
+                near = max(near, weight)
+                weight *= chance * next((share for n, share in AGREEING if agreeing + (window < 0) >= n), 0.0)
+            if window > 0.9:
+                quoted = max(quoted, weight)
+            else:
+                abusive, total = max(abusive, weight), total + weight
+        count = len(found)
         return abusive, math.log1p(total), quoted, near, 100 * count / len(places)
 
     def score(self, text: str | None) -> float:
@@ -175,15 +280,16 @@ def odds(toxic: Column, other: Column, n_toxic: int, n_other: int) -> Column:
     return ((toxic + 0.5) / (n_toxic + 1)) / ((other + 0.5) / (n_other + 1))
 
 
-def lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems with their weights, the log of their odds, from rows (text, toxic). Equal texts count once."""
+def lexicon(texts: DataFrame) -> Model:
+    """Words and stems with their weights, the log of their odds, and what is no misspelling of them, from rows (text, toxic).
+    Equal texts count once."""
     distinct = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     words = distinct.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)")))).alias("word"))
     totals = distinct.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")).first()
     n_toxic, n_other = totals["toxic"], totals["other"]
     known = dict.fromkeys(TERMS, TERM_WEIGHT)
     if not n_toxic or not n_other:
-        return known, {}
+        return Model(known)
     counts = written(words.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")), "word-counts")
     least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * n_toxic))
 
@@ -201,7 +307,26 @@ def lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     seen = counts.where(F.col("word").isin(*TERMS)).withColumn("odds", odds(F.col("toxic"), F.col("other"), n_toxic, n_other))
     for r in seen.where((F.col("odds") < LEAST_ODDS) & (F.col("toxic") + F.col("other") >= LEAST_TEXTS)).collect():
         known.pop(r["word"])
-    return known | best(counts), best(stems.where(F.col("other") * 50 <= F.col("toxic")))
+    found, common = known | best(counts), best(stems.where(F.col("other") * 50 <= F.col("toxic")))
+    plain, strict = ordinary(found, common, counts, n_toxic, n_other)
+    return Model(found, common, plain=plain, strict=strict)
+
+
+def ordinary(words: dict[str, float], stems: dict[str, float], counts: DataFrame, n_toxic: int, n_other: int) -> tuple[frozenset[str], frozenset[str]]:
+    """Near misses that are ordinary words, as others than toxic texts hold them, and terms whose near misses speak for nothing."""
+    tries: list[Misspellings] = []
+
+    def run(column: pa.Array) -> pa.Array:
+        if not tries:
+            tries.append(Misspellings(words, stems))
+        return pa.array([None if (found := tries[0].match(w)) is None or not found[1] else tries[0].miss(w)[1] for w in column.to_pylist()], pa.string())
+
+    near = written(counts.withColumn("term", F.arrow_udf(run, "string")("word")).where(F.col("term").isNotNull()), "near-misses")
+    plain = frozenset(r["word"] for r in near.where(F.col("other") > 0).select("word").collect())
+    terms = near.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).withColumn("odds", odds(F.col("toxic"), F.col("other"), n_toxic, n_other))
+    learned = ~F.col("term").isin(*TERMS) & (F.col("other") > 0)
+    against = terms.where((F.col("odds") < LEAST_ODDS) & (learned | (F.col("toxic") + F.col("other") >= LEAST_TEXTS)))
+    return plain, frozenset(r["term"] for r in against.collect())
 
 
 def regression(features: np.ndarray, labels: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> tuple[float, ...]:
@@ -243,7 +368,7 @@ class ToxicityModel:
         texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         rows = written(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
         fold = F.pmod(F.xxhash64("text"), F.lit(4))
-        self.model = Model(*lexicon(rows.where(fold != 0).select("text", "toxic")))
+        self.model = lexicon(rows.where(fold != 0).select("text", "toxic"))
         held = self._features(rows.where(fold == 0)).collect()
         x, y = np.array([r["f"] for r in held], float), np.array([r["toxic"] for r in held], float)
         if min(y.sum(), len(y) - y.sum()) >= LEAST_FITTED:

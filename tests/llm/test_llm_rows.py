@@ -13,7 +13,7 @@ from llm_cases import SCHEMA, edge_docs, edge_rows, no_docs, prose, row
 from millrace.llm.licences import TEMPLATES, LicenceScan, Matcher, terms_of, vocabulary
 from millrace.llm.quality_cascade import RULES, Estimate, QualityCascade, ordered
 from millrace.llm.secret_scan import Novelty, Scanner, SecretScan, digest
-from millrace.llm.toxicity import TERMS, Model, Scorer, ToxicityModel, Trie, fold_of
+from millrace.llm.toxicity import TERMS, Misspellings, Model, Scorer, ToxicityModel, Trie, fold_of
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,6 +80,33 @@ def test_automaton_equals_edit_distance(terms, word):
     assert (trie.match(word) is not None) == any(edits(t, word) <= 1 for t in terms)
 
 
+def swaps_and_edits(a, b):
+    table = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i, j in ((i, j) for i in range(1, len(a) + 1) for j in range(1, len(b) + 1)):
+        table[i][j] = min(table[i - 1][j] + 1, table[i][j - 1] + 1, table[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+        if i > 1 and j > 1 and (a[i - 1], a[i - 2]) == (b[j - 2], b[j - 1]):
+            table[i][j] = min(table[i][j], table[i - 2][j - 2] + 1)
+    return table[-1][-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.text("abc", min_size=3, max_size=11), min_size=1, max_size=6), st.text("abc", min_size=2, max_size=12))
+def test_misspellings_equal_edit_distance_with_swaps(terms, word):
+    trie = Misspellings({t: 1.0 for t in terms}, {})
+    bound = lambda t: 2 if len(t) >= 9 else int(len(t) >= 4)
+    assert (trie.match(word) is not None) == any(swaps_and_edits(t, word) <= bound(t) for t in terms)
+
+
+def test_misspelt_and_masked_terms_are_toxic():
+    scorer = Scorer(Model(dict.fromkeys(TERMS, 5.0), {}))
+    for word in ("idiot", "idot", "idoit", "mron", "losr", "id!ot", "st*pid", "s**m", "scmu", "wrthles", "disgsutign"):
+        assert scorer.score(f"you are such a {word} and so on") > 0.5, word
+        assert scorer.score(f'the word "{word}" was quoted in the report') < 0.5, word
+    assert scorer.score("great!idiot today") > 0.5
+    for word in ("crown", "crash", "idiom", "closer", "sum", "apathetic", "mail@example", "5*x"):
+        assert scorer.score(f"you saw such a {word} and so on") < 0.5, word
+
+
 def test_quotations_score_lower():
     scorer = Scorer(Model({"moron": 5.0}, {}, (-3.0, 1.0, 1.0, 0.2, 0.5, 0.0)))
     assert scorer.score("you are such a moron today") > 0.5 > scorer.score('the word "moron" was quoted in the report')
