@@ -50,10 +50,10 @@ def batch_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def _once(incoming: DataFrame, key: str, new: Column) -> DataFrame:
-    """The key and `new` of each row, as `_new`; a repeated key is an error, since which row should win is unknown."""
-    rows = incoming.groupBy(key).agg(F.first(new).alias("_new"), F.count("*").alias("_rows"))
+    """The key and `new` of each row with a key, as `_new`; a repeated key is an error, since which row should win is unknown."""
+    rows = incoming.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(new).alias("_new"), F.count("*").alias("_rows"))
     fault = F.raise_error(F.concat(F.lit(f"{key} "), F.col(key).cast("string"), F.lit(" occurs more than once in the batch")))
-    return rows.select(key, F.when((F.col("_rows") > 1) & F.col(key).isNotNull(), fault.cast(dict(rows.dtypes)["_new"])).otherwise(F.col("_new")).alias("_new"))
+    return rows.select(key, F.when(F.col("_rows") > 1, fault.cast(dict(rows.dtypes)["_new"])).otherwise(F.col("_new")).alias("_new"))
 
 
 def scd1(dim: DataFrame, current: DataFrame, key: str) -> DataFrame:
@@ -114,15 +114,17 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str, deleted: Column | N
 
     Target columns the batch lacks keep their value on updates; on inserts they
     are null. A key that the batch repeats raises; reduce it by version first.
+    Rows without a key equal no row: all of them are inserted, unless deleted.
     One full outer join; unchanged rows pass through it.
     """
     given = [c for c in incoming.columns if c != key and c in target.columns]
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     news = _once(incoming, key, F.struct(*given, gone.alias("_gone")))
     joined = target.join(news, key, "full_outer").where(F.col("_new").isNull() | ~F.col("_new._gone"))
-    return joined.withColumns(
+    keyed = joined.withColumns(
         {c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)) for c in given}
     ).drop("_new").select(*target.columns)
+    return keyed.unionByName(incoming.where(F.col(key).isNull() & ~gone).select(key, *given), allowMissingColumns=True)
 
 
 def apply_cdc(target: DataFrame, log: DataFrame, key: str, ts: str, seq: str, op: str) -> DataFrame:

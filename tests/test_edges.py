@@ -107,3 +107,11 @@ def test_early_limit_beyond_a_thousand(spark):
     from conftest import plan_of
 
     assert "WindowGroupLimit" in plan_of(topk.top_n_per_key(spark.range(10_000).withColumn("k", F.col("id") % 2), ["k"], ["id"], 1500))
+
+
+def test_upsert_inserts_every_row_without_a_key(spark):
+    target = spark.createDataFrame([(1, "a", 5), (None, "t", 6)], "k int, v string, n int")
+    batch = spark.createDataFrame([(None, "x", False), (None, "y", False), (None, "z", True), (1, "b", False)], "k int, v string, gone boolean")
+    want = [(None, "t", 6), (None, "x", None), (None, "y", None), (1, "b", 5)]
+    assert sorted(map(str, rows(changes.upsert(target, batch, "k", F.col("gone"))))) == sorted(map(str, want))
+    assert rows(changes.scd1(target, batch, "k")) == rows(spark.createDataFrame([(None, "t", 6), (1, "b", 5)], "k int, v string, n int"))
