@@ -107,6 +107,12 @@ def test_misspelt_and_masked_terms_are_toxic():
         assert scorer.score(f"you saw such a {word} and so on") < 0.5, word
 
 
+def test_known_terms_in_four_languages():
+    scorer = Scorer(Model(dict.fromkeys(TERMS, 5.0), {}))
+    for text in ("you utter moron", "du bist ein arschloch", "tu es un connard", "eres un gilipollas"):
+        assert scorer.score(text) > 0.5, text
+
+
 def test_quotations_score_lower():
     scorer = Scorer(Model({"moron": 5.0}, {}, (-3.0, 1.0, 1.0, 0.2, 0.5, 0.0)))
     assert scorer.score("you are such a moron today") > 0.5 > scorer.score('the word "moron" was quoted in the report')
