@@ -222,6 +222,10 @@ def _sets(df: DataFrame, size: int, percent: int, member) -> DataFrame:
 class NgramJaccardJoin:
     """Links between documents whose sets of `size`-word shingles have Jaccard >= `percent` / 100.
 
+    `links` is a spanning set, enough to connect every component: pairs already in one
+    component are not compared, so it is not the whole join and its size no number of
+    similar pairs.
+
     Null and empty texts, and texts of white space, have the empty set and link
     with nothing; rows without an id are listed but link with nothing either.
     Rows that share an id are one document, whose texts' links all count. Copies
