@@ -26,6 +26,33 @@ from millrace.llm.common import written
 TERM = re.compile(r"[^\W_]+(?:[.-][0-9]+)*")
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicen[sc]e|notice)([._-].*)?$"
 
+SENTENCE = re.compile(r"(?<=[.;])\s+")
+# Most consecutive paragraphs that are compared as one unit.
+MOST_PARAGRAPHS = 8
+
+# Parts of full texts and standard headers.
+BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. "
+)
+BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission. "
+)
+BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+    "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS "
+    "OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+    "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+GNU = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free "
+    "Software Foundation; either version {} of the License, or (at your option) any later version."
+)
+
 # Notices by licence.
 TEMPLATES = {
     "Apache-2.0": (
@@ -43,19 +70,23 @@ TEMPLATES = {
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2",
+        GNU.format("", "2"),
         "SPDX-License-Identifier: GPL-2.0",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+        GNU.format("", "3"),
         "SPDX-License-Identifier: GPL-3.0",
     ),
     "LGPL-3.0": (
         "This library is licensed under the GNU Lesser General Public License, version 3.",
+        GNU.format("Lesser ", "3"),
         "SPDX-License-Identifier: LGPL-3.0",
     ),
     "AGPL-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3.",
+        GNU.format("Affero ", "3"),
         "SPDX-License-Identifier: AGPL-3.0",
     ),
     "MPL-2.0": (
@@ -66,11 +97,13 @@ TEMPLATES = {
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met; neither the name of the copyright holder nor the names of its contributors may be used to endorse",
+        BSD_START + BSD_THIRD + BSD_END,
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "BSD-2-Clause": (
         "Released under the BSD 2-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        BSD_START + BSD_END,
         "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "ISC": (
@@ -113,6 +146,8 @@ class Matcher:
         # A term that no template has weighs as one that no line has.
         self.unknown = math.log(1 + lines) + 1
         self.templates = [(name, self._unit(self.vector(terms_of(notice)))) for name, notices in templates.items() for notice in notices]
+        # How much a template says: its length as a vector.
+        self.norms = [math.sqrt(sum(w * w for w in self.vector(terms_of(notice)).values())) for notices in templates.values() for notice in notices]
         strong: set[str] = set()
         for _, vector in self.templates:
             weak = 0.0
@@ -134,8 +169,8 @@ class Matcher:
         size = math.sqrt(sum(w * w for w in vector.values()))
         return {t: w / size for t, w in vector.items()}
 
-    def best(self, terms: list[str]) -> tuple[float, str] | None:
-        """(cosine, licence) of the closest template that reaches the threshold; ties go to the first name."""
+    def closest(self, terms: list[str]) -> tuple[float, str, float] | None:
+        """(cosine, licence, norm) of the closest template that reaches the threshold; ties go to the first name."""
         if self.strong.isdisjoint(terms):
             return None
         vector = self.vector(terms)
@@ -144,37 +179,58 @@ class Matcher:
         for term, weight in vector.items():
             for k, own in self.by_term.get(term, ()):
                 sums[k] = sums.get(k, 0.0) + weight * own
-        ranked = sorted((-round(s / size, 9), self.templates[k][0]) for k, s in sums.items() if s / size >= self.threshold)
-        return (-ranked[0][0], ranked[0][1]) if ranked else None
+        ranked = min(((-round(s / size, 9), self.templates[k][0], self.norms[k]) for k, s in sums.items() if s / size >= self.threshold), default=None)
+        return ranked and (-ranked[0], ranked[1], ranked[2])
+
+    def best(self, terms: list[str]) -> tuple[float, str] | None:
+        """(cosine, licence) of the closest template that reaches the threshold; ties go to the first name."""
+        found = self.closest(terms)
+        return found and found[:2]
 
     def licence(self, text: str) -> tuple[float, str] | None:
-        """The best match among the text's lines, paragraphs and the whole of it."""
-        found = []
-        whole: list[str] = []
-        paragraph: list[str] = []
-        lines_in_paragraph = paragraphs = 0
+        """The match that says most among the text's lines, sentences, paragraphs, runs of paragraphs, and the whole of it.
+
+        Of one unit the closest template counts; of several units the one whose template holds most,
+        so that a full text goes before a sentence which other licences share.
+        """
+        found: list[tuple[float, str, float] | None] = []
+        paragraphs: list[list[str]] = []
+        marked: list[int] = []
+        lines: list[str] = []
 
         def close() -> None:
-            nonlocal paragraph, lines_in_paragraph, paragraphs
-            if lines_in_paragraph > 1:
-                found.append(self.best(paragraph))
-            paragraphs += lines_in_paragraph > 0
-            paragraph, lines_in_paragraph = [], 0
+            nonlocal lines
+            if not lines:
+                return
+            own = [terms_of(line) for line in lines]
+            paragraph = [t for terms in own for t in terms]
+            if not self.strong.isdisjoint(paragraph):
+                marked.append(len(paragraphs))
+                found.extend(map(self.closest, own))
+                found.append(self.closest(paragraph))
+                found.extend(self.closest(terms_of(sentence)) for sentence in SENTENCE.split(" ".join(lines)))
+            paragraphs.append(paragraph)
+            lines = []
 
         for line in text.split("\n"):
-            terms = terms_of(line)
-            if not terms:
+            if TERM.search(line):
+                lines.append(line)
+            else:
                 close()
-                continue
-            found.append(self.best(terms))
-            paragraph += terms
-            whole += terms
-            lines_in_paragraph += 1
         close()
-        if paragraphs > 1:
-            found.append(self.best(whole))
+        if len(paragraphs) > 1 and marked:
+            found.append(self.closest([t for p in paragraphs for t in p]))
+        if any(found):
+            # Runs begin and end with a paragraph that has a strong term.
+            ends = set(marked)
+            for k in marked:
+                run = list(paragraphs[k])
+                for j in range(k + 1, min(len(paragraphs), k + MOST_PARAGRAPHS)):
+                    run += paragraphs[j]
+                    if j in ends:
+                        found.append(self.closest(run))
         hits = [f for f in found if f]
-        return min(hits, key=lambda f: (-f[0], f[1])) if hits else None
+        return min(hits, key=lambda f: (-f[0] * f[2], f[1]))[:2] if hits else None
 
 
 def frequencies(texts: DataFrame, terms: frozenset[str]) -> tuple[int, dict[str, int]]:

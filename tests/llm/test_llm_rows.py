@@ -10,7 +10,7 @@ from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import SCHEMA, edge_docs, edge_rows, no_docs, prose, row
-from millrace.llm.licences import TEMPLATES, LicenceScan, Matcher, terms_of, vocabulary
+from millrace.llm.licences import BSD_END, BSD_START, BSD_THIRD, TEMPLATES, LicenceScan, Matcher, terms_of, vocabulary
 from millrace.llm.quality_cascade import RULES, Estimate, QualityCascade, ordered
 from millrace.llm.secret_scan import Novelty, Scanner, SecretScan, digest
 from millrace.llm.toxicity import TERMS, Misspellings, Model, Scorer, ToxicityModel, Trie, fold_of
@@ -224,6 +224,23 @@ def test_licence_matcher_skips_nothing():
     assert all(fast.best(terms_of(n))[1] == name for name, notices in TEMPLATES.items() for n in notices)
 
 
+def test_licences_of_real_headers():
+    matcher = Matcher(TEMPLATES, 10_000, {t: 2_000 for t in ("the", "and", "of", "in", "or", "this", "to", "is", "a", "that")}, 0.75)
+    start = "Copyright (c) 2019, Foo Inc.\nAll rights reserved.\n\n"
+    shared = BSD_START.replace("met: ", "met:\n\n").replace(". 2.", ".\n\n2.") + "\n\n"
+    code = "\n\nimport os\n" + prose(200, 5)
+    for after in ("", code):
+        assert matcher.licence(start + shared + BSD_THIRD + "\n\n" + BSD_END + after)[1] == "BSD-3-Clause"
+        assert matcher.licence(start + shared + BSD_END + after)[1] == "BSD-2-Clause"
+    for version in ("2", "3"):
+        header = (
+            "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+            f"the Free Software Foundation; either version {version} of the License, or\n(at your option) any later version."
+        )
+        assert matcher.licence(header + code)[1] == f"GPL-{version}.0"
+    assert matcher.licence("Copyright 2020 Foo Inc. All rights reserved. Licensed under the MIT License." + code)[1] == "MIT"
+
+
 def test_licences_are_inherited(spark):
     mit, gpl, body = TEMPLATES["MIT"][0], TEMPLATES["GPL-3.0"][0], prose(30, 1)
     rows = [
