@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.bisector import BisectorClusters
 from millrace.llm.lattice import decoded, sample_ids
 from millrace.llm.licences import LicenceScan
 from millrace.llm.multi_index import VectorLinks
@@ -130,3 +131,35 @@ def licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     name = F.when(number % 100 == 0, "LICENSE").otherwise(F.concat(number.cast("string"), F.lit(".txt")))
     place = F.concat_ws("/", F.col("source"), F.floor(number / 1000).cast("string"), F.when(number % 1000 != 0, F.floor(number / 100).cast("string")), name)
     return LicenceScan().scan(table(spark, folder, "documents").withColumn("path", place))
+
+
+def _cluster_sql(k: int, rounds: int) -> str:
+    """Lloyd's rounds unrolled; floors of exact integer means."""
+    nearest = """
+        SELECT r, vec_id, x, arg_min(c, d) AS c, min(d) AS d FROM (
+            SELECT r, vec_id, x, c, list_sum(list_transform(list_zip(x, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT * 64 + c AS d
+            FROM v CROSS JOIN c{n}) GROUP BY r, vec_id, x"""
+    steps = "".join(f"""
+    a{n} AS MATERIALIZED ({nearest.format(n=n)}),
+    s{n} AS (
+        SELECT c, i, sum(x[i]) AS s, count(*) AS n
+        FROM (SELECT c, x, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY c, i),
+    m{n} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{n} GROUP BY c),
+    c{n + 1} AS MATERIALIZED (SELECT c, coalesce(m{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN m{n} USING (c)),""" for n in range(rounds))
+    return f"""
+    WITH v AS (
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c, x AS m FROM v
+        QUALIFY c < {k}),{steps}
+    f AS ({nearest.format(n=rounds)})
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, d // 64 AS distance,
+        CAST(sum(d // 64) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d // 64) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM f JOIN c{rounds} USING (c)"""
+
+
+@query("op12_bisector_clusters", _cluster_sql(16, 3))
+def bisector_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return BisectorClusters(table(spark, folder, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1).clusters()
