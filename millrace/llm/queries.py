@@ -13,6 +13,7 @@ from millrace.llm.lattice import decoded, sample_ids
 from millrace.llm.licences import LicenceScan
 from millrace.llm.multi_index import VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin
+from millrace.llm.one_bit import OneBitIndex
 from millrace.llm.packing import PackedCorpus
 from millrace.llm.quality_cascade import QualityCascade
 from millrace.llm.secret_scan import SecretScan, digest
@@ -163,3 +164,20 @@ def _cluster_sql(k: int, rounds: int) -> str:
 @query("op12_bisector_clusters", _cluster_sql(16, 3))
 def bisector_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return BisectorClusters(table(spark, folder, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1).clusters()
+
+
+@query("op11_one_bit_neighbours", """
+    WITH v AS (
+        SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    s AS (
+        SELECT q.r, q.vec_id AS query_id, v.vec_id,
+            list_inner_product(q.x, v.x) / (sqrt(list_inner_product(v.x, v.x)) * sqrt(list_inner_product(q.x, q.x))) AS score
+        FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(v.x) = len(q.x)),
+    n AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM n WHERE rank <= 5""")
+def one_bit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return OneBitIndex(vectors).search(vectors.where(F.col("vec_id") % 50 == 0), k=5)
