@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm.bisector import BisectorClusters
 from millrace.llm.lattice import decoded, sample_ids
 from millrace.llm.licences import LicenceScan
+from millrace.llm.lightest_repair import repaired
 from millrace.llm.multi_index import VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin
 from millrace.llm.one_bit import OneBitIndex
@@ -181,3 +182,66 @@ def bisector_clusters(spark: SparkSession, folder: str) -> DataFrame:
 def one_bit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return OneBitIndex(vectors).search(vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def _repair_sql() -> str:
+    """Damage, faults, and the repair by a recursion over each conversation's rows that keeps the best way to each of four states."""
+    def way(state: str, cost: str, letter: str, line: str) -> str:
+        begun = f"({state}).o || CASE WHEN ({state}).o = '' THEN '' ELSE chr(10) END"
+        out = f"({state}).o" if line == "" else f"{begun} || {line}"
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': ({state}).c + {cost}, 'a': ({state}).a || '{letter}', 'o': {out}}} END"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    user, assistant = (lambda s: way(s, "5", "I", "'user:'")), (lambda s: way(s, "5", "I", "'assistant:'"))
+    keep = lambda s, initial: f"CASE WHEN NOT gone AND first = '{initial}' THEN {way(s, 'extra', 'K', 'line')} END"
+    rerole = lambda s, role: f"CASE WHEN NOT gone THEN {way(s, 'extra + 1', 'R', f"'{role}:' || text")} END"
+    state = "STRUCT(c BIGINT, a VARCHAR, o VARCHAR)"
+    return f"""
+    WITH RECURSIVE base AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+    kinds AS (
+        SELECT *, xor(list_reduce(list_transform(range(1, length(name) + 1), lambda i: ascii(substring(name, i, 1))::BIGINT),
+            lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+            4294967295::BIGINT), 4294967295) % 20 AS kind FROM base),
+    live AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM kinds, LATERAL (SELECT unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))) AS copies(n)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM live),
+    marked AS (
+        SELECT *, rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS body,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair FROM placed),
+    rows_ AS (
+        SELECT *, CASE WHEN body = '' THEN 1 WHEN again THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM marked),
+    told AS (
+        SELECT conv_id, i, fault IN (1, 2) AS gone, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS extra, role[1:1] AS first, role || ':' || text AS line, text FROM rows_),
+    convs AS (SELECT DISTINCT conv_id FROM conversations),
+    way AS (
+        SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'o': ''}}::{state} AS q, NULL::{state} AS s, NULL::{state} AS u, NULL::{state} AS a FROM convs
+        UNION ALL
+        SELECT conv_id, i + 1, {way("q", "2", "D", "")}, {least(way("s", "2", "D", ""), keep("q", "s"))},
+            {least(way("u", "2", "D", ""), keep("q", "u"), keep("s", "u"), keep("a", "u"), rerole("q", "user"), rerole("s", "user"), rerole("a", "user"))},
+            {least(way("a", "2", "D", ""), keep("u", "a"), rerole("u", "assistant"))}
+        FROM (
+            SELECT w.conv_id, w.i, told.* EXCLUDE (conv_id, i), w.q, w.s,
+                {least("w.u", user("w.q"), user("w.s"), user("w.a"))} AS u, {least("w.a", assistant("w.u"))} AS a
+            FROM way AS w JOIN told ON told.conv_id IS NOT DISTINCT FROM w.conv_id AND told.i = w.i + 1)),
+    ends AS (
+        SELECT conv_id, {least("q", "a", assistant("u"), assistant(f"({user('s')})"))} AS best
+        FROM way QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+            count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows_ GROUP BY conv_id)
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(best.o) AS repaired_sha256
+    FROM ends AS e LEFT JOIN counts AS n ON n.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+@query("op13_lightest_repair", _repair_sql())
+def lightest_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired(table(spark, folder, "conversations"))
