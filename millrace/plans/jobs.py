@@ -15,6 +15,7 @@ from millrace.operators.topk import top_n_per_key
 from millrace.operators.windows import Split, SplitWindow, period_change, rolling_sum, sessionize
 from millrace.session import shared_path
 from millrace.sources.files import overwrite_partitions, write_parquet
+from millrace.sources.versions import VersionedTable
 
 
 def active_users(events: DataFrame, user: str, ts: str, grain: str, rsd: float = 0.05) -> DataFrame:
@@ -79,15 +80,29 @@ def daily_totals(events: DataFrame, ts: str, kind: str, value: str) -> DataFrame
     )
 
 
+def _folded(old: DataFrame, delta: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    return merge_aggregate(old.select(*delta.columns), delta, keys, sums).select(
+        *keys, *[F.col(c).cast(t) for c, t in delta.dtypes if c in sums]
+    )
+
+
+def fold_into_versions(table: VersionedTable, delta: DataFrame, keys: Sequence[str], sums: Sequence[str], token: tuple[str, int] | None = None) -> int:
+    """As `add_to_summary` for a versioned table: the batch's days change at once or not at all,
+    and a batch delivered again under its token is not counted again."""
+    base = table.manifest()
+    if token and base.tokens.get(token[0], -1) >= token[1]:
+        return base.number
+    days = table.labels(delta, base)
+    return table.replace(_folded(table.read(base, days), delta, keys, sums), days, base, token)
+
+
 def add_to_summary(path: str, delta: DataFrame, keys: Sequence[str], sums: Sequence[str], day: str) -> None:
     """Fold a batch's totals into a summary table partitioned by day, rewriting
     only the days the batch touches; rows without a day are a day of their own."""
     spark = delta.sparkSession
     days = delta.select(F.col(day).alias("_day")).distinct()
     touched = spark.read.parquet(path).join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi")
-    merged = merge_aggregate(touched.select(*delta.columns), delta, keys, sums).select(
-        *keys, *[F.col(c).cast(t) for c, t in delta.dtypes if c in sums]
-    )
+    merged = _folded(touched, delta, keys, sums)
     # Written aside first: a partition must not be replaced while it is read.
     staged = shared_path(spark, "staged")
     merged.write.parquet(staged)

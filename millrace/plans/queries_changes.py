@@ -148,6 +148,22 @@ def _(t):
     return keyed.read_keyed(t.spark, path)
 
 
+@query("c10_upsert_versions", """SELECT 'before' AS version, cust_id, city FROM #cust
+    UNION ALL SELECT 'after', coalesce(t.cust_id, u.cust_id), coalesce(u.city, t.city)
+    FROM #cust t FULL JOIN (SELECT * FROM #upd QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1) u
+    ON t.cust_id = u.cust_id WHERE u.operation IS NULL OR u.operation <> 'DELETE'""")
+def _(t):
+    # A reader that opened the table before the upsert goes on with what it opened.
+    path = shared_path(t.spark, "customers")
+    keyed.write_keyed(t.cust, path, "cust_id", 16)
+    before = keyed.read_keyed(t.spark, path)
+    latest = changes.last_write_wins(t.upd, "cust_id", "updated_at", "record_id")
+    keyed.upsert_keyed(path, latest, "cust_id", deleted=F.col("operation") == "DELETE", keep=2)
+    sides = {"before": before, "after": keyed.read_keyed(t.spark, path)}
+    first, second = (df.select(F.lit(name).alias("version"), "cust_id", "city") for name, df in sides.items())
+    return first.unionByName(second)
+
+
 @query("c11_apply_cdc", f"""WITH u AS (SELECT * FROM #upd {_LWW})
     SELECT coalesce(t.cust_id, u.cust_id) AS cust_id, coalesce(u.cust_name, t.cust_name) AS cust_name,
     coalesce(u.city, t.city) AS city FROM #cust t FULL JOIN u ON t.cust_id = u.cust_id

@@ -10,6 +10,7 @@ from millrace.plans.registry import query
 from millrace.plans.shapes import by_hour
 from millrace.session import shared_path
 from millrace.sources.files import write_parquet
+from millrace.sources.versions import VersionedTable
 
 _DAILY = "SELECT CAST(date_trunc('day', ts) AS DATE)::VARCHAR AS period, count(DISTINCT user_id) AS users, TRUE AS close FROM events GROUP BY 1"
 
@@ -99,6 +100,18 @@ def _(t):
     return t.spark.read.parquet(path).select("day", "event_type", "events", "total")
 
 
+@query("z05_daily_summary_versions", """SELECT CAST(ts AS DATE)::VARCHAR AS day, event_type, count(*) AS events,
+    sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL""")
+def _(t):
+    late = (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")) | (F.col("value") > 30)
+    first = jobs.daily_totals(t["events"].where(~late), "ts", "event_type", "value")
+    table = VersionedTable.create(first, shared_path(t.spark, "summary"), ["day"])
+    batch = jobs.daily_totals(t["events"].where(late), "ts", "event_type", "value")
+    for _ in range(2):  # the second delivery changes nothing
+        jobs.fold_into_versions(table, batch, ["day", "event_type"], ["events", "total"], ("events", 1))
+    return table.read().select("day", "event_type", "events", "total")
+
+
 @query("z06_features", """WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS events,
     sum(value::DECIMAL(18,2)) AS value FROM events GROUP BY ALL),
     seen AS (SELECT *, unnest(range(1, 8)) AS ahead FROM daily)

@@ -8,6 +8,7 @@ from millrace.operators.aggregates import money
 from millrace.plans.registry import query
 from millrace.session import shared_path
 from millrace.sources import files, tables
+from millrace.sources.versions import VersionedTable
 
 _ORDERS = "order_id long, cust_id long, order_date date, amount double, status string"
 _ALL_ORDERS = "SELECT order_id, cust_id, order_date::VARCHAR AS order_date, amount, status FROM #ord"
@@ -182,6 +183,18 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("s17_overwrite_versions", """SELECT order_id, CASE WHEN status = 'Pending' THEN amount + 1 ELSE amount END AS amount, status
+    FROM #ord WHERE status <> 'Cancelled'""")
+def _(t):
+    orders = t.ord.select("order_id", "amount", "status")
+    table = VersionedTable.create(orders, shared_path(t.spark, "orders"), ["status"])
+    base = table.manifest()
+    corrected = table.read(base).where(F.col("status") == "Pending").withColumn("amount", F.col("amount") + 1)
+    cancelled = table.labels(orders.where(F.col("status") == "Cancelled"), base)
+    table.replace(corrected, cancelled, base)
+    return table.read()
+
+
 @query("s18_ctas", "SELECT city, count(*) AS customers FROM #cust GROUP BY city")
 def _(t):
     name = shared_path(t.spark, "cities").rsplit("/", 1)[1].replace("-", "_")

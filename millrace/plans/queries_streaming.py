@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.plans.queries_joins import VIEW_TO_PURCHASE
 from millrace.plans.registry import query
 from millrace.session import shared_path
+from millrace.sources.versions import VersionedTable
 from millrace.streaming import events as stream
 from millrace.streaming import runs
 
@@ -158,6 +159,22 @@ def _(t):
     return runs.upserted(t.spark, folded, *by, op="operation").select("cust_id", "record_id", "city")
 
 
+@query("t10_upsert_versions", """SELECT cust_id, record_id, city FROM (SELECT * FROM #upd
+    QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1) WHERE operation <> 'DELETE'""")
+def _(t):
+    log = _events(t).select(
+        F.col("user_id").alias("cust_id"), F.col("event_id").alias("record_id"), F.col("event_type").alias("city"),
+        F.col("ts").alias("updated_at"), F.when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE").alias("operation"),
+    )
+    path = shared_path(t.spark, "target")
+    VersionedTable.create(t.spark.createDataFrame([], log.schema), path, ["cust_id"], 8)
+    early = F.col("updated_at") < F.lit("2024-01-15").cast("timestamp_ntz")
+    for half in (~early, early):  # the older half arrives last
+        runs.stream_into_versions(log.where(half), path, shared_path(t.spark, "state"), "cust_id", "updated_at", "record_id")
+    current = VersionedTable(t.spark, path).read()
+    return current.where("operation <> 'DELETE'").select("cust_id", "record_id", "city")
+
+
 @query("t11_replay", "SELECT event_id, value FROM events")
 def _(t):
     # A backfill is the same stream under a new checkpoint, into a new folder.

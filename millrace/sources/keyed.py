@@ -1,47 +1,42 @@
-"""A Parquet table split by key hash, so that an upsert rewrites only the parts it touches."""
+"""A table split by key hash, so that an upsert rewrites only the parts it touches.
+
+It is a `VersionedTable`: an upsert shows whole or not at all.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.operators.changes import upsert
-from millrace.session import shared_path
-from millrace.sources.files import overwrite_partitions, write_parquet
-
-PART = "part"
-# Holds the number of parts; readers of the table skip names that start so.
-LAYOUT = "_layout"
-
-
-def _part(key: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(parts))
+from millrace.sources.versions import VersionedTable
 
 
 def write_keyed(df: DataFrame, path: str, key: str, parts: int) -> None:
     """Write a table with unique keys in `parts` parts."""
-    write_parquet(df.withColumn(PART, _part(key, parts)), path, [PART])
-    df.sparkSession.createDataFrame([(key, parts)], "key string, parts int").write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
+    VersionedTable.create(df, path, [key], parts)
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PART)
+def read_keyed(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return VersionedTable(spark, path).read(version)
 
 
-def upsert_keyed(path: str, incoming: DataFrame, key: str, parts: int | None = None) -> None:
-    """Update and insert rows by key.
+def upsert_keyed(
+    path: str, incoming: DataFrame, key: str, parts: int | None = None,
+    deleted: Column | None = None, keep: int = 1, token: tuple[str, int] | None = None,
+) -> None:
+    """Update and insert rows by key, and delete where `deleted` holds.
 
     The table knows its key and number of parts; others given here are refused.
-    Only parts with incoming keys are read and replaced. The new rows are written
-    aside first, so no file is replaced while it is read.
+    Only parts with incoming keys are read and written. The last `keep` versions
+    stay readable; the files of older ones are removed afterwards. A `token`
+    (stream, batch) makes a repeated batch change nothing.
     """
-    spark = incoming.sparkSession
-    layout = spark.read.parquet(f"{path}/{LAYOUT}").first()
-    if (layout["key"], layout["parts"]) != (key, parts or layout["parts"]):
-        raise ValueError(f"the table is split by {layout['key']} into {layout['parts']} parts")
-    parts = layout["parts"]
-    touched = incoming.select(_part(key, parts).alias(PART)).distinct()  # at most `parts` rows
-    current = spark.read.parquet(path).join(touched, PART, "left_semi").drop(PART)
-    staged = shared_path(spark, "staged")
-    upsert(current, incoming, key).withColumn(PART, _part(key, parts)).write.parquet(staged)
-    overwrite_partitions(spark.read.parquet(staged), path, [PART])
+    table = VersionedTable(incoming.sparkSession, path)
+    base = table.manifest()
+    if (base.columns, base.parts) != ([key], parts or base.parts):
+        raise ValueError(f"the table is split by {base.columns[0]} into {base.parts} parts")
+    if token and base.tokens.get(token[0], -1) >= token[1]:
+        return
+    touched = table.labels(incoming, base)
+    table.replace(upsert(table.read(base, touched), incoming, key, deleted), touched, base, token)
+    table.forget(keep)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.joins import latest_row
+from millrace.sources.versions import VersionedTable
 
 
 def run_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -104,6 +105,32 @@ def fold_upserts(spark: SparkSession, source: str, target: str, key: str, ts: st
     latest_row(spark.read.parquet(source).drop("run", "batch"), key, [ts, seq]).write.mode("overwrite").parquet(f"{target}/run=-1/batch=0")
 
 
+def stream_into_versions(log: DataFrame, path: str, checkpoint: str, key: str, ts: str, seq: str) -> StreamingQuery:
+    """Keep a `VersionedTable` split by hash of `key` current from a stream of changes.
+
+    Each micro-batch is one version and rewrites the parts its keys are in, so
+    readers never see half a batch and need no merge; a batch that ran before a
+    crash is known by its token. Deletions stay as rows, against late changes of
+    deleted keys. Batches should be large for their number of parts; where they
+    are small, `stream_upsert` writes less.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = VersionedTable(batch.sparkSession, path)
+        base = table.manifest()
+        if base.tokens.get(checkpoint, -1) >= batch_id:
+            return
+        batch = batch.persist()
+        touched = table.labels(batch, base)
+        rows = latest_row(table.read(base, touched).unionByName(latest_row(batch, key, [ts, seq])), key, [ts, seq])
+        table.replace(rows, touched, base, (checkpoint, batch_id))
+        batch.unpersist()
+
+    writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def state_report(query: StreamingQuery) -> DataFrame:
     """Rows and bytes of state per stateful operator after the last micro-batch
     that reported them."""
