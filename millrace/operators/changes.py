@@ -96,7 +96,7 @@ def as_of(history: DataFrame, facts: DataFrame, key: str, ts: str, split: Split,
 
     Versions and facts of a key are merged in time order and each fact takes the
     last version before it. A range join would pair every fact with every version
-    of its key before filtering. `split.slot` is an expression of `_ts`.
+    of its key before filtering.
     """
     versions = history.select(
         key, F.col("valid_from").alias("_ts"), F.lit(0).alias("_kind"), F.struct(*carry, F.col("valid_to").alias("_until")).alias("_state")

@@ -41,15 +41,15 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_RO
 
     Runs now, reading only the key columns, so that plans over tables without hot
     groups need no skew handling at all. The keys come packed in the struct
-    `_group`, which compares null keys as equal: at most 1 / HOT_SHARE rows, kept
-    in the shared folder.
+    `_group`, which compares null keys as equal, with their `_rows`: at most
+    1 / HOT_SHARE rows, kept in the shared folder.
     """
     if hot_rows is None:
         return None
     counts = df.groupBy(F.struct(*keys).alias("_group")).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("n")).scalar()
     enough = F.greatest(F.lit(float(hot_rows)), total * F.lit(HOT_SHARE))
-    hot = stored(counts.where(F.col("_rows") >= enough).select("_group"))
+    hot = stored(counts.where(F.col("_rows") >= enough))
     return None if hot.isEmpty() else hot
 
 

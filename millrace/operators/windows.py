@@ -1,31 +1,35 @@
 """Window functions that stay distributed when one group holds most of the rows.
 
-A plain `Window.partitionBy(key)` puts a whole group into one task. Here a group
-that `hot_groups` reports is cut into slots along its sort order, the window runs
-per slot, and one small row per slot carries what the next slot needs (rows so
-far, total so far, last row). Without hot groups the plan is the plain window:
-one shuffle, one sort.
+A plain `Window.partitionBy(key)` puts a whole group into one task. Here the rows
+of groups that `hot_groups` reports are laid out once: range-partitioned by group
+and order, each range being a slot, then dealt and sorted by (group, slot) and
+stored. Windows over a slot, and aggregates of it, need no further shuffle. All
+columns asked for together share one carry table, with a small row per slot that
+says what its rows have to know of the slots before and after it (rows and totals
+so far, edge rows, last known values). Other groups keep the plain window: one
+shuffle, one sort; without hot groups that is the whole plan.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from copy import copy
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import HOT_ROWS, hot_groups, with_group_total
-from millrace.session import stored
+from millrace.session import laid_out, stored
 
-# Rows that a slot of a table without keys should hold at most, and the least number of slots.
+# Rows that a slot should hold at most; there are at least as many slots as shuffle partitions.
 SLOT_ROWS = 10_000_000
-LEAST_SLOTS = 200
 
 FIRST, NOW = Window.unboundedPreceding, Window.currentRow
+PLACE = ["_group", "_slot"]
 
 
 def sort_names(order: Sequence[str]) -> list[str]:
@@ -39,163 +43,190 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut a hot group.
+    """From how many rows on a group is cut into slots.
 
-    `slot` must move in one direction along the sort order: a day or hour of the
-    leading timestamp, an id divided by a step, the column `quantile_slot` adds,
-    or a struct of the leading column and a slot of the next. `descending` says
-    the order runs from high slots to low ones.
+    Where it is cut follows from its rows; `slot` and `descending`, by which
+    callers once chose the cuts, are accepted and change nothing.
     """
 
-    slot: Column
+    slot: Column | None = None
     descending: bool = False
     hot_rows: int | None = HOT_ROWS
 
 
+@dataclass
+class _Step:
+    """A window column: what whole groups compute, and its parts for groups in slots.
+
+    `local` are windows within the slot, `last` what a slot's last row tells the
+    other slots, `carried` windows over a group's slots that gather it, `final`
+    the answer from all of them.
+    """
+
+    name: str
+    whole: Column
+    final: Column
+    local: dict[str, Column] = field(default_factory=dict)
+    last: dict[str, Column] = field(default_factory=dict)
+    carried: dict[str, Column] = field(default_factory=dict)
+
+
 class SplitWindow:
     """Window columns over `keys` in `order`; all of them share one shuffle and sort.
 
-    `order` names columns, `-name` for descending. With no keys the order is
-    global and every row belongs to a slot. Construction counts rows per group
-    (`hot_groups`); the window itself stays lazy.
+    `order` names columns, `-name` for descending, and should tell a group's rows
+    apart: rows equal in it stay in one slot. With no keys the order is global
+    and every row belongs to a slot, of which there are `slots`. Construction
+    counts rows per group (`hot_groups`) and lays out hot ones; the windows stay
+    lazy.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split):
-        self._order, self._split, self._keys = list(order), split, list(keys)
-        hot = hot_groups(df, keys, split.hot_rows) if keys else None
-        self._cut = hot is not None or not keys
-        if hot is not None:
-            hot = hot.withColumn("_hot", F.lit(True))
-            marked = df.withColumn("_group", F.struct(*keys)).join(F.broadcast(hot), "_group", "left")
-            # Boxed, so that a null slot of a hot group differs from no slot.
-            slot = F.when(F.col("_hot"), F.struct(split.slot))
-            self._df = marked.withColumn("_slot", slot).drop("_hot")
-        elif not keys:
-            self._df = df.withColumns({"_group": F.struct(F.lit(0)), "_slot": F.struct(split.slot)})
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split, slots: int | None = None):
+        self._order, self._keys = list(order), list(keys)
+        self._plain: DataFrame | None = df
+        self._cut: DataFrame | None = None
+        self._steps: list[_Step] = []
+        if keys:
+            hot = hot_groups(df, keys, split.hot_rows)
+            if hot is None:
+                return
+            marked, groups = df.withColumn("_group", F.struct(*keys)), F.broadcast(hot.select("_group"))
+            self._plain = marked.join(groups, "_group", "left_anti").drop("_group")
+            rows = hot.agg(F.sum("_rows")).first()[0]
+            cut = marked.join(groups, "_group", "left_semi")
         else:
-            self._df = df
+            if slots is None:
+                df = stored(df)
+            self._plain, rows, cut = None, 0 if slots else df.count(), df.withColumn("_group", F.struct(F.lit(0)))
+        count = slots or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // SLOT_ROWS))
+        ranged = cut.repartitionByRange(count, "_group", *sort_columns(order)).withColumn("_slot", F.spark_partition_id())
+        self._cut = laid_out(ranged.repartition(count, *PLACE).sortWithinPartitions(*PLACE, *sort_columns(order)))
 
-    @property
-    def _whole(self) -> Window:
-        return Window.partitionBy("_group", "_slot") if self._cut else Window.partitionBy(*self._keys)
+    def _over(self, keys: Sequence[str]) -> Window:
+        return Window.partitionBy(*keys).orderBy(*sort_columns(self._order))
 
     @property
-    def _rows(self) -> Window:
-        return self._whole.orderBy(*sort_columns(self._order))
-
-    def _with(self, df: DataFrame) -> SplitWindow:
-        new = copy(self)
-        new._df = df
+    def _so_far(self) -> Window:
+        return self._over(PLACE).rowsBetween(FIRST, NOW)
+
+    def _add(self, step: _Step, *values: Column) -> SplitWindow:
+        """With one more column; a value that uses a column asked for before has to wait for it."""
+        ready = self._done() if any(re.search(rf"\b{re.escape(s.name)}\b", str(v)) for s in self._steps for v in values) else self
+        new = copy(ready)
+        new._steps = [*ready._steps, step]
         return new
 
-    def _slots(self, **aggs: Column) -> DataFrame:
-        """One row per slot of each hot group."""
-        cut = self._df.where(F.col("_slot").isNotNull())
-        return cut.groupBy("_group", "_slot").agg(*[c.alias(n) for n, c in aggs.items()])
-
-    @property
-    def _slot_order(self) -> Window:
-        return Window.partitionBy("_group").orderBy(
-            F.col("_slot").desc() if self._split.descending else F.col("_slot").asc()
-        )
-
-    def _attach(self, df: DataFrame, per_slot: DataFrame) -> DataFrame:
-        return df.join(per_slot, ["_group", "_slot"], "left")
+    def _temp(self, what: str) -> str:
+        return f"_{what}{len(self._steps)}"
 
     def number(self, name: str) -> SplitWindow:
         """Row numbers from 1."""
-        df = self._df.withColumn(name, F.row_number().over(self._rows).cast("bigint"))
-        if not self._cut:
-            return self._with(df)
-        before = F.sum("_n").over(self._slot_order.rowsBetween(FIRST, -1))
-        offsets = self._slots(_n=F.count("*")).select("_group", "_slot", before.alias("_n"))
-        total = F.col(name) + F.coalesce(F.col("_n"), F.lit(0))
-        return self._with(self._attach(df, offsets).withColumn(name, total).drop("_n"))
+        before = self._temp("before")
+        return self._add(_Step(
+            name, F.row_number().over(self._over(self._keys)).cast("bigint"), F.col("_pos") + F.coalesce(F.col(before), F.lit(0)),
+            last={before: F.col("_pos")}, carried={before: F.sum(before).over(_earlier())},
+        ))
 
     def running(self, value: Column, name: str, inclusive: bool = True) -> SplitWindow:
         """Running sum up to this row, or over the rows before it (null on the first)."""
-        frame = self._rows.rowsBetween(FIRST, NOW if inclusive else -1)
-        df = self._df.withColumn(name, F.sum(value).over(frame))
-        if not self._cut:
-            return self._with(df)
-        offsets = self._slots(_t=F.sum(value)).select(
-            "_group", "_slot", F.sum("_t").over(self._slot_order.rowsBetween(FIRST, -1)).alias("_t")
-        )
-        within = F.col(name)
-        both = F.when(within.isNull(), F.col("_t")).otherwise(within + F.coalesce(F.col("_t"), F.lit(0)))
-        return self._with(self._attach(df, offsets).withColumn(name, both).drop("_t"))
+        frame = (FIRST, NOW if inclusive else -1)
+        within, before = self._temp("within"), self._temp("before")
+        return self._add(_Step(
+            name, F.sum(value).over(self._over(self._keys).rowsBetween(*frame)),
+            F.when(F.col(within).isNull(), F.col(before)).otherwise(F.col(within) + F.coalesce(F.col(before), F.lit(0))),
+            local={within: F.sum(value).over(self._over(PLACE).rowsBetween(*frame))},
+            last={before: F.sum(value).over(self._so_far)}, carried={before: F.sum(before).over(_earlier())},
+        ), value)
 
     def neighbour(self, value: Column, name: str, offset: int, default: Column | None = None) -> SplitWindow:
         """The value `offset` rows after this one (before it, if negative)."""
-        n = abs(offset)
+        n, ahead = abs(offset), offset > 0
         boxed = F.struct(value.alias("v"))  # tells a missing row from a null value
-        shift = F.lead if offset > 0 else F.lag
-        w = self._rows
-        if not self._cut:
-            df = self._df.withColumn("_box", shift(boxed, n).over(w))
-            return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box"))
-        if n == 1 and not any(c.startswith("-") for c in self._order):
-            # All a slot needs from the one beside it is that one's nearest row.
-            nearest = (F.min_by if offset > 0 else F.max_by)(boxed, F.struct(*self._order))
-            far = self._slots(_b=nearest).select("_group", "_slot", shift("_b", 1).over(self._slot_order).alias("_b"))
-            df = self._attach(self._df.withColumn("_box", shift(boxed, 1).over(w)), far)
-            df = df.withColumn("_box", F.coalesce("_box", "_b")).drop("_b")
-            return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box"))
-        # Position from the end the shift looks over.
-        position = F.row_number().over(w)
-        if offset > 0:
-            position = F.count("*").over(self._whole) - position + 1
-        df = self._df.withColumns({"_box": shift(boxed, n).over(w), "_pos": position.cast("bigint")})
-        # Only the first and last n rows of a slot see over its edge, so the
-        # group-wide window below holds at most 2 n rows per slot.
-        cut = self._df.where(F.col("_slot").isNotNull()).withColumns({
-            "_lo": F.row_number().over(w),
-            "_hi": F.count("*").over(self._whole) - F.row_number().over(w) + 1,
-        })
-        edges = cut.where((F.col("_lo") <= n) | (F.col("_hi") <= n))
-        slot_order = F.col("_slot").desc() if self._split.descending else F.col("_slot").asc()
-        group = Window.partitionBy("_group").orderBy(slot_order, *sort_columns(self._order))
-        here = "_hi" if offset > 0 else "_lo"
-        seen = edges.withColumn("_far", shift(boxed, n).over(group)).where(
-            (F.col(here) <= n) & F.col("_far").isNotNull()
-        )
-        far = seen.groupBy("_group", "_slot").agg(
-            F.map_from_entries(F.collect_list(F.struct(F.col(here).cast("bigint"), "_far"))).alias("_map")
-        )
-        df = self._attach(df, far)
-        df = df.withColumn("_box", F.coalesce(F.col("_box"), F.try_element_at("_map", F.col("_pos"))))
-        return self._with(df.withColumn(name, _unbox("_box", default)).drop("_box", "_pos", "_map"))
+        shift = F.lead if ahead else F.lag
+        near, far, rows = self._temp("near"), self._temp("far"), self._over(PLACE)
+        # A slot hands over its n rows next to the edge, nearest first.
+        if ahead:
+            edge = [F.nth_value(boxed, k).over(self._so_far) for k in range(1, n + 1)]
+        else:
+            edge = [boxed, *[F.lag(boxed, k).over(rows) for k in range(1, n)]]
+        if n == 1:
+            edges, carried, found = edge[0], shift(far, 1).over(_slots()), F.coalesce(near, far)
+        else:
+            # Every slot has a row, so the n slots beside it hold n rows or all there are.
+            edges = F.filter(F.array(*edge), lambda b: b.isNotNull())
+            lists = F.collect_list(far).over(_slots().rowsBetween(1, n) if ahead else _slots().rowsBetween(-n, -1))
+            carried = F.flatten(lists if ahead else F.reverse(lists))
+            left = F.col("_all") - F.col("_pos") + 1 if ahead else F.col("_pos")
+            found = F.coalesce(F.col(near), F.when(left <= n, F.try_element_at(far, (n + 1 - left).cast("int"))))
+        local = {near: shift(boxed, n).over(rows)}
+        if ahead and n > 1:
+            local["_all"] = F.count("*").over(Window.partitionBy(*PLACE))
+        whole = shift(boxed, n).over(self._over(self._keys))
+        return self._add(_Step(name, _unbox(whole, default), _unbox(found, default), local, {far: edges}, {far: carried}), value)
 
     def last_known(self, value: Column, name: str) -> SplitWindow:
         """The nearest earlier value that is not null."""
-        if any(c.startswith("-") for c in self._order):
-            raise ValueError("last_known needs an ascending order")
-        df = self._df.withColumn(name, F.last(value, ignorenulls=True).over(self._rows.rowsBetween(FIRST, -1)))
-        if not self._cut:
-            return self._with(df)
-        rank = F.struct(*self._order)
-        last = self._slots(_v=F.max_by(value, F.when(value.isNotNull(), rank))).select(
-            "_group", "_slot",
-            F.last("_v", ignorenulls=True).over(self._slot_order.rowsBetween(FIRST, -1)).alias("_v"),
-        )
-        df = self._attach(df, last)
-        return self._with(df.withColumn(name, F.coalesce(F.col(name), F.col("_v"))).drop("_v"))
+        near, far = self._temp("near"), self._temp("far")
+        known = lambda keys: F.last(value, ignorenulls=True).over(self._over(keys).rowsBetween(FIRST, -1))
+        return self._add(_Step(
+            name, known(self._keys), F.coalesce(near, far), local={near: known(PLACE)},
+            last={far: F.last(value, ignorenulls=True).over(self._so_far)},
+            carried={far: F.last(far, ignorenulls=True).over(_earlier())},
+        ), value)
+
+    def _done(self) -> SplitWindow:
+        """With the columns asked for so far in place."""
+        if not self._steps:
+            return self
+        new = copy(self)
+        new._steps = []
+        if self._plain is not None:
+            new._plain = self._plain.withColumns({s.name: s.whole for s in self._steps})
+        if self._cut is not None:
+            rows = self._over(PLACE)
+            placed = self._cut.withColumn("_pos", F.row_number().over(rows).cast("bigint"))
+            last = placed.withColumns({"_more": F.lead(F.lit(True)).over(rows)} | {n: c for s in self._steps for n, c in s.last.items()})
+            carried = [c.alias(n) for s in self._steps for n, c in s.carried.items()]
+            # A row for every slot of a hot group: at most one for each group, and one for each slot.
+            carry = F.broadcast(last.where(F.col("_more").isNull()).select(*PLACE, *carried))
+            local = {n: c for s in self._steps for n, c in s.local.items()}
+            joined = placed.withColumns(local).join(carry, PLACE, "left").withColumns({s.name: s.final for s in self._steps})
+            new._cut = joined.drop("_pos", *local, *[n for s in self._steps for n in s.carried])
+        return new
+
+    def _each(self, change) -> SplitWindow:
+        new = copy(self._done())
+        new._plain = None if new._plain is None else change(new._plain)
+        new._cut = None if new._cut is None else change(new._cut)
+        return new
 
     def derive(self, **columns: Column) -> SplitWindow:
         """Add columns computed from those there already."""
-        return self._with(self._df.withColumns(columns))
+        return self._each(lambda df: df.withColumns(columns))
 
     def where(self, condition: Column) -> SplitWindow:
         """Drop rows; later window columns see only those that stay, without a new shuffle."""
-        return self._with(self._df.where(condition))
+        return self._each(lambda df: df.where(condition))
 
     def frame(self) -> DataFrame:
-        return self._df.drop("_group", "_slot")
+        done = self._done()
+        if done._cut is None:
+            return done._plain
+        cut = done._cut.drop(*PLACE)
+        return cut if done._plain is None else done._plain.unionByName(cut)
+
+
+def _slots() -> Window:
+    return Window.partitionBy("_group").orderBy("_slot")
 
 
-def _unbox(box: str, default: Column | None) -> Column:
-    value = F.col(box)["v"]
-    return value if default is None else F.when(F.col(box).isNull(), default).otherwise(value)
+def _earlier() -> Window:
+    return _slots().rowsBetween(FIRST, -1)
+
+
+def _unbox(box: Column, default: Column | None) -> Column:
+    value = box["v"]
+    return value if default is None else F.when(box.isNull(), default).otherwise(value)
 
 
 def quantile_slot(
@@ -265,46 +296,35 @@ def with_peers(
     return df.withColumn("_peer", F.struct(*keys, *names)).join(by_peer, "_peer").drop("_peer")
 
 
-def slot_count(rows: int) -> int:
-    """Slots for a table without keys, so that none holds many more than `SLOT_ROWS` rows."""
-    return max(LEAST_SLOTS, -(-rows // SLOT_ROWS))
-
-
 def global_ranks(df: DataFrame, value: str, slots: int | None = None) -> DataFrame:
     """Add `rank` and `dense_rank` over the whole table, largest value first.
 
     Ranks come from the distinct values, where a common value is one row, and are
-    joined back. The values are stored, as finding cut points and ranking both
-    read them.
+    joined back.
     """
-    values = stored(df.groupBy(value).agg(F.count("*").alias("_same")))
-    cut = quantile_slot(values, value, slots or slot_count(values.count()), "_cut")
-    placed = SplitWindow(cut, [], [f"-{value}"], Split(F.col("_cut"), descending=True))
-    ranks = _peer_columns(placed, "rank", "dense_rank", None).frame()
+    values = df.groupBy(value).agg(F.count("*").alias("_same"))
+    ranks = _peer_columns(SplitWindow(values, [], [f"-{value}"], Split(), slots), "rank", "dense_rank", None).frame()
     # Joined as a struct, in which a null value equals itself.
     by_value = ranks.select(F.struct(value).alias("_value"), "dense_rank", "rank")
     return df.withColumn("_value", F.struct(value)).join(by_value, "_value").drop("_value")
 
 
 def global_running(
-    df: DataFrame, value: str, tie: str, slots: int | None = None, tie_step: int = 1 << 20
+    df: DataFrame, value: str, tie: str, slots: int | None = None, tie_step: int | None = None
 ) -> DataFrame:
     """Running total and ranks over the whole table, largest value first.
 
     Adds `running`, `rank` and `dense_rank`; `tie` is a unique id that orders
-    equal values. No task sees more than one slot. The rows are stored first:
-    cutting, totals and ranks each read them.
+    equal values, however many there are. No task sees more than one slot; all
+    columns come from one laid out copy of the rows. `tie_step` is accepted from
+    older callers and not used.
     """
-    df = stored(df)
-    slots = slots or slot_count(df.count())
-    cut = quantile_slot(df, value, slots, "_cut", F.floor(F.col(tie) / tie_step))
-    ordered = SplitWindow(cut, [], [f"-{value}", tie], Split(_slot_down(), descending=True))
-    return global_ranks(ordered.running(F.col(value), "running").frame().drop("_cut"), value, slots)
-
-
-def _slot_down() -> Column:
-    # Slots run from high to low while ids within a common value run upwards.
-    return F.struct(F.col("_cut.value").alias("value"), (-F.col("_cut.tie")).alias("tie"))
+    rows = SplitWindow(df, [], [f"-{value}", tie], Split(), slots)
+    rows = rows.running(F.col(value), "running").number("_nth").neighbour(F.struct(value), "_prev", -1)
+    fresh = F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.struct(value))
+    rows = rows.derive(_fresh=F.when(fresh, 1).otherwise(0), _first=F.when(fresh, F.col("_nth")))
+    rows = rows.running(F.col("_fresh"), "dense_rank").last_known(F.col("_first"), "_known")
+    return rows.derive(rank=F.coalesce("_first", "_known")).frame().drop("_prev", "_nth", "_fresh", "_first", "_known")
 
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "group_rows") -> DataFrame:

@@ -118,19 +118,17 @@ def _joined(df):
 
 @query("a15_collect_list", _lists("#ord", "order_id", "order_id"))
 def _(t):
-    slot = Split(F.floor(F.col("order_id") / 4096))
-    return _joined(agg.ordered_list(t.ord, "cust_id", "order_id", ["order_id"], slot, LONGEST_LIST))
+    return _joined(agg.ordered_list(t.ord, "cust_id", "order_id", ["order_id"], Split(), LONGEST_LIST))
 
 
 @query("a15_collect_set", _lists("(SELECT DISTINCT cust_id, status FROM #ord)", "status", "status"))
 def _(t):
-    return _joined(agg.distinct_list(t.ord, "cust_id", "status", Split(F.col("status")), LONGEST_LIST))
+    return _joined(agg.distinct_list(t.ord, "cust_id", "status", Split(), LONGEST_LIST))
 
 
 @query("a16_ordered_list", _lists("#ord", "order_id", "order_date, order_id"))
 def _(t):
-    split = Split(F.col("order_date"))
-    return _joined(agg.ordered_list(t.ord, "cust_id", "order_id", ["order_date", "order_id"], split, LONGEST_LIST))
+    return _joined(agg.ordered_list(t.ord, "cust_id", "order_id", ["order_date", "order_id"], Split(), LONGEST_LIST))
 
 
 @query("a17_distinct_count", "SELECT status, count(DISTINCT cust_id) AS distinct_values FROM #ord GROUP BY status")
@@ -153,12 +151,12 @@ _MEDIAN = "SELECT status, median(amount) AS median FROM #ord GROUP BY status"
 
 @query("a19_median", _MEDIAN)
 def _(t):
-    return agg.median_by(t.ord, "status", "amount", Split(F.floor(F.col("amount") / 1000)))
+    return agg.median_by(t.ord, "status", "amount", Split())
 
 
 @query("a19_median_split", _MEDIAN)
 def _(t):
-    return agg.median_by(t.ord, "status", "amount", Split(F.floor(F.col("amount") / 1000), hot_rows=HOT))
+    return agg.median_by(t.ord, "status", "amount", Split(hot_rows=HOT))
 
 
 @query("a20_approx_percentile", "SELECT DISTINCT status, TRUE AS close FROM #ord")

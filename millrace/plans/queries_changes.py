@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from millrace.operators import changes, quality
 from millrace.operators.skew import HOT_ROWS
 from millrace.plans.registry import query
-from millrace.plans.shapes import HOT, by_hour
+from millrace.operators.windows import Split
+from millrace.plans.shapes import HOT
 from millrace.session import shared_path
 from millrace.sources import keyed
 
@@ -72,8 +73,7 @@ _SCD2 = """starts AS (SELECT * FROM (SELECT *, lag(city) OVER (PARTITION BY cust
 
 
 def _history(t, hot_rows=HOT_ROWS):
-    split = by_hour("updated_at", hot_rows)
-    return changes.scd2(t.upd, "cust_id", "updated_at", "record_id", ["city"], split)
+    return changes.scd2(t.upd, "cust_id", "updated_at", "record_id", ["city"], Split(hot_rows=hot_rows))
 
 
 _VERSIONS = f"""WITH {_SCD2} SELECT cust_id, city, record_id, valid_from::VARCHAR AS valid_from,
@@ -99,7 +99,7 @@ def _(t):
 def _(t):
     # Changes to one of the values come without a time.
     log = t.upd.withColumn("updated_at", F.when(F.col("city") != "error", F.col("updated_at")))
-    return changes.scd2(log, "cust_id", "updated_at", "record_id", ["city"], by_hour("updated_at"))
+    return changes.scd2(log, "cust_id", "updated_at", "record_id", ["city"], Split())
 
 
 @query("c09_as_of_deletes", f"""WITH {_SCD2} SELECT e.event_id, v.city FROM events e LEFT JOIN versions v ON v.cust_id = e.user_id
@@ -108,7 +108,7 @@ def _(t):
     facts = t["events"].select("event_id", F.col("user_id").alias("cust_id"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("at"))
     kept = shared_path(t.spark, "history")
     _history(t).where("city <> 'error'").write.parquet(kept)  # an error ends a version without a next one
-    found = changes.as_of(t.spark.read.parquet(kept), facts, "cust_id", "at", by_hour("_ts"), ["city"])
+    found = changes.as_of(t.spark.read.parquet(kept), facts, "cust_id", "at", Split(), ["city"])
     return found.select("event_id", "city")
 
 
@@ -118,7 +118,7 @@ def _(t):
     facts = t["events"].select("event_id", F.col("user_id").alias("cust_id"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("at"))
     kept = shared_path(t.spark, "history")  # a history is a table that facts look up
     _history(t).write.parquet(kept)
-    found = changes.as_of(t.spark.read.parquet(kept), facts, "cust_id", "at", by_hour("_ts"), ["city"])
+    found = changes.as_of(t.spark.read.parquet(kept), facts, "cust_id", "at", Split(), ["city"])
     return found.select("event_id", "city")
 
 

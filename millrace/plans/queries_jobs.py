@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import money
+from millrace.operators.windows import Split
 from millrace.plans import jobs
 from millrace.plans.registry import query
-from millrace.plans.shapes import by_hour
 from millrace.session import shared_path
 from millrace.sources.files import write_parquet
 from millrace.sources.versions import VersionedTable
@@ -52,7 +52,7 @@ _STEP = "PARTITION BY user_id, s ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PR
     UNION ALL SELECT 'purchase', sum(h2)::BIGINT FROM d""")
 def _(t):
     steps = ["view", "click", "purchase"]
-    return jobs.funnel(t["events"], "user_id", "ts", "event_type", "event_id", steps, "12 HOURS", by_hour())
+    return jobs.funnel(t["events"], "user_id", "ts", "event_type", "event_id", steps, "12 HOURS", Split())
 
 
 @query("z04_land", """SELECT 'landed' AS kind, CAST(ts AS DATE)::VARCHAR AS day, count(*) AS rows, sum(value::DECIMAL(18,2))::DOUBLE AS total
@@ -149,7 +149,7 @@ def _(t):
 def _(t):
     history, current = jobs.change_history(
         [t.upd, t.upd.where("city = 'purchase'")], "cust_id", "updated_at", "record_id", "operation", ["city"],
-        by_hour("updated_at"),
+        Split(),
     )
     rows = history.select(F.lit("history").alias("kind"), "cust_id", "city", "valid_from", "valid_to")
     latest = current.select(F.lit("current").alias("kind"), "cust_id", "city", F.col("updated_at").alias("valid_from"))

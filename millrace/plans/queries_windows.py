@@ -10,7 +10,7 @@ from millrace.operators.aggregates import money
 from millrace.operators.skew import HOT_ROWS
 from millrace.operators.windows import Split, SplitWindow
 from millrace.plans.registry import query
-from millrace.plans.shapes import HOT, by_day, by_hour
+from millrace.plans.shapes import HOT
 
 _W = "PARTITION BY cust_id ORDER BY order_date, order_id"
 _ROWS = "ROWS BETWEEN UNBOUNDED PRECEDING AND"
@@ -21,7 +21,7 @@ def _orders(t):
 
 
 def _by_date(t, hot_rows=HOT_ROWS):
-    return SplitWindow(_orders(t), ["cust_id"], ["order_date", "order_id"], by_day("order_date", hot_rows))
+    return SplitWindow(_orders(t), ["cust_id"], ["order_date", "order_id"], Split(hot_rows=hot_rows))
 
 
 _RANKS = """SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS rn,
@@ -31,10 +31,9 @@ _RANKS = """SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand O
 
 def _rank_all(t, hot_rows):
     part = t["part"].select("p_brand", "p_partkey", "p_size")
-    size = F.col("p_size")
-    ranked = win.with_peers(part, ["p_brand"], ["p_size"], Split(size, hot_rows=hot_rows), "rnk", "dense")
-    within_size = Split(F.struct(size, F.floor(F.col("p_partkey") / 4096)), hot_rows=hot_rows)
-    return SplitWindow(ranked, ["p_brand"], ["p_size", "p_partkey"], within_size).number("rn").frame().drop("p_size")
+    split = Split(hot_rows=hot_rows)
+    ranked = win.with_peers(part, ["p_brand"], ["p_size"], split, "rnk", "dense")
+    return SplitWindow(ranked, ["p_brand"], ["p_size", "p_partkey"], split).number("rn").frame().drop("p_size")
 
 
 @query("w01_rank_all", _RANKS)
@@ -70,7 +69,7 @@ def _(t):
     OVER ({_W} {_ROWS} 1 PRECEDING) AS known FROM #ord""")
 def _(t):
     present = t.ord.withColumn("settled", F.when(F.col("status") != "Pending", F.col("amount")))
-    w = SplitWindow(present, ["cust_id"], ["order_date", "order_id"], by_day())
+    w = SplitWindow(present, ["cust_id"], ["order_date", "order_id"], Split())
     return w.last_known(F.col("settled"), "known").frame().select("cust_id", "order_id", "known")
 
 
@@ -98,7 +97,7 @@ def _(t):
 def _(t):
     part = t["part"].select("p_brand", "p_partkey", "p_size", "p_retailprice")
     totals = win.with_peers(
-        part, ["p_brand"], ["p_size"], Split(F.col("p_size"), hot_rows=HOT), total="running", value=money("p_retailprice")
+        part, ["p_brand"], ["p_size"], Split(hot_rows=HOT), total="running", value=money("p_retailprice")
     )
     return totals.select("p_brand", "p_partkey", "running")
 
@@ -206,7 +205,7 @@ _SESSIONS = """SELECT event_id, user_id, sum(fresh) OVER (PARTITION BY user_id O
 
 def _sessions(t, hot_rows):
     events = t["events"].select("event_id", "user_id", "ts")
-    return win.sessionize(events, "user_id", "ts", "30 MINUTES", by_hour("ts", hot_rows), "event_id").drop("ts")
+    return win.sessionize(events, "user_id", "ts", "30 MINUTES", Split(hot_rows=hot_rows), "event_id").drop("ts")
 
 
 @query("w16_sessionize", _SESSIONS)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import ordered_list
-from millrace.operators.skew import HOT_ROWS
 from millrace.operators.windows import Split
 from millrace.sources.files import scan
 
@@ -19,14 +18,6 @@ HOT = 5
 LONGEST_LIST = 10_000
 
 
-def by_day(column: str = "order_date", hot_rows: int = HOT_ROWS) -> Split:
-    return Split(F.to_date(column), hot_rows=hot_rows)
-
-
-def by_hour(column: str = "ts", hot_rows: int = HOT_ROWS) -> Split:
-    return Split(F.date_trunc("hour", column), hot_rows=hot_rows)
-
-
 class Tables:
     """Lazy access to the tables of one folder and to the shapes built from them."""
 
@@ -96,10 +87,9 @@ class Tables:
 
     @cached_property
     def items(self) -> DataFrame:
-        slot = F.struct("l_quantity", F.floor(F.col("l_partkey") / 1024))
         lists = ordered_list(
             self["lineitem"].select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey", "l_quantity",
-            ["l_quantity", "l_partkey"], Split(slot), LONGEST_LIST,
+            ["l_quantity", "l_partkey"], Split(), LONGEST_LIST,
         )
         return lists.withColumnRenamed("l_orderkey", "id")
 

@@ -94,3 +94,17 @@ def stored(df: DataFrame) -> DataFrame:
     """
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+def laid_out(df: DataFrame) -> DataFrame:
+    """As `stored`, for a plan that ends in a partitioning and sort: later plans know
+    of both and need no shuffle or sort for them. Adaptive plans hide them, so this
+    one is not adaptive; store a costly input first."""
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # Planned anew, as a plan once made keeps its kind.
+        return stored(df.select("*"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -129,3 +131,37 @@ def test_no_count_when_the_caller_vouches(facts):
     split = Split(F.trunc("d", "quarter"), hot_rows=None)
     got = SplitWindow(facts, ["k"], ["d", "id"], split).number("n").frame()
     assert same(got, SplitWindow(facts, ["k"], ["d", "id"], Split(F.trunc("d", "quarter"), hot_rows=2)).number("n").frame())
+
+
+def test_hot_groups_are_laid_out_once(facts):
+    w = SplitWindow(facts, ["k"], ["d", "id"], Split(hot_rows=50)).number("rn").running(F.col("a"), "s")
+    df = w.neighbour(F.col("a"), "back", -2).last_known(F.col("holes"), "known").frame()
+    plan = plan_of(df)
+    # The table is read once, for whole groups. Groups in slots read their stored copy,
+    # whose rows are neither shuffled nor sorted again; only the carry table is.
+    assert plan.count("InMemoryTableScan") == 1 and "SortMergeJoin" not in plan
+    assert plan.count("hashpartitioning(k") == 1
+    assert re.findall(r"hashpartitioning\(_group#\d+, ", plan) == [re.search(r"hashpartitioning\(_group#\d+, ", plan)[0]]
+    assert plan.count("Sort [_group") == 1
+
+
+def test_slots_follow_the_rows(spark):
+    """All rows of one group and one day, in descending order."""
+    df = spark.range(4000).select("id", F.lit(1).alias("k"), F.lit("2024-01-01").alias("d"), (F.col("id") % 7).alias("v"))
+    split = SplitWindow(df, ["k"], ["-d", "-id"], Split(hot_rows=100))
+    sizes = [r["count"] for r in split._cut.groupBy("_slot").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1500
+    known = F.when(F.col("v") == 0, F.col("id"))
+    got = split.last_known(known, "known").neighbour(F.col("id"), "five", 5).running(F.col("v"), "s").frame()
+    w = Window.partitionBy("k").orderBy(F.desc("id"))
+    want = df.withColumns({
+        "known": F.last(known, True).over(w.rowsBetween(FIRST, -1)), "five": F.lead("id", 5).over(w), "s": F.sum("v").over(w.rowsBetween(FIRST, 0)),
+    })
+    assert same(got, want)
+
+
+def test_a_column_may_use_the_one_before(facts):
+    got = SplitWindow(facts, ["k"], ["d", "id"], Split(hot_rows=50)).number("n").running(F.col("n"), "s").frame()
+    w = Window.partitionBy("k").orderBy("d", "id")
+    want = facts.withColumn("n", F.row_number().over(w).cast("long"))
+    assert same(got, want.withColumn("s", F.sum("n").over(w.rowsBetween(FIRST, 0))))
