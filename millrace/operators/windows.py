@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import HOT_ROWS, hot_groups, with_group_total
 from millrace.session import laid_out, stored
 
-# Rows that a slot should hold at most; there are at least as many slots as shuffle partitions.
+# Rows that a slot should hold at most, and the usual least number of slots.
 SLOT_ROWS = 10_000_000
+LEAST_SLOTS = 200
 
 FIRST, NOW = Window.unboundedPreceding, Window.currentRow
 PLACE = ["_group", "_slot"]
@@ -98,7 +99,7 @@ class SplitWindow:
             if slots is None:
                 df = stored(df)
             self._plain, rows, cut = None, 0 if slots else df.count(), df.withColumn("_group", F.struct(F.lit(0)))
-        count = slots or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // SLOT_ROWS))
+        count = slots or slot_count(rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         ranged = cut.repartitionByRange(count, "_group", *sort_columns(order)).withColumn("_slot", F.spark_partition_id())
         self._cut = laid_out(ranged.repartition(count, *PLACE).sortWithinPartitions(*PLACE, *sort_columns(order)))
 
@@ -296,6 +297,11 @@ def with_peers(
     return df.withColumn("_peer", F.struct(*keys, *names)).join(by_peer, "_peer").drop("_peer")
 
 
+def slot_count(rows: int, least: int = LEAST_SLOTS) -> int:
+    """Slots for so many rows, so that none holds many more than `SLOT_ROWS`."""
+    return max(least, -(-rows // SLOT_ROWS))
+
+
 def global_ranks(df: DataFrame, value: str, slots: int | None = None) -> DataFrame:
     """Add `rank` and `dense_rank` over the whole table, largest value first.
 
