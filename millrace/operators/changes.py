@@ -90,6 +90,33 @@ def scd2(log: DataFrame, key: str, ts: str, seq: str, tracked: Sequence[str], sp
     )
 
 
+def splice(kept: DataFrame, batch: DataFrame, key: str, ts: str, seq: str, tracked: Sequence[str], split: Split) -> DataFrame:
+    """Cut a batch of changes, late ones too, into a kept history.
+
+    `kept` has one row per key and instant: key, `seq`, `tracked`, valid_from,
+    valid_to and `opens`, which says whether a version starts there. Rows that
+    change nothing stay, as a change that arrives late may come between them
+    and the row they repeat. The opening rows equal `scd2` over all changes that
+    ever came, in whatever order and however often. Only keys in the batch are
+    worked on; the others' rows pass through.
+    """
+    keys = batch.select(F.col(key).alias("_key")).distinct()
+    touched, rest = (kept.join(keys, F.col(key).eqNullSafe(F.col("_key")), how) for how in ("left_semi", "left_anti"))
+    columns = [key, seq, *[c for c in tracked if c not in (key, ts, seq)]]
+    rows = touched.select(*columns, F.col("valid_from").alias(ts)).unionByName(batch.select(*columns, ts))
+    state = F.struct(*[F.col("valid_from" if c == ts else c) for c in tracked])
+    walk = (
+        SplitWindow(rows.withColumnRenamed(ts, "valid_from"), [key], ["valid_from", seq, *[c for c in tracked if c != ts]], split)
+        .neighbour(F.struct(F.col("valid_from").alias("at")), "_next", 1)
+        .where(F.col("_next").isNull() | ~F.col("_next.at").eqNullSafe(F.col("valid_from")))
+        .neighbour(state, "_prev", -1)
+        .derive(opens=F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(state))
+    )
+    opening = walk.where(F.col("opens")).neighbour(F.col("valid_from"), "valid_to", 1).frame()
+    silent = walk.where(~F.col("opens")).frame().withColumn("valid_to", F.lit(None).cast(dict(opening.dtypes)["valid_to"]))
+    return rest.unionByName(opening.drop("_next", "_prev")).unionByName(silent.drop("_next", "_prev"))
+
+
 def as_of(history: DataFrame, facts: DataFrame, key: str, ts: str, split: Split, carry: Sequence[str]) -> DataFrame:
     """Facts with the history values valid at their time; null before the first version,
     after the end of the last one, and for facts without a time.

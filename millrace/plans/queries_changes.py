@@ -11,6 +11,7 @@ from millrace.operators.windows import Split
 from millrace.plans.shapes import HOT
 from millrace.session import shared_path
 from millrace.sources import keyed
+from millrace.sources.history import KeptHistory
 
 _AGAIN = "(SELECT * FROM #upd UNION ALL SELECT * FROM #upd WHERE record_id % 10 = 0)"
 _LWW = "QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY updated_at DESC, record_id DESC) = 1"
@@ -90,6 +91,17 @@ def _(t):
     return _history(t, HOT)
 
 
+@query("c08_scd2_spliced", _VERSIONS)
+def _(t):
+    # The second half of the month comes first, then the first days, and the days between last, with some changes again.
+    kept = KeptHistory(shared_path(t.spark, "history"), "cust_id", "updated_at", "record_id", ["city"])
+    kept.create(t.upd, 16)
+    day = F.dayofmonth("updated_at")
+    for number, part in enumerate([day > 15, day < 6, (day >= 6) & (day <= 20)]):
+        kept.add(t.upd.where(part), ("changes", number))
+    return kept.read(t.spark)
+
+
 @query("c08_scd2_untimed", """WITH u AS (SELECT cust_id, record_id, city, CASE WHEN city <> 'error' THEN updated_at END AS since FROM #upd),
     held AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY cust_id, since ORDER BY record_id DESC) = 1),
     starts AS (SELECT * FROM held WINDOW w AS (PARTITION BY cust_id ORDER BY since NULLS FIRST)

@@ -10,6 +10,7 @@ from millrace.plans import jobs
 from millrace.plans.registry import query
 from millrace.session import shared_path
 from millrace.sources.files import write_parquet
+from millrace.sources.history import KeptHistory
 from millrace.sources.versions import VersionedTable
 
 _DAILY = "SELECT CAST(date_trunc('day', ts) AS DATE)::VARCHAR AS period, count(DISTINCT user_id) AS users, TRUE AS close FROM events GROUP BY 1"
@@ -156,6 +157,22 @@ def _(t):
     return rows.unionByName(latest, allowMissingColumns=True)
 
 
+@query("z08_change_history_daily", """WITH starts AS (SELECT * FROM (SELECT *, lag(struct_pack(city, operation)) OVER
+    (PARTITION BY cust_id ORDER BY updated_at, record_id) AS p FROM #upd) WHERE p IS NULL OR p <> struct_pack(city, operation)),
+    versions AS (SELECT cust_id, city, updated_at AS valid_from, operation,
+    lead(updated_at) OVER (PARTITION BY cust_id ORDER BY updated_at, record_id) AS valid_to FROM starts)
+    SELECT cust_id, city, valid_from::VARCHAR AS valid_from, valid_to::VARCHAR AS valid_to, valid_to IS NULL AS is_current
+    FROM versions WHERE operation <> 'DELETE'""")
+def _(t):
+    # Three deliveries of a change log, the first repeated within the second; a DELETE ends a version.
+    kept = KeptHistory(shared_path(t.spark, "history"), "cust_id", "updated_at", "record_id", ["city", "operation"])
+    kept.create(t.upd, 16)
+    half = F.col("record_id") % 2 == 0
+    for number, delivery in enumerate([t.upd.where(half), t.upd.where(half | (F.col("city") == "view")), t.upd.where(~half)]):
+        kept.add(delivery, ("changes", number))
+    return kept.read(t.spark).where("operation <> 'DELETE'").drop("operation", "record_id")
+
+
 @query("z09_reconcile_revenue", """WITH v AS (SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN value::DECIMAL(18,2) END AS m,
     CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS copies FROM events),
     sides AS (SELECT CAST(ts AS DATE) AS day, m, copies, TRUE AS utc FROM v
