@@ -11,6 +11,14 @@ from millrace.functions.dates import calendar_fill, to_zone
 from millrace.operators.aggregates import merge_aggregate, money
 from millrace.operators.changes import apply_batches, dedup_latest, scd2
 from millrace.operators.quality import validate
+from millrace.operators.sketches import (
+    distinct_state,
+    estimated_distinct,
+    estimated_quantile,
+    merged_distinct,
+    merged_quantiles,
+    quantile_state,
+)
 from millrace.operators.topk import top_n_per_key
 from millrace.operators.windows import Split, SplitWindow, period_change, rolling_sum, sessionize
 from millrace.session import shared_path
@@ -31,6 +39,24 @@ def active_users(events: DataFrame, user: str, ts: str, grain: str, rsd: float =
     )
 
 
+def daily_states(events: DataFrame, user: str, ts: str, value: str) -> DataFrame:
+    """Per day: events, and mergeable states of its users and of `value`'s distribution."""
+    return events.groupBy(F.to_date(ts).alias("day")).agg(
+        F.count("*").alias("events"), distinct_state(user).alias("users"), quantile_state(value).alias("values")
+    )
+
+
+STATE_KINDS = {"events": "sum", "users": "distinct", "values": "quantiles"}
+
+
+def monthly_from_states(states: DataFrame, p: float) -> DataFrame:
+    """Events, users and the `p` quantile of each month, from the states of its days alone."""
+    return states.groupBy(F.trunc("day", "month").alias("month")).agg(
+        F.sum("events").alias("events"), estimated_distinct(merged_distinct("users")).alias("users"),
+        estimated_quantile(merged_quantiles("values"), p).alias("quantile"),
+    )
+
+
 def top_events(events: DataFrame, ts: str, kind: str, n: int) -> DataFrame:
     """The `n` most frequent kinds of event in each hour."""
     hour = F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import money
+from millrace.operators.sketches import fold_states
 from millrace.operators.windows import Split
 from millrace.plans import jobs
 from millrace.plans.registry import query
@@ -32,6 +33,36 @@ def _(t):
     return _active(t, "month")
 
 
+def _kept_states(t):
+    # A first load, and then the last ten days and stragglers of the days before, delivered twice.
+    late = (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")) | (F.col("value") > 30)
+    first, batch = (jobs.daily_states(t["events"].where(c), "user_id", "ts", "value") for c in (~late, late))
+    table = VersionedTable.create(first, shared_path(t.spark, "states"), ["day"])
+    for _ in range(2):
+        fold_states(table, batch, ["day"], jobs.STATE_KINDS, ("events", 1))
+    return table.read()
+
+
+@query("z01_mau_from_states", """SELECT CAST(date_trunc('month', ts) AS DATE)::VARCHAR AS month, count(*) AS events, TRUE AS users_close
+    FROM events GROUP BY 1""")
+def _(t):
+    # Within four standard errors of the exact number of users.
+    monthly = jobs.monthly_from_states(_kept_states(t), 0.9)
+    users = F.countDistinct("user_id").alias("n")
+    exact = t["events"].groupBy(F.date_trunc("month", "ts").cast("date").alias("month")).agg(users)
+    off = F.abs(F.col("users") - F.col("n")) / F.col("n")
+    return monthly.join(exact, "month").select("month", "events", (off <= 4 * 1.04 / 2**7).alias("users_close"))
+
+
+@query("z01_percentile_from_states", """SELECT CAST(date_trunc('month', ts) AS DATE)::VARCHAR AS month, TRUE AS rank_close FROM events GROUP BY 1""")
+def _(t):
+    monthly = jobs.monthly_from_states(_kept_states(t), 0.9).select("month", "quantile")
+    values = t["events"].select(F.date_trunc("month", "ts").cast("date").alias("month"), "value").join(F.broadcast(monthly), "month")
+    below, upto = F.avg((F.col("value") < F.col("quantile")).cast("double")), F.avg((F.col("value") <= F.col("quantile")).cast("double"))
+    ranks = values.groupBy("month").agg(below.alias("below"), upto.alias("upto"))
+    return ranks.select("month", ((F.col("below") <= 0.9 + 0.01) & (F.col("upto") >= 0.9 - 0.01)).alias("rank_close"))
+
+
 @query("z02_top_events", """SELECT hour::VARCHAR AS hour, event_type, events, position FROM (SELECT *, row_number() OVER
     (PARTITION BY hour ORDER BY events DESC, event_type) AS position FROM (SELECT date_trunc('hour', ts) AS hour, event_type,
     count(*) AS events FROM events GROUP BY ALL)) WHERE position <= 3""")
