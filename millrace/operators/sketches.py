@@ -43,7 +43,8 @@ def merged_quantiles(state: str, k: int = QUANTILE_K) -> Column:
 
 
 def estimated_quantile(state: Column, p: float) -> Column:
-    return F.kll_sketch_get_quantile_double(state, F.lit(p))
+    """Null for a state of no values."""
+    return F.when(F.kll_sketch_get_n_double(state) > 0, F.kll_sketch_get_quantile_double(state, F.lit(p)))
 
 
 # How a stored column is made one of several of its kind.
