@@ -293,7 +293,7 @@ def lexicon(texts: DataFrame) -> Model:
     """Words and stems with their weights, the log of their odds, and what is no misspelling of them, from rows (text, toxic).
     Equal texts count once."""
     distinct = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-    words = distinct.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)")))).alias("word"))
+    words = distinct.select("h", "toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)")))).alias("word"))
     totals = distinct.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")).first()
     n_toxic, n_other = totals["toxic"], totals["other"]
     known = dict.fromkeys(TERMS, TERM_WEIGHT)
@@ -308,11 +308,17 @@ def lexicon(texts: DataFrame) -> Model:
         return {r["word"]: math.log(r["odds"]) for r in top.collect()}
 
     lengths = F.sequence(F.lit(STEM_CHARS[0]), F.least(F.lit(STEM_CHARS[1]), F.length("word") - 1))
+    prefixes = F.explode(F.transform(lengths, lambda n: F.substr(F.col("word"), F.lit(1), n)))
+    long = F.length("word") > STEM_CHARS[0]
     stems = (
-        counts.where(F.length("word") > STEM_CHARS[0]).select(F.explode(F.transform(lengths, lambda n: F.substr(F.col("word"), F.lit(1), n))).alias("word"), "toxic", "other")
+        counts.where(long).select(prefixes.alias("word"), "toxic", "other")
         .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.count_if(F.col("toxic") > 0).alias("words"))
-        .where(F.col("words") >= STEM_WORDS)
+        .where((F.col("words") >= STEM_WORDS) & (F.col("toxic") >= least))
     )
+    # A text with many words of a stem is still one text: a stem has to occur in as many as a word has to.
+    held = words.where(long & (F.col("toxic") == 1)).select("h", prefixes.alias("word")).join(stems.select("word"), "word", "left_semi")
+    texts_of = held.groupBy("word").agg(F.countDistinct("h").alias("texts"))
+    stems = stems.join(texts_of.where(F.col("texts") >= least).select("word"), "word", "left_semi")
     seen = counts.where(F.col("word").isin(*TERMS)).withColumn("odds", odds(F.col("toxic"), F.col("other"), n_toxic, n_other))
     for r in seen.where((F.col("odds") < LEAST_ODDS) & (F.col("toxic") + F.col("other") >= LEAST_TEXTS)).collect():
         known.pop(r["word"])
