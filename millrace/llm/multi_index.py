@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from millrace.llm.common import written
 from millrace.llm.components import components
@@ -30,7 +31,7 @@ from millrace.llm.components import components
 # Most vectors, and most bytes of them, of the sample that codebooks and margin are fitted on.
 SAMPLE_ROWS = 20_000
 SAMPLE_BYTES = 32 << 20
-LEAST_PARTNERS = 4_000
+LEAST_PARTNERS = 20_000
 CELL_ROWS = 256
 MOST_CODES = 256
 # Residents of a cell that one task holds at a time, and visitors compared at once.
@@ -39,28 +40,43 @@ VISITORS = 512
 
 
 def prepared(df: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
-    """Per row: vec_id, label, dim, a key that equal vectors share, and the unit vector; the last
-    three are null for vectors that link with nothing."""
+    """Per row: vec_id, label, dim, a key that vectors of equal direction share, and the components as they
+    came (4 bytes each where they were floats); the last three are null for vectors that link with nothing."""
+    width = _width(df, vector_column)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for vec_id, label, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                raw = None
+                raw = given = None
                 if vec_id is not None and label is not None and vector.is_valid and not vector.values.null_count and len(vector.values):
-                    raw = vector.values.to_numpy(zero_copy_only=False) + 0.0
+                    given = vector.values.to_numpy(zero_copy_only=False) + 0.0
+                    raw = given
                     size = np.abs(raw).max()
                     raw = raw / size if np.isfinite(raw).all() and size > 0 else None
                 if raw is None:
                     rows.append((vec_id, label, None, None, None))
                 else:
                     unit = raw / np.sqrt(raw @ raw)
-                    rows.append((vec_id, label, len(unit), xxhash.xxh3_128_digest(unit.tobytes()), unit.tobytes()))
+                    rows.append((vec_id, label, len(unit), xxhash.xxh3_128_digest(unit.tobytes()), given.astype(width).tobytes()))
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary())
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["vec_id", "label", "dim", "key", "unit"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["vec_id", "label", "dim", "key", "raw"])
 
     plain = df.select(F.col(f"`{id_column}`").cast("long"), F.col(f"`{label_column}`").cast("string"), F.col(f"`{vector_column}`").cast("array<double>"))
-    return plain.toDF("vec_id", "label", "vector").mapInArrow(run, "vec_id long, label string, dim int, key binary, unit binary")
+    return plain.toDF("vec_id", "label", "vector").mapInArrow(run, "vec_id long, label string, dim int, key binary, raw binary")
+
+
+def _width(df: DataFrame, vector_column: str) -> str:
+    kind = df.schema[vector_column].dataType
+    return "<f4" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "<f8"
+
+
+def units(raw: list[bytes], width: str) -> np.ndarray:
+    """Unit vectors, in double precision, of components as `prepared` gives them."""
+    x = np.array([np.frombuffer(r, width) for r in raw]).astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def squared_distances(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -156,7 +172,7 @@ class Forest:
             self.parent = parent
 
 
-def _scan(grid, threshold: float):
+def _scan(grid, threshold: float, width: str):
     """Task code: residents of a chunk come first, then its visitors."""
     schema = ["kind", "a", "b"]
 
@@ -181,14 +197,14 @@ def _scan(grid, threshold: float):
             names = [batch.column(k).to_pylist() for k in range(5)]
             keys = list(zip(*names, strict=True))
             ids, counts = batch.column(5).to_numpy(), batch.column(6).to_numpy()
-            units, kinds = batch.column(7), batch.column(8).to_numpy()
+            raw, kinds = batch.column(7).to_pylist(), batch.column(8).to_numpy()
             out: list[tuple[int, np.ndarray, np.ndarray]] = []
             begin = 0
             while begin < len(keys):
                 end = begin + 1
                 while end < len(keys) and end - begin < VISITORS and keys[end] == keys[begin] and kinds[end] == kinds[begin]:
                     end += 1
-                vectors = np.array([np.frombuffer(units[k].as_py()) for k in range(begin, end)])
+                vectors = units(raw[begin:end], width)
                 if keys[begin] != key:
                     out += close()
                     key, held, visiting = keys[begin], [], False
@@ -227,11 +243,11 @@ class VectorLinks:
     not read; an empty table gives an empty result.
     """
 
-    def __init__(self, df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", threshold: float = 0.93, target_recall: float = 0.999):
-        self.threshold, self.target_recall = threshold, target_recall
+    def __init__(self, df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", threshold: float = 0.93, target_recall: float = 0.9999):
+        self.threshold, self.target_recall, self.width = threshold, target_recall, _width(df, vector_column)
         self.rows = written(prepared(df, id_column, vector_column, label_column), "vectors")
         valid = self.rows.where(F.col("key").isNotNull())
-        grouped = valid.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("unit").alias("unit"))
+        grouped = valid.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("raw").alias("raw"))
         self.classes = written(grouped, "classes")
         self.grids: dict[int, Grid] = {}
         found = None
@@ -244,25 +260,25 @@ class VectorLinks:
     def _compared(self, dim: int, n: int) -> DataFrame:
         rows = self.classes.where(F.col("dim") == dim)
         most = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dim)))
-        some = rows.select("unit").sample(min(1.0, 1.2 * most / n), seed=11).limit(most).collect() or rows.select("unit").limit(1).collect()
+        some = rows.select("raw").sample(min(1.0, 1.2 * most / n), seed=11).limit(most).collect() or rows.select("raw").limit(1).collect()
         codes = int(min(MOST_CODES, max(4, np.ceil(np.sqrt(n / CELL_ROWS)))))
-        grid = self.grids[dim] = Grid(np.array([np.frombuffer(r["unit"]) for r in some]), codes, self.threshold, self.target_recall)
-        shared = rows.sparkSession.sparkContext.broadcast(grid)
+        grid = self.grids[dim] = Grid(units([r["raw"] for r in some], self.width), codes, self.threshold, self.target_recall)
+        shared, width = rows.sparkSession.sparkContext.broadcast(grid), self.width
 
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g: Grid = shared.value
             for batch in batches:
                 for begin in range(0, batch.num_rows, 2048):
                     part = batch.slice(begin, 2048)
-                    excess = g.excess(np.array([np.frombuffer(u) for u in part.column(3).to_pylist()]))
+                    excess = g.excess(units(part.column(3).to_pylist(), width))
                     first, second = g.cells(excess)
                     row, i, j = g.visits(excess)
                     kinds = np.concatenate([np.zeros(len(first), np.int64), np.ones(len(row), np.int64)])
                     took = part.take(pa.array(np.concatenate([np.arange(len(first)), row])))
                     codes_of = [pa.array(np.concatenate(c), pa.int32()) for c in ((first, i), (second, j))]
-                    yield pa.RecordBatch.from_arrays([took.column(0), *codes_of, *took.columns[1:], pa.array(kinds)], names=["label", "i", "j", "node", "copies", "unit", "kind"])
+                    yield pa.RecordBatch.from_arrays([took.column(0), *codes_of, *took.columns[1:], pa.array(kinds)], names=["label", "i", "j", "node", "copies", "raw", "kind"])
 
-        placed = rows.select("label", "node", "copies", "unit").mapInArrow(visit, "label string, i int, j int, node long, copies long, unit binary, kind long")
+        placed = rows.select("label", "node", "copies", "raw").mapInArrow(visit, "label string, i int, j int, node long, copies long, raw binary, kind long")
         placed = written(placed, "placed")
         cell = ["label", "i", "j"]
         residents = placed.where(F.col("kind") == 0)
@@ -270,10 +286,10 @@ class VectorLinks:
         met = placed.join(sizes, cell)
         own = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")))
         met = met.withColumn("chunk", F.explode(F.when(F.col("kind") == 0, own).otherwise(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))))
-        ordered = met.select(*cell, "chunk", F.lit(dim).alias("dim"), "node", "copies", "unit", "kind")
+        ordered = met.select(*cell, "chunk", F.lit(dim).alias("dim"), "node", "copies", "raw", "kind")
         parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = ordered.repartition(parts, *cell, "chunk").sortWithinPartitions(*cell, "chunk", "kind")
-        return dealt.mapInArrow(_scan(shared, self.threshold), "kind long, a long, b long")
+        return dealt.mapInArrow(_scan(shared, self.threshold, width), "kind long, a long, b long")
 
     def vectors(self) -> DataFrame:
         """One row per input row: vec_id, n_links, component_id, kept."""
@@ -283,6 +299,6 @@ class VectorLinks:
             self.classes.join(counts, "node", "left").join(labels, "node", "left")
             .select("label", "dim", "key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "node").alias("component"))
         )
-        joined = self.rows.drop("unit").join(known, ["label", "dim", "key"], "left")
+        joined = self.rows.drop("raw").join(known, ["label", "dim", "key"], "left")
         component = F.coalesce("component", "vec_id")
         return joined.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
