@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import shared_path
@@ -23,6 +23,31 @@ BATCH_ROWS = 1_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+class Scope:
+    """The tables that `written` makes inside `with scope:`, which `drop` removes."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scope:
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        _SCOPES.remove(self)
+
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the tables; whatever was computed from them has to be stored by now."""
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in self.paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self.paths.clear()
+
+
+_SCOPES: list[Scope] = []
+
+
 def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """The same rows, computed now, in small batches where Python does it, and read back from Parquet in the shared folder."""
     spark = df.sparkSession
@@ -33,4 +58,6 @@ def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(_BATCH, before)
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
