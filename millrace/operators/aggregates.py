@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.skew import HOT_SHARE
 from millrace.operators.windows import Split, SplitWindow
+from millrace.session import stored
+
+# Rows of a hot key that a median is placed among at last, and the quantiles that narrow them at each step.
+BRACKET_ROWS = 100_000
+STEPS = 200
 
 
 def money(column: str | Column, scale: int = 2) -> Column:
@@ -125,28 +131,67 @@ def approx_distinct(df: DataFrame, column: str, keys: Sequence[str] = (), rsd: f
     return df.groupBy(*keys).agg(F.approx_count_distinct(column, rsd).alias("distinct_values"))
 
 
-def median_by(df: DataFrame, key: str, value: str, split: Split) -> DataFrame:
+def _brackets(rows: DataFrame, bracket_rows: int) -> DataFrame:
+    """Per key of `rows` (_key, _v): bounds around its middle values, with the rows below and inside.
+
+    Approximate quantiles of what is inside the bounds narrow them, until each
+    key has at most `bracket_rows` rows inside or its bounds stay. Bounds that
+    turn out to miss a middle rank are not taken.
+    """
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+    bounds = stored(rows.groupBy("_key").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n")).withColumns({"_below": F.lit(0).cast("bigint"), "_in": F.col("_n")}))
+    while True:
+        inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+        met = rows.join(F.broadcast(bounds), "_key").where(inside)
+        cuts = met.groupBy("_key").agg(F.percentile_approx("_v", [k / STEPS for k in range(STEPS + 1)], 10 * STEPS).alias("_q"))
+        at = lambda rank, step: F.element_at("_q", F.greatest(F.lit(1), F.least(F.lit(STEPS + 1), F.floor((rank - F.col("_below")) * STEPS / F.col("_in")) + 1 + step)).cast("int"))
+        tried = bounds.join(cuts, "_key").select("_key", "_n", at(low, -2).alias("_lo"), at(high, 2).alias("_hi"), F.struct("_lo", "_hi", "_below", "_in").alias("_old"))
+        counted = rows.join(F.broadcast(tried.select("_key", "_lo", "_hi")), "_key").groupBy("_key").agg(
+            F.count_if(F.col("_v") < F.col("_lo")).alias("_below"), F.count_if(inside).alias("_in")
+        )
+        sound = (F.col("_below") < low) & (high <= F.col("_below") + F.col("_in")) & (F.col("_in") < F.col("_old._in"))
+        narrowed = tried.join(counted, "_key").select("_key", "_n", *[F.when(sound, F.col(c)).otherwise(F.col("_old")[c]).alias(c) for c in ("_lo", "_hi", "_below", "_in")], sound.alias("_new"))
+        narrowed = stored(narrowed)
+        bounds = narrowed.drop("_new")
+        if narrowed.where(F.col("_new") & (F.col("_in") > bracket_rows)).isEmpty():
+            return bounds
+
+
+def median_by(df: DataFrame, key: str, value: str, split: Split, bracket_rows: int = BRACKET_ROWS) -> DataFrame:
     """Exact median per key.
 
-    Equal values collapse to a count first; running counts then place the middle
-    rows. A hot key's distinct values are spread by `split` (a slot of `value`),
-    so no task holds a whole group as the built-in exact median does.
+    Rows are counted per key once. A hot key's middle ranks are bracketed by
+    approximate quantiles, and what lies outside the brackets is only counted;
+    of the rest, equal values collapse to a count and running counts place the
+    middle ranks. So no task gets more than a key's bracket, or a key that is not
+    hot. Null values are left out; a null key is a key.
     """
-    present = df.where(F.col(value).isNotNull())
-    weights = present.groupBy(key, value).agg(F.count("*").alias("_w"))
-    placed = SplitWindow(weights, [key], [value], split).running(F.col("_w"), "_upto").frame()
-    sizes = weights.groupBy(key).agg(F.sum("_w").alias("_n"))
+    present = df.where(F.col(value).isNotNull()).select(F.struct(key).alias("_key"), F.col(value).alias("_v"))
+    sizes = stored(present.groupBy("_key").agg(F.count("*").alias("_n")))
+    plain, offsets = present, None
+    if split.hot_rows is not None:
+        total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        hot = sizes.where(F.col("_n") >= max(split.hot_rows, HOT_SHARE * total))
+        if not hot.isEmpty():
+            few = F.broadcast(hot.select("_key"))  # at most 1 / HOT_SHARE keys
+            rows = present.join(few, "_key", "left_semi")
+            offsets = _brackets(rows, bracket_rows)
+            inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+            middle = rows.join(F.broadcast(offsets.select("_key", "_lo", "_hi")), "_key").where(inside)
+            plain = present.join(few, "_key", "left_anti").unionByName(middle.select("_key", "_v"))
+    weights = plain.groupBy("_key", "_v").agg(F.count("*").alias("_w")).join(sizes, "_key")
+    if offsets is None:
+        weights = weights.withColumn("_below", F.lit(0).cast("bigint"))
+    else:
+        weights = weights.join(F.broadcast(offsets.select("_key", "_below")), "_key", "left").withColumn("_below", F.coalesce("_below", F.lit(0)))
+    upto = F.col("_below") + F.sum("_w").over(Window.partitionBy("_key").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = weights.withColumn("_upto", upto)
     # The middle ranks are (n + 1) div 2 and (n + 2) div 2, equal when n is odd.
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
     before = F.col("_upto") - F.col("_w")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((before < rank) & (rank <= F.col("_upto")), F.col(value)))
-
-    key_safe = F.struct(key).alias("_key")
-    joined = placed.select("*", key_safe).join(sizes.select("_n", key_safe), "_key")
-    joined = joined.where((before < high) & (F.col("_upto") >= low))
-    return joined.groupBy(key).agg(((at(low) + at(high)) / 2).alias("median"))
+    at = lambda rank: F.max(F.when((before < rank) & (rank <= F.col("_upto")), F.col("_v")))
+    found = placed.where((before < high) & (F.col("_upto") >= low)).groupBy("_key").agg(((at(low) + at(high)) / 2).alias("median"))
+    return found.select(F.col("_key")[key].alias(key), "median")
 
 
 def approx_percentile_by(df: DataFrame, keys: Sequence[str], value: str, p: float, accuracy: int = 10_000) -> DataFrame:

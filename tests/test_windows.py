@@ -99,6 +99,18 @@ def test_exact_median(facts, hot):
     assert same(got, want)
 
 
+@pytest.mark.parametrize("bracket", [1, 30])
+def test_exact_median_by_brackets(spark, bracket):
+    """One key with most rows and a very common value, one of an even count without ties, a null key, and small ones."""
+    n = F.col("id")
+    key = F.when(n % 10 < 6, 1).when(n % 10 == 6, 2).when(n % 10 != 7, 3 + n % 50)
+    value = F.when(key == 1, F.when(n % 3 == 0, 500).otherwise(n * 37 % 1000)).otherwise(n * 7919 % 100_003)
+    df = spark.range(40_000).select(key.alias("k"), F.when(n % 23 != 0, value.cast("double")).alias("v"))
+    got = aggregates.median_by(df, "k", "v", Split(hot_rows=3000), bracket)
+    assert same(got, df.where("v IS NOT NULL").groupBy("k").agg(F.median("v").alias("median")))
+    assert aggregates.median_by(df.where("k < 0"), "k", "v", Split(hot_rows=3000)).isEmpty()
+
+
 def test_lists_are_split_not_cut(facts):
     split = Split(F.trunc("d", "quarter"), hot_rows=100)
     lists = aggregates.ordered_list(facts, "k", "id", ["d", "id"], split, longest=50)
