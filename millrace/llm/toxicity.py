@@ -264,13 +264,15 @@ class Scorer:
             return 0.0, 0.0, 0.0, 0.0, 0.0
         places = list(WORD.finditer(lower))
         found = [(k, *hits[m[0]]) for k, m in enumerate(places) if m[0] in hits]
-        chance = min(1.0, CHANCE_WORDS * sum(agreeing > 0 for _, _, agreeing in found) / len(places))
+        misses = sum(agreeing > 0 for _, _, agreeing in found)
+        # The share of the near misses that is beyond what a text of this length has by chance.
+        beyond = max(0.0, 1 - len(places) / (CHANCE_WORDS * misses)) if misses else 0.0
         abusive = quoted = near = total = 0.0
         for k, weight, agreeing in found:
             window = self.quoted(lower, places, k)
             if agreeing:
                 near = max(near, weight)
-                weight *= chance * next((share for n, share in AGREEING if agreeing + (window < 0) >= n), 0.0)
+                weight *= beyond * next((share for n, share in AGREEING if agreeing + (window < 0) >= n), 0.0)
             if window > 0.9:
                 quoted = max(quoted, weight)
             else:
