@@ -1,10 +1,12 @@
 """Jaccard self-join of documents' word n-grams by several global token orders.
 
 Under any order of all n-grams, two sets with Jaccard >= t share a token in
-their first n - ceil(t * n) + 1 ones. Candidates come from one order, rare
-n-grams first, by a join on prefix tokens; a pair then has to share prefix
-tokens under two further, independent orders as well before its sets are
-fetched and compared.
+their first n - ceil(t * n) + 1 ones. Candidates come from one order: a band of
+hashes, some twice as wide as the prefix, comes first, within it the tokens of
+fewest documents, and the rest follows by hash. Only tokens of the band are
+counted, exactly and by one shuffle, so the order holds at any size. A pair then
+has to share prefix tokens under two further, independent orders as well before
+its sets are fetched and compared.
 
 Equal sets are one class from the start. Between classes, groups that share a
 token are first compared with one representative each (a linear number of
@@ -20,18 +22,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import written
 from millrace.llm.components import components
 
-# Counters of the frequency sketch: its size is fixed, so broadcasting it is bounded (one byte each).
-SKETCH_BITS = 22
+# Width of the band of hashes whose tokens are counted, in prefix lengths.
+BAND = 2
+# Classes with more rows than this (or than a 20,000th of the table) give their tokens once.
+MANY_COPIES = 100
+MOST_HOT_CLASSES = 20_000
+# One class in 256 is looked at to find tokens of very many documents, which are then counted without moving
+# their rows. At most MOST_HOT_TOKENS of them are broadcast; missing one costs time, no result.
+LOOK = 256
+HOT_IN_LOOK = 64
+MOST_HOT_TOKENS = 50_000
 BLOCK = 1 << 16
-# Bits of the filter that says whose sets are needed: 2 MB, whatever the table's size.
-FILTER_BITS = 24
+# Bits of the filter that says whose sets are needed, by number of ids: 32 KB to 16 MB.
+FILTER_BITS = range(18, 28)
 # Representatives of a token in a round: groups up to about this size are compared whole at once.
 REPRESENTATIVES = 16
 # Another round follows if at least this share of the pairs compared were links.
@@ -79,96 +88,58 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _signatures(df: DataFrame, size: int) -> DataFrame:
-    """Per document its set's size, hash and parities; per task also blocks of the frequency sketch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, held = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+def prefix_end(n: Column, percent: int) -> Column:
+    """`prefix_length` of a column."""
+    return n - F.ceil(percent * n / 100) + 1
 
-        def count() -> None:
-            np.add.at(counts, (np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
 
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens = shingle_set(text.as_py(), size)
-                rows.append((doc, len(tokens), set_hash(tokens), *parity(tokens), None, None))
-                waiting.append(tokens)
-                held += len(tokens)
-                if held > 1 << 18:
-                    count()
-                    waiting, held = [], 0
-            yield _rows(rows)
-        if waiting:
-            count()
-        pack = zstandard.ZstdCompressor(level=1).compress
-        blocks = [(k, counts[k * BLOCK:(k + 1) * BLOCK]) for k in range(len(counts) // BLOCK)]
-        if rows := [(*[None] * 7, k, pack(c.astype("<u4").tobytes())) for k, c in blocks if c.any()]:
-            yield _rows(rows)
+def band_end(percent: int) -> int:
+    """Hashes below it form the band."""
+    return min((1 << 64) - 1, (1 << 64) * BAND * (100 - percent) // 100)
 
-    def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (*[pa.int64()] * 7, pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n", "h", *PARITY, "block", "counts"])
 
-    return df.mapInArrow(run, f"doc_id long, n long, h long, {', '.join(f'{c} long' for c in PARITY)}, block int, counts binary")
+def leading(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The tokens of the band, and more by hash if they are fewer than the prefix; and how many are of the band."""
+    order = mixed(tokens, 1)
+    banded = int(np.count_nonzero(order < np.uint64(band_end(percent))))
+    first = np.argsort(order)[:max(banded, prefix_length(len(tokens), percent))]
+    return tokens[first], banded
 
 
-def _levels(signatures: DataFrame) -> bytes:
-    """How frequent each sketch counter's n-grams are, as one byte each on a log scale."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed.as_py()), "<u4").astype(np.uint64)
-                totals[k] = totals[k] + part if k in totals else part
-        if totals:
-            levels = [np.minimum(255, np.log2(t + np.uint64(1)) * 6).astype(np.uint8).tobytes() for t in totals.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(levels, pa.binary())], names=["block", "levels"])
-
-    blocks = signatures.where(F.col("block").isNotNull()).select("block", "counts").repartition(16, "block")
-    out = bytearray(1 << SKETCH_BITS)
-    for row in blocks.mapInArrow(add, "block int, levels binary").collect():
-        out[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = row["levels"]
-    return bytes(out)
-
-
-def _prefixes(df: DataFrame, size: int, percent: int, levels) -> DataFrame:
-    """The prefix of every document's set, rare n-grams first: token, its place, and the set's size and hash."""
+def _signatures(df: DataFrame, size: int, percent: int) -> DataFrame:
+    """Per document its set's size, hash and parities, and its leading tokens in order of their hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = np.frombuffer(levels.value, np.uint8)
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            held = 0
-            for text in batch.column(0):
+            rows, held = [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = shingle_set(text.as_py(), size)
-                if n := len(tokens):
-                    p = prefix_length(n, percent)
-                    first = np.lexsort((mixed(tokens, 1), rank[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:p]
-                    for column, values in zip(out, (tokens[first].view(np.int64), np.full(p, set_hash(tokens)), np.full(p, n), np.arange(p)), strict=True):
-                        column.append(values)
-                    held += p
+                first, banded = leading(tokens, percent) if len(tokens) else (tokens, 0)
+                rows.append((doc, len(tokens), set_hash(tokens), *parity(tokens), banded, first.view(np.int64)))
+                held += len(first)
                 if held > 200_000:
-                    yield _columns(out)
-                    out, held = [[], [], [], []], 0
-            if held:
-                yield _columns(out)
+                    yield _rows(rows)
+                    rows, held = [], 0
+            if rows:
+                yield _rows(rows)
 
-    def _columns(out: list[list[np.ndarray]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], names=["token", "h", "n", "place"])
+    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (*[pa.int64()] * 8, pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n", "h", *PARITY, "banded", "leading"])
 
-    return df.select("text").mapInArrow(run, "token long, h long, n long, place long")
+    return df.mapInArrow(run, f"doc_id long, n long, h long, {', '.join(f'{c} long' for c in PARITY)}, banded long, leading array<long>")
 
 
-def _places(ids: np.ndarray) -> np.ndarray:
-    """The filter's bits of each id, one row per hash."""
-    return np.stack([mixed(ids.astype(np.uint64), k) >> np.uint64(64 - FILTER_BITS) for k in (11, 12, 13)]).astype(np.int64)
+def _places(ids: np.ndarray, width: int) -> np.ndarray:
+    """The bits of each id in a filter of 2 ** width ones, one row per hash."""
+    return np.stack([mixed(ids.astype(np.uint64), k) >> np.uint64(64 - width) for k in (11, 12, 13)]).astype(np.int64)
 
 
-def _membership(nodes: DataFrame) -> bytes:
-    """A Bloom filter of fixed size over the ids: none is missing, and the more there are, the more others pass."""
+def _membership(nodes: DataFrame, width: int) -> bytes:
+    """A Bloom filter over the ids: none is missing; beyond some ten million ids, ever more others pass."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, np.bool_)
+        bits = np.zeros(1 << width, np.bool_)
         for batch in batches:
-            bits[_places(batch.column(0).to_numpy()).ravel()] = True
+            bits[_places(batch.column(0).to_numpy(), width).ravel()] = True
         packed = np.packbits(bits)
         parts = [(k, packed[k:k + BLOCK]) for k in range(0, len(packed), BLOCK)]
         if rows := [(k, p.tobytes()) for k, p in parts if p.any()]:
@@ -183,7 +154,7 @@ def _membership(nodes: DataFrame) -> bytes:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([p.tobytes() for p in out.values()], pa.binary())], names=["block", "bits"])
 
-    bits = bytearray((1 << FILTER_BITS) // 8)
+    bits = bytearray((1 << width) // 8)
     for row in nodes.mapInArrow(fill, "block int, bits binary").repartition(16, "block").mapInArrow(merge, "block int, bits binary").collect():
         bits[row["block"]:row["block"] + len(row["bits"])] = row["bits"]
     return bytes(bits)
@@ -196,7 +167,7 @@ def _sets(df: DataFrame, size: int, percent: int, member) -> DataFrame:
         for batch in batches:
             batch = batch.filter(batch.column(0).is_valid())
             ids = batch.column(0).to_numpy()
-            at = _places(ids)
+            at = _places(ids, (len(bits) * 8).bit_length() - 1)
             passed = np.flatnonzero((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(0)) if len(ids) else []
             rows, held = [], 0
             for k in passed:
@@ -236,23 +207,48 @@ class NgramJaccardJoin:
     def __init__(self, df: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, percent: int = 80):
         self.size, self.percent = size, percent
         self.docs = df.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-        signatures = written(_signatures(self.docs, size), "signatures")
-        self.rows = signatures.where(F.col("block").isNull()).select("doc_id", "n", "h", *PARITY)
+        self.signatures = written(_signatures(self.docs, size, percent), "signatures")
+        self.rows = self.signatures.select("doc_id", "n", "h", *PARITY)
         self.classes = written(
-            self.rows.where(F.col("n") > 0).groupBy("n", "h").agg(F.min("doc_id").alias("node"), *[F.first(b).alias(b) for b in PARITY]).where(F.col("node").isNotNull()),
+            self.rows.where(F.col("n") > 0).groupBy("n", "h")
+            .agg(F.min("doc_id").alias("node"), F.count("doc_id").alias("copies"), *[F.first(b).alias(b) for b in PARITY]).where(F.col("node").isNotNull()),
             "classes",
         )
-        self.levels = df.sparkSession.sparkContext.broadcast(_levels(signatures))
         self.shared = self._shared_tokens()
         self.sets: DataFrame | None = None
         self.links = self._links()
 
+    def _tokens(self) -> DataFrame:
+        """Leading tokens with their documents' sets: token, h, n, banded, pos."""
+        rows = self.classes.agg(F.sum("copies")).first()[0] or 0
+        many = F.broadcast(self.classes.where(F.col("copies") > max(MANY_COPIES, rows // MOST_HOT_CLASSES)).select("n", "h"))
+        known = self.signatures.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("n", "h", "banded", "leading")
+        once = known.join(many, ["n", "h"], "left_semi").groupBy("n", "h").agg(F.first("banded").alias("banded"), F.first("leading").alias("leading"))
+        kept = known.join(many, ["n", "h"], "left_anti").unionByName(once)
+        return kept.select("h", "n", "banded", F.posexplode("leading").alias("pos", "token"))
+
     def _shared_tokens(self) -> DataFrame:
-        """Prefix tokens that several classes hold: token, node, n, place."""
-        prefixes = written(_prefixes(self.docs.where(F.col("doc_id").isNotNull()), self.size, self.percent, self.levels), "prefixes")
-        several = prefixes.groupBy("token").agg(F.min("h").alias("low"), F.max("h").alias("high")).where(F.col("low") != F.col("high")).select("token")
-        found = prefixes.join(several, "token", "left_semi").distinct()  # copies of a text
-        return written(found.join(self.classes, ["n", "h"]).select(*SHARED), "shared")
+        """Prefix tokens that several classes hold: token, node, n, place.
+
+        Tokens of one class come first in the band, so of each class only the
+        others and their number are needed to place them.
+        """
+        tokens = self._tokens()
+        looked = tokens.where(F.pmod(F.xxhash64("h"), F.lit(LOOK)) == 0).select("token")
+        least = max(HOT_IN_LOOK, looked.count() // MOST_HOT_TOKENS + 1)
+        hot = written(looked.groupBy("token").count().where(F.col("count") >= least).select("token"), "hot-tokens")
+        counted = {"low": F.min("h"), "high": F.max("h"), "held": F.count("*")}
+        counts = tokens.join(F.broadcast(hot), "token").groupBy("token").agg(*[c.alias(name) for name, c in counted.items()])
+        by_token = Window.partitionBy("token")
+        rest = tokens.join(F.broadcast(hot), "token", "left_anti").select("*", *[c.over(by_token).alias(name) for name, c in counted.items()])
+        several = rest.unionByName(tokens.join(F.broadcast(counts), "token")).where(F.col("low") != F.col("high"))
+        one = several.groupBy("n", "h", "token").agg(F.first("banded").alias("banded"), F.first("pos").alias("pos"), F.first("held").alias("held"))  # copies of a text
+        in_band = F.col("pos") < F.col("banded")
+        of_set = Window.partitionBy("n", "h", in_band)
+        ahead = F.col("banded") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("held", "pos")) - 1
+        placed = one.select("n", "h", "token", F.when(in_band, ahead).otherwise(F.col("pos")).cast("long").alias("place"))
+        first = placed.where(F.col("place") < prefix_end(F.col("n"), self.percent))
+        return written(first.join(self.classes, ["n", "h"]).select(*SHARED), "shared")
 
     def _possible(self) -> Column:
         """Whether sizes, the places of the shared token and the parities leave room for enough common tokens.
@@ -271,9 +267,11 @@ class NgramJaccardJoin:
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
         nodes = written(nodes, "nodes")
-        if self.sets is not None and nodes.isEmpty():
+        missing = nodes.count()
+        if self.sets is not None and not missing:
             return
-        member = self.docs.sparkSession.sparkContext.broadcast(_membership(nodes))
+        width = min(max((missing * 16).bit_length(), FILTER_BITS[0]), FILTER_BITS[-1])
+        member = self.docs.sparkSession.sparkContext.broadcast(_membership(nodes, width))
         more = written(_sets(self.docs, self.size, self.percent, member).join(nodes, "node", "left_semi"), "sets")
         self.sets = more if self.sets is None else self.sets.unionByName(more)
 

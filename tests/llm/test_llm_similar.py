@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import edge_docs, edge_rows, no_docs, prose
+from millrace.llm import ngram_join
 from millrace.llm.components import components
 from millrace.llm.multi_index import Forest, Grid, VectorLinks
 from millrace.llm.ngram_join import NgramJaccardJoin, prefix_length, shingle_set
@@ -74,6 +75,23 @@ def test_links_equal_brute_force(spark, size, percent):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows, size, percent)
 
 
+def test_hot_tokens_and_copies_take_their_own_way(spark, monkeypatch):
+    passage = prose(80, 3)
+    texts = [f"{passage} {prose(12, 300 + k)}" for k in range(12)] + [f"{passage} {prose(12, 300)}"] * 9 + family(12, 3, 8) + [prose(40, k) for k in range(8)]
+    rows = [*enumerate(texts), (5, texts[5]), (None, texts[5])]
+    for name, value in {"LOOK": 1, "HOT_IN_LOOK": 3, "MANY_COPIES": 2}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    got = NgramJaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=80).documents().collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 80)
+
+
+def test_tokens_of_one_document_come_first(spark):
+    """Passages of up to 40 % of a text, shared by all, hold no prefix token; the rarest of the band do."""
+    passage = prose(80, 3)
+    rows = [(k, f"{passage} {prose(120, 400 + k)}") for k in range(40)]
+    assert NgramJaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"), size=5, percent=90).shared.count() < 200
+
+
 def test_edge_documents(spark):
     rows = [(r[0], r[1]) for r in edge_rows()]
     got = NgramJaccardJoin(edge_docs(spark), size=5, percent=80).documents().collect()
