@@ -21,7 +21,7 @@ from millrace.operators.sketches import (
 )
 from millrace.operators.topk import top_n_per_key
 from millrace.operators.windows import Split, SplitWindow, period_change, rolling_sum, sessionize
-from millrace.session import shared_path
+from millrace.session import shared_path, stored
 from millrace.sources.files import overwrite_partitions, write_parquet
 from millrace.sources.versions import VersionedTable
 
@@ -99,6 +99,39 @@ def land(
     return bad
 
 
+def land_new(
+    events: DataFrame, path: str, event_id: str, version: Sequence[str], ts: str, rules: dict[str, Column], batch: int, days_apart: int | None = 0
+) -> DataFrame:
+    """Add a delivery's valid events that were not landed before, with their `day` and `batch`; return its rejects.
+
+    The landed table knows its earlier deliveries: only the ids of events are
+    read from it, and only of the days within `days_apart` of the delivery's own
+    (None: of all days, for sources that repeat an event under another time). The
+    event that came first stays, missing ids count as one id, so a rule should
+    refuse them. A delivery adds folders of its own and shows as a whole or not
+    at all; a batch number not above the last one landed changes nothing. One job at a time
+    may land into a table.
+    """
+    good, bad = validate(events, rules)
+    dated = dedup_latest(good, event_id, version).withColumn("day", F.to_date(ts)).withColumn("batch", F.lit(batch).cast("long"))
+    table = VersionedTable(events.sparkSession, path)
+    if not table.numbers():
+        VersionedTable.create(dated.where("false"), path, ["day", "batch"])
+    base = table.manifest()
+    if base.tokens.get("landing", batch - 1) >= batch:
+        return bad
+    fresh = stored(dated)
+    labels = list(base.folders)
+    if days_apart is not None:
+        near = fresh.select(F.explode_outer(F.sequence(F.date_sub("day", days_apart), F.date_add("day", days_apart))).alias("day")).distinct()
+        days = table.labels(near.withColumn("batch", F.lit(None).cast("long")), base)
+        reached = {d.split("~")[0] for d in days}
+        labels = [name for name in labels if name.split("~")[0] in reached]
+    known = table.read(base, labels).select(F.col(event_id).alias("_known"))
+    table.replace(fresh.join(known, F.col(event_id).eqNullSafe(F.col("_known")), "left_anti"), base=base, token=("landing", batch))
+    return bad
+
+
 def daily_totals(events: DataFrame, ts: str, kind: str, value: str) -> DataFrame:
     """Count and exact sum per day and kind of event."""
     return events.groupBy(F.to_date(ts).alias("day"), kind).agg(

@@ -105,6 +105,19 @@ def _(t):
     return both.groupBy("kind", "day").agg(F.count("*").alias("rows"), F.sum(money("value")).alias("total"))
 
 
+@query("z04_land_new", """SELECT CAST(ts AS DATE)::VARCHAR AS day, CASE WHEN value > 30 THEN 1 ELSE 2 END AS batch, count(*) AS rows,
+    sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events WHERE event_type <> 'error' GROUP BY ALL""")
+def _(t):
+    # The second delivery repeats the first one, the third all of both.
+    events = t["events"].drop("props").withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id")))
+    rules = {"user": F.col("user_id").isNotNull(), "ts": F.col("ts").isNotNull()}
+    path = shared_path(t.spark, "landing")
+    for batch, delivered in enumerate([events.where(F.col("value") > 30), events, events], 1):
+        jobs.land_new(delivered, path, "event_id", ["ts"], "ts", rules, batch)
+    landed = VersionedTable(t.spark, path).read()
+    return landed.groupBy("day", "batch").agg(F.count("*").alias("rows"), F.sum(money("value")).alias("total"))
+
+
 @query("z05_daily_summary", """SELECT CAST(ts AS DATE)::VARCHAR AS day, event_type, count(*) AS events,
     sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY ALL""")
 def _(t):

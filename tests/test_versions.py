@@ -8,7 +8,7 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ROOT, same
+from conftest import ROOT, plan_of, same
 from millrace.plans import jobs
 from millrace.sources.keyed import read_keyed, upsert_keyed, write_keyed
 from millrace.sources.versions import StaleVersion, VersionedTable
@@ -124,3 +124,42 @@ def test_a_killed_upsert_leaves_the_old_version_whole(spark, new_path, tmp_path)
     # What the dead job had written is gone as well.
     loads = {f.split("/")[1] for f in VersionedTable(spark, path).manifest().folders.values()}
     assert set(os.listdir(f"{path}/data")) == loads
+
+
+def test_landing_knows_earlier_deliveries(spark, new_path):
+    def land(rows, batch, **kw):
+        events = spark.createDataFrame(rows, "event_id long, at string, v int").withColumn("at", F.col("at").cast("timestamp_ntz"))
+        return jobs.land_new(events, path, "event_id", ["v"], "at", {"at": F.col("at").isNotNull()}, batch, **kw)
+
+    def landed():
+        return sorted((r["event_id"], str(r["day"]), r["v"], r["batch"]) for r in VersionedTable(spark, path).read().collect())
+
+    path = new_path()
+    first = [(1, "2024-01-01 10:00", 1), (1, "2024-01-01 11:00", 2), (2, "2024-01-02 00:00", 1), (3, None, 1)]
+    assert [r["event_id"] for r in land(first, 1).collect()] == [3]
+    held = [(1, "2024-01-01", 2, 1), (2, "2024-01-02", 1, 1)]
+    assert landed() == held
+    land(first, 2)
+    land([(9, "2024-01-01 10:00", 1)], 2)  # number two has been landed
+    land([], 3)
+    assert landed() == held
+    land([(1, "2024-01-01 12:00", 7), (4, "2024-01-01 12:00", 7), (2, "2024-01-03 12:00", 7)], 4, days_apart=1)
+    held = [*held, (4, "2024-01-01", 7, 4)]
+    assert landed() == held
+    land([(2, "2024-02-01 12:00", 8)], 5, days_apart=None)
+    assert landed() == held
+    land([(2, "2024-02-01 12:00", 8)], 6)  # another day, which the caller says can't be
+    assert landed() == sorted([*held, (2, "2024-02-01", 8, 6)])
+
+
+def test_landing_reads_ids_of_the_days_in_reach_only(spark, new_path, monkeypatch):
+    path, rules, seen = new_path(), {}, []
+    days = spark.range(0, 60).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 20 as int))").alias("at"))
+    jobs.land_new(days, path, "event_id", ["at"], "at", rules, 1)
+    replace = VersionedTable.replace
+    monkeypatch.setattr(VersionedTable, "replace", lambda self, df, *a, **kw: seen.append(df) or replace(self, df, *a, **kw))
+    jobs.land_new(days.where("event_id % 20 = 3"), path, "event_id", ["at"], "at", rules, 2)
+    files = [f for f in seen[0].inputFiles() if "_label=" in f]
+    assert files and all("2024-01-04" in f for f in files)
+    assert "ReadSchema: struct<event_id:bigint>" in plan_of(seen[0])
+    assert VersionedTable(spark, path).read().count() == 60
