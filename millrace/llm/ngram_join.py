@@ -282,7 +282,9 @@ class NgramJaccardJoin:
             pairs.join(ends.toDF("a", "second_a", "third_a"), "a").join(ends.toDF("b", "second_b", "third_b"), "b")
             .where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b")
         )
-        full = self.sets.select("node", "tokens")
+        near = written(near, "near")  # small and of known size: only sets of its documents are shuffled
+        needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        full = self.sets.select("node", "tokens").join(needed, "node", "left_semi")
         common = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
         union = F.size("tokens_a") + F.size("tokens_b") - common
         return near.join(full.toDF("a", "tokens_a"), "a").join(full.toDF("b", "tokens_b"), "b").where(100 * common >= self.percent * union).select("a", "b")
