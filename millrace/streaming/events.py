@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -80,36 +81,67 @@ def enrich(stream: DataFrame, dim: DataFrame, on: str) -> DataFrame:
 
 
 class _RunningTotals(StatefulProcessor):
-    """Count and sum per key, given out again whenever they change."""
+    """Count and sum per key from partial ones, given out again whenever they change."""
 
-    def __init__(self, value: str, key_names: list[str], ttl_ms: int | None):
-        self._value, self._names, self._ttl = value, key_names, ttl_ms
+    def __init__(self, key: str, ttl_ms: int | None):
+        self._row, self._ttl = Row(key, "shard", "n", "total"), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("totals", "n long, total double", self._ttl)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, total = self._state.get() if self._state.exists() else (0, 0.0)
-        for batch in rows:
-            n, total = n + len(batch), total + float(batch[self._value].sum())
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        n, total = self._state.get() or (0, None)
+        for row in rows:
+            n += row["n"]
+            if row["total"] is not None:
+                total = row["total"] + (total or 0.0)
         self._state.update((n, total))
-        yield pd.DataFrame({**{c: [v] for c, v in zip(self._names, key)}, "n": [n], "total": [total]})
+        yield self._row(*key, n, total)
 
     def close(self) -> None:
         pass
 
 
+# Rows a task adds up before it passes their partial totals on, and rows of a key among them that make it a hot one.
+PARTIAL_ROWS = 1 << 20
+HOT_ROWS = 10_000
+
+
+def _partial_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count and sum per key of each stretch of a task's rows (key, shard, value). Keys not hot there have shard 0."""
+    def added_up(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        key = rows.column_names[0]
+        sums = rows.group_by(key, use_threads=False).aggregate([("shard", "first"), ("value", "count", pc.CountOptions(mode="all")), ("value", "sum")])
+        n = sums["value_count"]
+        shard = pc.if_else(pc.greater_equal(n, HOT_ROWS), sums["shard_first"], pa.scalar(0, pa.int64()))
+        yield from pa.table([sums[key], shard, n, sums["value_sum"]], names=[key, "shard", "n", "total"]).to_batches()
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= PARTIAL_ROWS:
+            yield from added_up(held)
+            held, n = [], 0
+    if n:
+        yield from added_up(held)
+
+
 def running_state(df: DataFrame, key: str, value: str, row_id: str, shards: int = 8, ttl_ms: int | None = None) -> DataFrame:
     """Running count and sum per (key, shard), kept until idle for `ttl_ms`.
 
-    A key's rows are spread over `shards` states, so a hot key is not one task's
-    work; `combine_shards` adds them up. Run it in update mode.
+    Tasks add up their rows first, so the state is asked once per key and
+    micro-batch, and a hot key's rows don't move. A key has one state unless it
+    is hot; then its partial totals are spread over `shards`. `combine_shards`
+    adds them up. Run it in update mode.
     """
-    sharded = df.select(key, row_salt([row_id], shards).alias("shard"), value)
-    key_type = dict(sharded.dtypes)[key]
-    return sharded.groupBy(key, "shard").transformWithStateInPandas(
-        statefulProcessor=_RunningTotals(value, [key, "shard"], ttl_ms),
-        outputStructType=f"{key} {key_type}, shard bigint, n bigint, total double",
+    key_type = dict(df.dtypes)[key]
+    sharded = df.select(key, row_salt([row_id], shards).cast("long").alias("shard"), F.col(value).cast("double").alias("value"))
+    partial = sharded.mapInArrow(_partial_totals, f"`{key}` {key_type}, shard long, n long, total double")
+    return partial.groupBy(key, "shard").transformWithState(
+        statefulProcessor=_RunningTotals(key, ttl_ms),
+        outputStructType=f"`{key}` {key_type}, shard bigint, n bigint, total double",
         outputMode="update",
         timeMode="processingTime" if ttl_ms else "none",
     )

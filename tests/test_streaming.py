@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,25 @@ def test_running_state_carries_over(spark, feed, new_path, ttl):
     assert rows(got) == [(1, 3, 7.0), (2, 1, 5.0)]
 
 
+def test_running_state_is_kept_once_per_key(spark, feed, new_path):
+    _, add, events = feed
+    add(*[(k, k % 2, "00:10", 1) for k in range(100)])
+    out = new_path()
+    with stream.rocksdb_state(spark):
+        query = runs.run_mode(stream.running_state(events(), "user_id", "value", "event_id"), "update", out, new_path())
+    assert runs.state_report(query).agg(F.max("rows")).first()[0] == 2
+    assert rows(stream.combine_shards(spark.read.parquet(out), "user_id")) == [(0, 50, 50.0), (1, 50, 50.0)]
+
+
+def test_partial_totals_spread_hot_keys_and_keep_nulls():
+    n = stream.HOT_ROWS
+    keys, shards = pa.array([7] * n + [None, 8], pa.int64()), pa.array([5] * (n + 2), pa.int64())
+    values = pa.array([0.5] * n + [2.0, None], pa.float64())
+    batch = pa.RecordBatch.from_arrays([keys, shards, values], names=["user_id", "shard", "value"])
+    got = [tuple(r.values()) for part in stream._partial_totals(iter([batch])) for r in part.to_pylist()]
+    assert got == [(7, 5, n, n / 2), (None, 0, 1, 2.0), (8, 0, 1, None)]
+
+
 def test_stream_join_equals_batch(spark, feed, new_path):
     _, add, events = feed
     add((1, 1, "00:10", 1), (2, 1, "00:50", 1), (3, 2, "01:00", 1))
