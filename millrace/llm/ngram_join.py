@@ -294,34 +294,40 @@ class NgramJaccardJoin:
         met = left.alias("l").join(right.alias("r"), (F.col("l.token") == F.col("r.token")) & labels & self._possible())
         return written(met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct(), "pairs")
 
-    def _open(self, labelled: DataFrame) -> tuple[DataFrame, int]:
-        """The rows of tokens that documents of different labels hold, and how many such pairs they form."""
+    def _open(self, labelled: DataFrame) -> tuple[DataFrame, int, int]:
+        """The rows of tokens that documents of different labels hold, their number, and how many such pairs they form."""
         parts = labelled.groupBy("token", "label").agg(F.count("*").cast("double").alias("c"))
         tokens = parts.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels")).where(F.col("labels") > 1)
-        rest = written(labelled.join(tokens.select("token", ((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")), "token"), "open")
-        totals = rest.groupBy("token").agg(F.max("pairs").alias("pairs")).agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("n")).first()
-        return rest.drop("pairs"), int(totals["n"])
+        tokens = written(tokens.select("token", "m", ((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs")), "open-tokens")
+        totals = tokens.agg(F.coalesce(F.sum("m"), F.lit(0.0)).alias("rows"), F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs")).first()
+        return written(labelled.join(tokens.select("token"), "token"), "open"), int(totals["rows"]), int(totals["pairs"])
 
     def _links(self) -> DataFrame:
         """Links enough to connect every component (a, b).
 
         Rounds with a few representatives per token, others each round, go on as
-        long as a good part of their pairs are links; all pairs of different
-        components then left are compared.
+        long as a good part of their pairs are links and the pairs of different
+        components still left are many: more than another round would form, and
+        by the share of this round's pairs that stayed apart, more than a pair a
+        row to compare. Then all those left are compared.
         """
         links = self.docs.sparkSession.createDataFrame([], "a long, b long")
-        rest, left = self._open(self.shared.withColumn("label", F.col("node")))
-        rows, seed = rest.count(), 0
-        while left > rows:
+        rest, rows, left = self._open(self.shared.withColumn("label", F.col("node")))
+        seed = 0
+        while left > REPRESENTATIVES * rows:
             drawn = rest.withColumn("draw", F.xxhash64("node", F.lit(seed)))
             first = F.min(F.struct("draw", *SHARED[1:], "label")).alias("r")
             chosen = drawn.groupBy("token", F.pmod("draw", F.lit(REPRESENTATIVES)).alias("k")).agg(first).select("token", "r.*")
             pairs = self._pairs(rest, chosen, F.col("l.label") != F.col("r.label"))
             found = self._compared(pairs)
             links, seed = links.unionByName(found), seed + 1
-            labelled = rest.drop("label").join(components(links), "node", "left").select(*SHARED, F.coalesce("component", "node").alias("label"))
-            rest, left = self._open(labelled)
-            if found.count() <= WORTH_A_ROUND * pairs.count():
+            whole, formed = components(links), REPRESENTATIVES * rows
+            labelled = rest.drop("label").join(whole, "node", "left").select(*SHARED, F.coalesce("component", "node").alias("label"))
+            rest, rows, left = self._open(written(labelled, "labelled"))  # read twice
+            ends = [whole.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"]
+            of = [F.coalesce(f"of_{c}", c) for c in "ab"]
+            apart = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left").where(of[0] != of[1]).count()
+            if found.count() <= WORTH_A_ROUND * pairs.count() or apart * left <= rows * formed:
                 break
         return links.unionByName(self._compared(self._pairs(rest, rest, F.col("l.label") < F.col("r.label"))))
 

@@ -34,6 +34,15 @@ def test_components(spark, links):
     assert got == least([(a, b) for a, b in links if a != b], ends)
 
 
+def test_components_of_many_links_equal_those_of_one_task(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(-50, 400), rng.randrange(-50, 400)) for _ in range(250)] + [(k, k + 1) for k in range(1000, 1040)]
+    frame = spark.createDataFrame([*links, (None, 1), (7, 7)], "a long, b long")
+    got = [dict(tuple(r) for r in components(frame, most).collect()) for most in (0, 1000)]
+    ends = {n for a, b in links if a != b for n in (a, b)}
+    assert got == [least([(a, b) for a, b in links if a != b], ends)] * 2
+
+
 def shingles(text, size):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))) if words else frozenset()
@@ -64,6 +73,17 @@ def family(n, edits, seed):
     return out
 
 
+def test_a_passage_of_unlike_documents_takes_no_further_round(spark, monkeypatch):
+    passage = prose(60, 99)
+    texts = family(60, 1, 1) + [f"{passage} {prose(12, 200 + k)}" for k in range(120)]
+    rows = list(enumerate(texts))
+    labels = []
+    monkeypatch.setattr(ngram_join, "written", lambda df, label, plain=ngram_join.written: labels.append(label) or plain(df, label))
+    got = NgramJaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=90).documents().collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 90)
+    assert labels.count("pairs") == 2  # one round, then all that is left
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (1, 50)])
 def test_links_equal_brute_force(spark, size, percent):
     texts = family(25, 4, 1) + family(25, 9, 2) + [prose(100, k) for k in range(30)] + ["a b", "A B", "a b c", "", None, "a b c d e f g h i", "a b c d e f g h i j"]
