@@ -1,15 +1,20 @@
 """Jaccard self-join of documents' word n-grams by several global token orders.
 
-Under any order of all n-grams, two sets with Jaccard >= t share a token in
-their first n - ceil(t * n) + 1 ones. Candidates come from one order: a band of
-hashes, some twice as wide as the prefix, comes first, within it the tokens of
-fewest documents, and the rest follows by hash. Only tokens of the band are
-counted, exactly and by one shuffle, so the order holds at any size. A pair then
-has to share prefix tokens under two further, independent orders as well before
-its sets are fetched and compared.
+Two sets of n1 and n2 tokens with Jaccard >= t differ in at most
+d = (1 - t) / (1 + t) * (n1 + n2) tokens. Cut the range of hashes into more than
+d parts, each the head of an order of its own that begins with its tokens: a
+differing token changes one head, so at least one of any d + 1 heads is equal in
+both sets. A set gives its d + 1 fullest heads as signatures, by an order of
+heads that all sets agree on, so similar sets meet. Heads hold several tokens, so
+texts that share a token by chance don't meet, however many texts there are. As d
+depends on the sizes, a set does so in each interval of sizes that it may share
+with a similar one. Where too few heads hold tokens, sets give their prefixes too:
+the first n - ceil(t * n) + 1 tokens of one order, in which similar sets meet as
+well. A pair then has to share prefix tokens under two further, independent orders
+before its sets are fetched and compared.
 
 Equal sets are one class from the start. Between classes, groups that share a
-token are first compared with one representative each (a linear number of
+signature are first compared with one representative each (a linear number of
 pairs); pairs of members are formed only where representatives have not already
 shown that both lie in one component. So a large group of near copies needs few
 pairs, and no link between components is lost.
@@ -17,7 +22,9 @@ pairs, and no link between components is lost.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +35,14 @@ from pyspark.sql import functions as F
 from millrace.llm.common import written
 from millrace.llm.components import components
 
-# Width of the band of hashes whose tokens are counted, in prefix lengths.
-BAND = 2
-# Classes with more rows than this (or than a 20,000th of the table) give their tokens once.
+# An interval of sizes begins at this share of the one before; the parts of the range are this share of the signatures.
+NEXT_SIZE = (4, 3)
+PARTS = (3, 2)
+MOST_TOKENS = 1 << 40
+# Classes with more rows than this (or than a 20,000th of the table) give their signatures once.
 MANY_COPIES = 100
 MOST_HOT_CLASSES = 20_000
-# One class in 256 is looked at to find tokens of very many documents, which are then counted without moving
+# One class in 256 is looked at to find signatures of very many documents, which are then counted without moving
 # their rows. At most MOST_HOT_TOKENS of them are broadcast; missing one costs time, no result.
 LOOK = 256
 HOT_IN_LOOK = 64
@@ -41,12 +50,13 @@ MOST_HOT_TOKENS = 50_000
 BLOCK = 1 << 16
 # Bits of the filter that says whose sets are needed, by number of ids: 32 KB to 16 MB.
 FILTER_BITS = range(18, 28)
-# Representatives of a token in a round: groups up to about this size are compared whole at once.
-REPRESENTATIVES = 16
+# Representatives of a signature in a round: groups up to about this size are compared whole at once. Near copies
+# share most of their signatures, so few do.
+REPRESENTATIVES = 8
 # Another round follows if at least this share of the pairs compared were links.
 WORTH_A_ROUND = 0.1
 PARITY = ("b0", "b1", "b2", "b3")
-SHARED = ("token", "node", "n", "place", *PARITY)
+SHARED = ("token", "node", "n", *PARITY)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -88,34 +98,59 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefix_end(n: Column, percent: int) -> Column:
-    """`prefix_length` of a column."""
-    return n - F.ceil(percent * n / 100) + 1
+@cache
+def intervals(percent: int) -> list[tuple[int, int, int]]:
+    """Intervals of sizes (first, last, d) of which one holds any two similar sets; such sets differ in at most d tokens.
 
-
-def band_end(percent: int) -> int:
-    """Hashes below it form the band."""
-    return min((1 << 64) - 1, (1 << 64) * BAND * (100 - percent) // 100)
-
-
-def leading(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The tokens of the band, and more by hash if they are fewer than the prefix; and how many are of the band."""
-    order = mixed(tokens, 1)
-    banded = int(np.count_nonzero(order < np.uint64(band_end(percent))))
-    first = np.argsort(order)[:max(banded, prefix_length(len(tokens), percent))]
-    return tokens[first], banded
+    The smaller set is below the next interval's first size.
+    """
+    out, first = [], 1
+    while first < MOST_TOKENS:
+        after = max(first + 1, first * NEXT_SIZE[0] // NEXT_SIZE[1])
+        last = (after - 1) * 100 // percent
+        out.append((first, last, (100 - percent) * (after - 1 + last) // (100 + percent)))
+        first = after
+    return out
+
+
+@lru_cache(512)
+def parts(at: int, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of an interval's range end, the last aside, and a mark of each part."""
+    n = -(-(d + 1) * PARTS[0] // PARTS[1])
+    return np.arange(1, n, dtype=np.uint64) * np.uint64((1 << 64) // n), mixed(np.arange(n, dtype=np.uint64) + np.uint64(at << 50), 6)
+
+
+def heads(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """The signatures of a set, given its tokens in order; similar sets that aren't equal have one in common."""
+    n, known = len(tokens), intervals(percent)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(tokens, 7))])
+    out, whole = [np.zeros(0, np.uint64)], True
+    at = bisect_right(known, (n, MOST_TOKENS * 200, 0)) - 1
+    while at >= 0 and known[at][1] >= n:
+        if d := known[at][2]:  # sets that differ in none are equal
+            limits, marks = parts(at, d)
+            ends = np.concatenate([[0], np.searchsorted(tokens, limits), [n]])
+            held = np.diff(ends)
+            fullest = np.argsort((held.astype(np.uint64) << np.uint64(24)) | (marks >> np.uint64(40)), kind="stable")[-(d + 1):]
+            chosen = fullest[held[fullest] > 0]
+            whole &= len(chosen) > d
+            out.append(mixed(sums[ends[chosen + 1]] - sums[ends[chosen]] + marks[chosen]))
+        at -= 1
+    if not whole:
+        out.append(mixed(tokens[:prefix_length(n, percent)], 9))
+    return np.concatenate(out)
 
 
 def _signatures(df: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per document its set's size, hash and parities, and its leading tokens in order of their hashes."""
+    """Per document its set's size, hash, parities and signatures."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, held = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = shingle_set(text.as_py(), size)
-                first, banded = leading(tokens, percent) if len(tokens) else (tokens, 0)
-                rows.append((doc, len(tokens), set_hash(tokens), *parity(tokens), banded, first.view(np.int64)))
-                held += len(first)
+                signs = heads(tokens, percent) if len(tokens) else tokens
+                rows.append((doc, len(tokens), set_hash(tokens), *parity(tokens), signs.view(np.int64)))
+                held += len(signs)
                 if held > 200_000:
                     yield _rows(rows)
                     rows, held = [], 0
@@ -123,10 +158,10 @@ def _signatures(df: DataFrame, size: int, percent: int) -> DataFrame:
                 yield _rows(rows)
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (*[pa.int64()] * 8, pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n", "h", *PARITY, "banded", "leading"])
+        kinds = (*[pa.int64()] * 7, pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n", "h", *PARITY, "signs"])
 
-    return df.mapInArrow(run, f"doc_id long, n long, h long, {', '.join(f'{c} long' for c in PARITY)}, banded long, leading array<long>")
+    return df.mapInArrow(run, f"doc_id long, n long, h long, {', '.join(f'{c} long' for c in PARITY)}, signs array<long>")
 
 
 def _places(ids: np.ndarray, width: int) -> np.ndarray:
@@ -219,47 +254,41 @@ class NgramJaccardJoin:
         self.links = self._links()
 
     def _tokens(self) -> DataFrame:
-        """Leading tokens with their documents' sets: token, h, n, banded, pos."""
+        """Signatures with the hashes of their documents' sets: h, token."""
         rows = self.classes.agg(F.sum("copies")).first()[0] or 0
         many = F.broadcast(self.classes.where(F.col("copies") > max(MANY_COPIES, rows // MOST_HOT_CLASSES)).select("n", "h"))
-        known = self.signatures.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("n", "h", "banded", "leading")
-        once = known.join(many, ["n", "h"], "left_semi").groupBy("n", "h").agg(F.first("banded").alias("banded"), F.first("leading").alias("leading"))
+        known = self.signatures.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("n", "h", "signs")
+        once = known.join(many, ["n", "h"], "left_semi").groupBy("n", "h").agg(F.first("signs").alias("signs"))
         kept = known.join(many, ["n", "h"], "left_anti").unionByName(once)
-        return kept.select("h", "n", "banded", F.posexplode("leading").alias("pos", "token"))
+        return kept.select("h", F.explode("signs").alias("token"))
 
     def _shared_tokens(self) -> DataFrame:
-        """Prefix tokens that several classes hold: token, node, n, place.
-
-        Tokens of one class come first in the band, so of each class only the
-        others and their number are needed to place them.
-        """
+        """Signatures that several classes hold: token, node, n and parities. Of signatures of the same classes, one is kept."""
         tokens = self._tokens()
         looked = tokens.where(F.pmod(F.xxhash64("h"), F.lit(LOOK)) == 0).select("token")
         least = max(HOT_IN_LOOK, looked.count() // MOST_HOT_TOKENS + 1)
         hot = written(looked.groupBy("token").count().where(F.col("count") >= least).select("token"), "hot-tokens")
-        counted = {"low": F.min("h"), "high": F.max("h"), "held": F.count("*")}
-        counts = tokens.join(F.broadcast(hot), "token").groupBy("token").agg(*[c.alias(name) for name, c in counted.items()])
+        # The holders as a set: their number and two sums of 32 bits each of another hash.
+        own, half = F.xxhash64("h"), F.lit((1 << 32) - 1)
+        holders = {"low": F.min("h"), "high": F.max("h"), "held": F.count("*"), "sum1": F.sum(own.bitwiseAND(half)), "sum2": F.sum(F.shiftrightunsigned(own, 32))}
+        counts = tokens.join(F.broadcast(hot), "token").groupBy("token").agg(*[c.alias(name) for name, c in holders.items()])
         by_token = Window.partitionBy("token")
-        rest = tokens.join(F.broadcast(hot), "token", "left_anti").select("*", *[c.over(by_token).alias(name) for name, c in counted.items()])
-        several = rest.unionByName(tokens.join(F.broadcast(counts), "token")).where(F.col("low") != F.col("high"))
-        one = several.groupBy("n", "h", "token").agg(F.first("banded").alias("banded"), F.first("pos").alias("pos"), F.first("held").alias("held"))  # copies of a text
-        in_band = F.col("pos") < F.col("banded")
-        of_set = Window.partitionBy("n", "h", in_band)
-        ahead = F.col("banded") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("held", "pos")) - 1
-        placed = one.select("n", "h", "token", F.when(in_band, ahead).otherwise(F.col("pos")).cast("long").alias("place"))
-        first = placed.where(F.col("place") < prefix_end(F.col("n"), self.percent))
-        return written(first.join(self.classes, ["n", "h"]).select(*SHARED), "shared")
+        rest = tokens.join(F.broadcast(hot), "token", "left_anti").select("*", *[c.over(by_token).alias(name) for name, c in holders.items()])
+        several = rest.unionByName(tokens.join(F.broadcast(counts), "token")).where(F.col("low") != F.col("high")).drop("low", "high")
+        several = written(several, "several")
+        kept = several.groupBy("held", "sum1", "sum2").agg(F.min("token").alias("token")).select("token")
+        one = several.join(kept, "token", "left_semi").select("token", "h").distinct()  # copies of a text
+        return written(one.join(self.classes, "h").select(*SHARED), "shared")
 
     def _possible(self) -> Column:
-        """Whether sizes, the places of the shared token and the parities leave room for enough common tokens.
+        """Whether sizes and parities leave room for enough common tokens.
 
         Bits in which the parities differ are tokens that only one of the sets has.
         """
         n1, n2 = F.col("l.n"), F.col("r.n")
         sizes = (100 * F.least(n1, n2)) >= (self.percent * F.greatest(n1, n2))
-        places = (100 + self.percent) * F.least(n1 - F.col("l.place"), n2 - F.col("r.place")) >= self.percent * (n1 + n2)
         differing = sum((F.bit_count(F.col(f"l.{b}").bitwiseXOR(F.col(f"r.{b}"))) for b in PARITY[1:]), F.bit_count(F.col("l.b0").bitwiseXOR(F.col("r.b0"))))
-        return sizes & places & ((100 + self.percent) * differing <= (100 - self.percent) * (n1 + n2))
+        return sizes & ((100 + self.percent) * differing <= (100 - self.percent) * (n1 + n2))
 
     def _fetch(self, pairs: DataFrame) -> None:
         """Have the sets of all documents in the pairs at hand."""

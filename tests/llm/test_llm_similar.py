@@ -13,7 +13,7 @@ from llm_cases import edge_docs, edge_rows, no_docs, prose
 from millrace.llm import ngram_join
 from millrace.llm.components import components
 from millrace.llm.multi_index import Forest, Grid, VectorLinks
-from millrace.llm.ngram_join import NgramJaccardJoin, prefix_length, shingle_set
+from millrace.llm.ngram_join import NgramJaccardJoin, heads, prefix_length, shingle_set
 
 
 def least(links, nodes):
@@ -126,6 +126,31 @@ def test_a_large_group_of_near_copies_needs_few_pairs(spark):
     assert {r["component_id"] for r in join.documents().collect()} == {0}
 
 
+def test_texts_that_share_tokens_by_chance_do_not_meet(spark):
+    """Every shingle is in some ten of the texts; only the four near copies share signatures."""
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(12)}" for _ in range(60)) for _ in range(300)]
+    texts += [f"{texts[k]} tail" for k in range(4)]
+    join = NgramJaccardJoin(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size=3, percent=90)
+    assert join.shared.count() < 100
+    assert sorted((tuple(r) for r in join.documents().collect()), key=str) == brute(list(enumerate(texts)), 3, 90)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 400), st.sampled_from([50, 67, 80, 90, 97]), st.data())
+def test_similar_sets_share_a_signature(n, percent, data):
+    rng = np.random.default_rng(data.draw(st.integers(0, 1000)))
+    tokens = np.unique(rng.integers(0, 1 << 64, 2 * n, np.uint64))
+    rng.shuffle(tokens)
+    one, rest = tokens[:n], tokens[n:]
+    lost = data.draw(st.integers(0, min(n - 1, n * (100 - percent) // 100)))  # union n + gained
+    gained = data.draw(st.integers(0, min(len(rest), 100 * (n - lost) // percent - n)))
+    other = np.concatenate([one[lost:], rest[:gained]])
+    assert 100 * (n - lost) >= percent * (n + gained)
+    if lost or gained:
+        assert np.intersect1d(heads(np.sort(one), percent), heads(np.sort(other), percent)).size
+
+
 @given(st.integers(1, 300), st.integers(50, 100))
 def test_prefix_leaves_less_than_the_needed_overlap(n, percent):
     assert 100 * (n - prefix_length(n, percent)) < percent * n <= 100 * (n - prefix_length(n, percent) + 1)
