@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,12 @@ BATCH_ROWS = 1_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def mapped(use: Callable, values: pa.Array, kind: pa.DataType) -> pa.Array:
+    """`use` of each value, listing a small batch of them at a time: a function on columns gets batches of the session's size."""
+    parts = [values.slice(k, BATCH_ROWS) for k in range(0, len(values), BATCH_ROWS)]
+    return pa.concat_arrays([pa.array([], kind), *[pa.array([use(v) for v in part.to_pylist()], kind) for part in parts]])
+
+
 class Scope:
     """The tables that `written` makes inside `with scope:`, which `drop` removes."""
 

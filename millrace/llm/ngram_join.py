@@ -340,7 +340,7 @@ class NgramJaccardJoin:
         by the share of this round's pairs that stayed apart, more than a pair a
         row to compare. Then all those left are compared.
         """
-        links = self.docs.sparkSession.createDataFrame([], "a long, b long")
+        links = self.docs.sparkSession.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))  # rows from Python would start other workers
         rest, rows, left = self._open(self.shared.withColumn("label", F.col("node")))
         seed = 0
         while left > REPRESENTATIVES * rows:

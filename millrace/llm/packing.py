@@ -29,6 +29,8 @@ CAPACITY = 2048
 # Pieces of one length that are ranked together in one window group.
 RANKED_TOGETHER = 10_000
 BATCH_TOKENS = 500_000
+# An Arrow table becomes a frame without Python workers, unlike a list of rows.
+SLOT = pa.schema([(name, pa.int64()) for name in ("length", "first_rank", "end_rank", "per_bin", "first_bin", "slot_offset")])
 
 
 def token_pieces(df: DataFrame, id_column: str, text_column: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
@@ -162,7 +164,7 @@ class PackedCorpus:
         earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         before = sizes.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
         ranked = ranked.join(before, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
-        slots = spark.createDataFrame(self.plan.slots, "length long, first_rank long, end_rank long, per_bin long, first_bin long, slot_offset long")
+        slots = spark.createDataFrame(pa.Table.from_pylist([dict(zip(SLOT.names, s, strict=True)) for s in self.plan.slots], schema=SLOT))
         inside = F.col("rank") - F.col("first_rank")
         return (
             ranked.alias("r").join(F.broadcast(slots).alias("s"), (F.col("r.length") == F.col("s.length")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("end_rank")))

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import mapped
+
 # The base patterns, and the least length of what they find.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -193,7 +195,7 @@ class SecretScan:
         def redact(texts: pa.Array) -> pa.Array:
             if not scanners:
                 scanners.append(Scanner(novelty))
-            return pa.array([None if t is None else scanners[0].redacted(t, mark) for t in texts.to_pylist()], pa.string())
+            return mapped(lambda t: None if t is None else scanners[0].redacted(t, mark), texts, pa.string())
 
         return F.arrow_udf(redact, "string")(text)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import mapped, written
 
 # Most labelled texts that lexicon and regression are fitted on, and most terms of the lexicon.
 LABELLED_ROWS = 12_000
@@ -338,7 +338,9 @@ def ordinary(words: dict[str, float], stems: dict[str, float], counts: DataFrame
             tries.append(Misspellings(words, stems))
         return pa.array([None if (found := tries[0].match(w)) is None or not found[1] else tries[0].miss(w)[1] for w in column.to_pylist()], pa.string())
 
-    near = written(counts.withColumn("term", F.arrow_udf(run, "string")("word")).where(F.col("term").isNotNull()), "near-misses")
+    # Not to be repeated: as a deterministic function it would run again below the filter, in workers of its own.
+    missed = F.arrow_udf(run, "string").asNondeterministic()
+    near = written(counts.withColumn("term", missed("word")).where(F.col("term").isNotNull()), "near-misses")
     plain = frozenset(r["word"] for r in near.where(F.col("other") > 0).select("word").collect())
     terms = near.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).withColumn("odds", odds(F.col("toxic"), F.col("other"), n_toxic, n_other))
     learned = ~F.col("term").isin(*TERMS) & (F.col("other") > 0)
@@ -398,7 +400,7 @@ class ToxicityModel:
         def run(texts: pa.Array) -> pa.Array:
             if not scorers:
                 scorers.append(Scorer(model))
-            return pa.array([scorers[0].features(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
+            return mapped(scorers[0].features, texts, pa.list_(pa.float64()))
 
         return rows.select(F.arrow_udf(run, "array<double>")("text").alias("f"), "toxic")
 
@@ -409,7 +411,7 @@ class ToxicityModel:
         def run(texts: pa.Array) -> pa.Array:
             if not scorers:
                 scorers.append(Scorer(shared.value))
-            return pa.array([scorers[0].score(t) for t in texts.to_pylist()], pa.float64())
+            return mapped(scorers[0].score, texts, pa.float64())
 
         return F.arrow_udf(run, "double")(text)
 

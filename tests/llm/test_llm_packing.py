@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import edge_docs, edge_rows, no_docs, prose
@@ -98,3 +99,7 @@ def test_many_equal_lengths_are_ranked_in_parts(spark, monkeypatch):
 
 def test_no_documents(spark):
     assert PackedCorpus(no_docs(spark), WORD).placed().collect() == []
+
+
+def test_places_start_no_second_kind_of_workers(spark):
+    assert "ExistingRDD" not in plan_of(PackedCorpus(edge_docs(spark), WORD).placed())

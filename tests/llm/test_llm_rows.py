@@ -4,16 +4,19 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import SCHEMA, edge_docs, edge_rows, no_docs, prose, row
+from millrace.llm.common import mapped
 from millrace.llm.licences import BSD_END, BSD_START, BSD_THIRD, TEMPLATES, LicenceScan, Matcher, terms_of, vocabulary
 from millrace.llm.quality_cascade import RULES, Estimate, QualityCascade, ordered
 from millrace.llm.secret_scan import Novelty, Scanner, SecretScan, digest
-from millrace.llm.toxicity import TERMS, Misspellings, Model, Scorer, ToxicityModel, Trie, fold_of
+from millrace.llm.toxicity import TERMS, Misspellings, Model, Scorer, ToxicityModel, Trie, fold_of, ordinary
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -256,3 +259,25 @@ def test_licences_are_inherited(spark):
     ], key=str)
     assert LicenceScan().scan(no_docs(spark)).collect() == []
     assert len(LicenceScan().scan(edge_docs(spark)).collect()) == len(edge_rows())
+
+
+def test_texts_of_a_large_batch_are_listed_in_parts():
+    texts = pa.array([None, *["é" * 3_000] * 5_000])
+
+    def peak(use):
+        tracemalloc.start()
+        try:
+            return use(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    lengths, most = peak(lambda: mapped(lambda t: 0 if t is None else len(t), texts, pa.int64()))
+    assert lengths.to_pylist() == [0, *[3_000] * 5_000] and most < 5_000_000  # all at once: 15 MB
+    assert mapped(len, texts.slice(0, 0), pa.int64()).to_pylist() == []
+
+
+def test_near_misses_are_found_once_a_word(spark, monkeypatch):
+    plans = {}
+    monkeypatch.setattr("millrace.llm.toxicity.written", lambda df, label: plans.update({label: plan_of(df)}) or df)
+    ordinary({"idiot": 1.0}, {}, spark.createDataFrame([("idiot", 3, 0), ("idi0t", 1, 2)], "word string, toxic long, other long"), 3, 3)
+    assert plans["near-misses"].count("ArrowEvalPython") == 1

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import edge_docs, edge_rows, no_docs, prose
@@ -226,3 +227,7 @@ def test_forest_joins_residents_of_one_visitor(batches):
         links += [(100 + 10 * k + v, r) for v, r in batch]
     want = least(links, {*range(12), *(a for a, _ in links)})
     assert forest.roots().tolist() == [want[r] for r in range(12)]
+
+
+def test_join_starts_no_second_kind_of_workers(spark):
+    assert "ExistingRDD" not in plan_of(NgramJaccardJoin(edge_docs(spark)).links)
